@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.codes import county_fips, strip_cell
-from tallyfold.operators.sizing import broadcast_if_small
+from tallyfold.operators.sizing import small_side
 from tallyfold.schema import RAW_CELLS, STAMPED
 
 # Words looked for in a header cell, the first hit decides.
@@ -72,7 +72,7 @@ def project_roles(rows: DataFrame, roles: DataFrame) -> DataFrame:
     found = {role: F.get(cells, F.col(f"_{role}") - 1) for role in ROLES}
     found["pop"] = found["pop"].try_cast("double")
     rest = [c for c in rows.columns if c not in RAW_CELLS]
-    joined = rows.join(broadcast_if_small(places), "file")
+    joined = rows.join(small_side(places), "file")
     return joined.select(*rest, *[value.alias(role) for role, value in found.items()])
 
 
@@ -82,7 +82,7 @@ def stamp_manifest(rows: DataFrame, manifest: DataFrame, *, on: str = "file", co
     The county number is set where the scope is ``kps``.
     """
     constants = [c for c in (columns or ["etl_batch_id", *STAMPED]) if c in manifest.columns]
-    side = broadcast_if_small(manifest.select(on, *constants))
+    side = small_side(manifest.select(on, *constants))
     stamped = rows.drop(*constants).join(side, on)
     return stamped.withColumn("fips_co", F.when(F.col("geo_scope") == "kps", county_fips("geo_id")))
 

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyfold.functions.codes import block_group_code, county_code, county_fips, scope_filter, tract_code
 from tallyfold.operators.recode import CodeBook, code_book, fill_defaults, recode_facts
-from tallyfold.operators.sizing import broadcast_if_small
+from tallyfold.operators.sizing import small_side
 from tallyfold.schema import DIMENSIONS, GEO_COLUMNS, RACE_FLAGS, RAW_CODES, RECODED
 
 _FILE = ["etl_batch_id", "geo_scope", "geo_year", "census_year", "year", "r_type"]
@@ -21,7 +21,7 @@ def select_facts(facts: DataFrame, chosen: DataFrame, geo_type: str) -> DataFram
     """
     log = chosen.where(F.col("geo_type") == geo_type).select(F.col("id").alias("etl_batch_id"), *_FILE[1:])
     narrow = facts.select("etl_batch_id", "geo_id", "pop", *RAW_CODES)
-    return narrow.join(broadcast_if_small(log), "etl_batch_id")
+    return narrow.join(small_side(log), "etl_batch_id")
 
 
 def geo_direct(facts: DataFrame, chosen: DataFrame, rules: DataFrame | CodeBook, geo_type: str) -> DataFrame:
@@ -81,7 +81,7 @@ def rollup_hierarchy(rows: DataFrame, parents: DataFrame, on: dict[str, str], pa
     match = [rows[left] == F.col(f"_{right}") for left, right in on.items()]
     year = F.col(f"_{parent_year}") if parent_year else F.col("geo_year")
     scope = F.lit(geo_scope) if geo_scope else F.col("geo_scope")
-    joined = rows.join(broadcast_if_small(lookup), match)
+    joined = rows.join(small_side(lookup), match)
     joined = joined.select(*_SUMMED, year.alias("geo_year"), scope.alias("geo_scope"),
                            F.col(f"_{parent_id}").alias("geo_id"), *dimensions, "pop")
     summed = _total(joined, [c for c in joined.columns if c != "pop"])
@@ -98,7 +98,7 @@ def allocate(rows: DataFrame, weights: DataFrame, targets=None, *, geo_scope: st
     if targets is not None:
         weights = weights.where(F.col("target_type").isin(*targets))
     keys = ["census_year", "geo_year", "geo_id"]
-    joined = rows.join(broadcast_if_small(weights.select(*keys, "target_type", "target_id", "proportion")), keys)
+    joined = rows.join(small_side(weights.select(*keys, "target_type", "target_id", "proportion")), keys)
     joined = joined.select(*_SUMMED, "geo_year", F.lit(geo_scope).alias("geo_scope"),
                            F.col("target_type").alias("geo_type"), F.col("target_id").alias("geo_id"), *dimensions,
                            (F.col("pop") * F.col("proportion")).alias("pop"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tallyfold.operators.sizing import broadcast_if_small
+from tallyfold.operators.sizing import small_side
 from tallyfold.sources.store import drop_batches, exists, replace_batch
 
 _SERIES = ["geo_type", "geo_year", "census_year", "r_type", "year"]
@@ -32,7 +32,7 @@ def archive_candidates(log: DataFrame) -> DataFrame:
     named = spans.join(_newest_ids(log), [*_SERIES, "_newest"])
     oldest = named.groupBy(*_SERIES, F.col("_oldest").alias("batch_date")).agg(F.max("ref_id").alias("ref_id"))
     rows = log.select(F.col("id").alias("archive_id"), *_SERIES, "batch_date")
-    return rows.join(broadcast_if_small(oldest), [*_SERIES, "batch_date"]).select("archive_id", "ref_id", "r_type")
+    return rows.join(oldest, [*_SERIES, "batch_date"]).select("archive_id", "ref_id", "r_type")
 
 
 def direct_archive_candidates(log: DataFrame, ids: DataFrame | None = None) -> DataFrame:
@@ -49,7 +49,7 @@ def direct_archive_candidates(log: DataFrame, ids: DataFrame | None = None) -> D
     if ids is not None:
         waiting = waiting.join(ids.select("id"), "id", "left_semi")
     rows = waiting.select(F.col("id").alias("archive_id"), *_SERIES, "batch_date")
-    joined = rows.join(broadcast_if_small(newest), _SERIES)
+    joined = rows.join(newest, _SERIES)
     return joined.where(F.col("batch_date") < F.col("_newest")).select("archive_id", "ref_id", "r_type")
 
 
@@ -73,12 +73,12 @@ def prune_candidates(log: DataFrame, max_archive: int = 2, *, exhaust: bool = Fa
         spans = kept.groupBy(*series).agg(F.min("batch_date").alias("batch_date"), F.count("id").alias("_n"))
         old = spans.where(F.col("_n") > max_archive).drop("_n")
         rows = log
-    return rows.join(broadcast_if_small(old), [*series, "batch_date"]).select("id", "r_type")
+    return rows.join(old, [*series, "batch_date"]).select("id", "r_type")
 
 
 def split_archive(rows: DataFrame, ids: DataFrame, id_column: str = "archive_id") -> tuple[DataFrame, DataFrame]:
     """Rows of the given batches, and the rows that remain."""
-    side = broadcast_if_small(ids.select(F.col(id_column).alias("etl_batch_id")).distinct())
+    side = small_side(ids.select(F.col(id_column).alias("etl_batch_id")).distinct())
     return rows.join(side, "etl_batch_id", "left_semi"), rows.join(side, "etl_batch_id", "left_anti")
 
 

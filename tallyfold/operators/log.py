@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyfold.functions.names import contains_any, strip_prefixes
-from tallyfold.operators.sizing import broadcast_if_small
+from tallyfold.operators.sizing import small_side
 from tallyfold.schema import LOG_KEY, LOG_ROW_COUNTS, LOG_STAMPS, LOG_TOTALS
 from tallyfold.sources.store import use_checkpoints
 
@@ -42,7 +42,7 @@ def latest_batches(log: DataFrame, *, r_type: int | None = 97, census_year: str
     if geo_year is not None:
         rows = rows.where((F.col("geo_year") == geo_year) | F.col("geo_type").isin(*any_year_types))
     # The grouped side has one row per series, so few series are broadcast and hot ones never shuffle.
-    return rows.join(broadcast_if_small(newest), [*keys, "batch_date"]).select(*log.columns)
+    return rows.join(small_side(newest), [*keys, "batch_date"]).select(*log.columns)
 
 
 # --- work lists -----------------------------------------------------------------------------------
@@ -96,7 +96,7 @@ def load_status(files: DataFrame, log: DataFrame) -> DataFrame:
     archived = archived.where(F.col("_kept") >= 2)
 
     out = _null_safe_left(files, ids, key)
-    out = out.join(broadcast_if_small(archived), versions, "left")
+    out = out.join(archived, versions, "left")
     superseded = F.when(F.col("_oldest") > F.col("batch_date"), F.lit(-9999).cast("long"))
     status = F.coalesce(F.col("_open").cast("long"), -F.col("_done").cast("long"), superseded, F.lit(0).cast("long"))
     return out.select(*files.columns, status.alias("status"))
@@ -127,7 +127,7 @@ def upsert_log(log: DataFrame, files: DataFrame, now) -> DataFrame:
     known = _null_safe_left(incoming, ids, LOG_KEY)
 
     changed = known.where(F.col("_id").isNotNull()).select("_id", *[f"_{c}" for c in details])
-    updated = log.join(broadcast_if_small(changed), F.col("id") == F.col("_id"), "left")
+    updated = log.join(changed, F.col("id") == F.col("_id"), "left")
     hit = F.col("_id").isNotNull()
     targets = {"batch_date": "_batch_date", "file_loc": "_file_loc", "qa_rows_file": "_rows_file",
                "qa_pop_file": "_pop_file"}
@@ -168,7 +168,7 @@ def continue_ids(rows: DataFrame, order, start: int, *, per_task: int = 1_000_00
     sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbered = placed.join(broadcast_if_small(offsets), "_range")
+    numbered = placed.join(small_side(offsets), "_range")
     return numbered.withColumn("id", (F.lit(start) + F.col("_before") + F.col("_row") + 1).cast("long")).drop(
         "_place", "_range", "_row", "_before")
 
@@ -188,7 +188,7 @@ def apply_log_events(log: DataFrame, events: DataFrame) -> DataFrame:
         *[F.max_by("value", F.when(is_field[c], F.col("ts"))).alias(f"_{c}") for c in values],
         F.max(F.when(F.col("field").isin(*stamps), F.col("ts"))).alias("_touched"),
     )
-    out = log.join(broadcast_if_small(folded), "id", "left")
+    out = log.join(folded, "id", "left")
     new = {c: F.coalesce(F.col(f"_{c}").cast(kinds[c]), F.col(c)) for c in [*stamps, *values]}
     if "last_update_datetime" in kinds:
         touched = F.col("_touched").cast(kinds["last_update_datetime"])
@@ -207,7 +207,7 @@ def append_notes(log: DataFrame, notes: DataFrame) -> DataFrame:
                                     lambda entry: entry["text"])).alias("_added"),
         F.max("ts").alias("_touched"))
     kinds = {f.name: f.dataType for f in log.schema.fields}
-    out = log.join(broadcast_if_small(entries), "id", "left")
+    out = log.join(entries, "id", "left")
     new = {"etl_notes": F.when(F.col("_added").isNull(), F.col("etl_notes")).otherwise(
         F.concat_ws("", "etl_notes", "_added"))}
     if "last_update_datetime" in kinds:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyfold.operators.sizing import broadcast_if_small
 from tallyfold.schema import QA_COLUMNS, QA_KEYS
 
 
@@ -23,7 +22,7 @@ def reconcile_hops(log: DataFrame, hops: dict[str, DataFrame]) -> DataFrame:
                      F.col("qa_pop_file").alias("pop_file"))
     for hop, totals in hops.items():
         side = totals.select("etl_batch_id", F.col("row_cnt").alias(f"rows_{hop}"), F.col("pop_tot").alias(f"pop_{hop}"))
-        out = out.join(broadcast_if_small(side), "etl_batch_id", "left").fillna(0, [f"rows_{hop}", f"pop_{hop}"])
+        out = out.join(side, "etl_batch_id", "left").fillna(0, [f"rows_{hop}", f"pop_{hop}"])
     for hop in hops:
         same = (F.col(f"rows_{hop}") == F.col("rows_file")) & (F.col(f"pop_{hop}") == F.round("pop_file", 0))
         out = out.withColumn(f"{hop}_ok", F.coalesce(same, F.lit(False)))
@@ -61,7 +60,7 @@ def qa_compare(raw: DataFrame, reference: DataFrame, *, prior: bool = False) ->
     if prior:
         reference = prior_year_keys(reference)
     keys = [c for c in raw.columns if c in reference.columns]
-    joined = raw.join(broadcast_if_small(reference), keys)
+    joined = raw.join(reference, keys)
     diff = F.bround((F.col("raw_pop") - F.col("ref_pop")).cast("double"), 6)
     joined = joined.withColumn("diff", diff)
     return joined.withColumn("perc", F.bround(F.try_divide("diff", F.col("ref_pop").cast("double")), 4))
@@ -78,4 +77,4 @@ def resume_points(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
     """Rows already loaded for each batch of the manifest; 0 when nothing has been."""
     counts = loaded.groupBy("etl_batch_id").agg(F.count("*").alias("rows_loaded"))
     ids = manifest.select(F.col("id").alias("etl_batch_id"))
-    return ids.join(broadcast_if_small(counts), "etl_batch_id", "left").fillna(0, ["rows_loaded"])
+    return ids.join(counts, "etl_batch_id", "left").fillna(0, ["rows_loaded"])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.codes import parse_age, top_code
-from tallyfold.operators.sizing import CONTROL_ROWS, broadcast_if_small, control_rows, local_frame, pin_small
+from tallyfold.operators.sizing import CONTROL_ROWS, control_rows, local_frame, small_side
 from tallyfold.schema import AGE_BANDS, RACE_FLAGS, RECODED
 
 _SPAN = 64  # bands that the widest rule may cover in a range join
@@ -26,48 +26,43 @@ _UNSCOPED = [("age", name) for name in AGE_BANDS] + [("raw_gender", "gender"), (
 
 def recode_join(rows: DataFrame, rules: DataFrame, old_column: str, new_column: str, *, kind: str = "exact",
                 how: str = "inner", on_scheme: bool = False, default: int | None = None,
-                alias: str | None = None, checked: bool = False, band: int | None = None) -> DataFrame:
+                alias: str | None = None) -> DataFrame:
     """Add ``alias`` (or ``new_column``) by joining one slice of the rule table.
 
     ``how="inner"`` drops rows without a rule, overlapping rules fan out. ``kind="range"`` matches
     min <= value <= max; it is planned as a hash join on value bands, with the bounds as residual filter.
-    ``band`` is the width of a band (found from the rules when not given); ``checked`` says that the caller
-    knows the rule table to be small.
     """
     out = alias or new_column
-    slice_ = rules.where((F.col("old_column") == old_column) & (F.col("new_column") == new_column))
-    value = F.col("new_value_num").cast("smallint").alias(out)
-    scheme = [F.col("r_type").alias("_scheme")] if on_scheme else []
+    slice_ = rules.where(f"old_column = {_literal(old_column)} AND new_column = {_literal(new_column)}")
+    value = f"CAST(new_value_num AS SMALLINT) AS {_quoted(out)}"
+    scheme = ["r_type AS _scheme"] if on_scheme else []
     rows = rows.drop(out)
     if kind == "exact":
-        lookup = slice_.select(F.col("old_value_txt").alias("_old"), value, *scheme)
-        match = rows[old_column] == F.col("_old")
+        lookup = slice_.selectExpr("old_value_txt AS _old", value, *scheme)
+        match = f"{_quoted(old_column)} = _old"
     else:
-        rows, lookup, match = _band_match(rows, slice_, old_column, [value, *scheme], band)
-    if on_scheme:
-        match = match & (rows["r_type"] == F.col("_scheme"))
-    lookup = F.broadcast(lookup) if checked else broadcast_if_small(lookup)
-    joined = rows.join(lookup, match, how).drop("_old", "_scheme", "_lo", "_hi", "_band", "_at")
+        rows, lookup, match = _band_match(rows, slice_, old_column, [value, *scheme])
+    match = F.expr(f"{match} AND r_type = _scheme" if on_scheme else match)
+    joined = rows.join(small_side(lookup), match, how).drop("_old", "_scheme", "_lo", "_hi", "_band", "_at")
     if default is not None:
         joined = joined.withColumn(out, F.coalesce(F.col(out), F.lit(default).cast("smallint")))
     return joined
 
 
-def _band_match(rows, slice_, column, values, width):
+def _band_match(rows, slice_, column, values, width=None):
     """Equality on bands: each rule is listed under the bands it covers, each value falls into one band."""
-    lo, hi = F.col("old_value_num_min"), F.col("old_value_num_max")
-    slice_ = slice_.where(lo <= hi)
+    slice_ = slice_.where("old_value_num_min <= old_value_num_max")
     if width is None:
-        width = _band_width(slice_.agg(F.max(hi.cast("long") - lo.cast("long"))).first()[0] or 0)
-    low, high = (F.floor(bound / F.lit(width)).cast("long") for bound in (lo, hi))
-    lookup = slice_.select(lo.alias("_lo"), hi.alias("_hi"), *values, F.explode(F.sequence(low, high)).alias("_band"))
-    value = F.col(column)
-    if isinstance(rows.schema[column].dataType, T.StringType):
-        value = value.try_cast("double")
-    rows = rows.withColumn("_at", value)
-    match = (F.floor(rows["_at"] / F.lit(width)).cast("long") == F.col("_band")) & rows["_at"].between(
-        F.col("_lo"), F.col("_hi"))
-    return rows, lookup, match
+        width = _band_width(slice_.selectExpr("max(CAST(old_value_num_max AS BIGINT) - old_value_num_min)").first()[0] or 0)
+
+    def band(value):
+        return f"CAST(floor({value} / {width}) AS BIGINT)"
+
+    bands = f"explode(sequence({band('old_value_num_min')}, {band('old_value_num_max')})) AS _band"
+    lookup = slice_.selectExpr("old_value_num_min AS _lo", "old_value_num_max AS _hi", *values, bands)
+    is_text = isinstance(rows.schema[column].dataType, T.StringType)
+    rows = rows.withColumn("_at", F.expr(f"TRY_CAST({_quoted(column)} AS DOUBLE)" if is_text else _quoted(column)))
+    return rows, lookup, f"{band('_at')} = _band AND _at BETWEEN _lo AND _hi"
 
 
 def _band_width(widest: int) -> int:
@@ -99,47 +94,61 @@ class CodeBook:
 
 
 def code_book(rules: DataFrame) -> CodeBook:
-    """Run the rule joins on the codes instead of on the facts.
+    """Match the rules with the codes instead of with the facts.
 
-    Every recode depends on one raw code (and the race scheme), so the joins are done once per code of the
-    rule table. Multiplicity is kept: a code with two matching rules appears twice in its lookup.
+    Every recode depends on one raw code (and the race scheme), so the rule joins are done once per code of
+    the rule table. Multiplicity is kept: a code with two matching rules appears twice in its lookup.
     """
     rows = control_rows(rules)
-    book = local_frame(rules, rows)
-    spark = rules.sparkSession
+    book = local_frame(rules, rows).withColumn("value", F.expr("CAST(new_value_num AS SMALLINT)"))
     spans = [r.old_value_num_max - r.old_value_num_min for r in rows
              if r.old_value_num_min is not None and r.old_value_num_max is not None]
-    known = {"checked": True, "band": _band_width(max(spans, default=0))}
+    width = _band_width(max(spans, default=0))
+
+    def in_range(codes, column, scheme=(), extra=""):
+        ranges = book.where(f"old_column = '{column}'")
+        codes, lookup, match = _band_match(codes, ranges, column, ["new_column", "value", *scheme], width)
+        return codes.join(F.broadcast(lookup), F.expr(match + extra))
 
     # Three characters of text give ages from -99 to 999.
-    age = spark.range(-99, 1000).select(F.col("id").cast("smallint").alias("age"))
-    for band in AGE_BANDS:
-        age = recode_join(age, book, "age", band, kind="range", **known)
-
-    race = book.where((F.col("old_column") == "raw_racemars") & (F.col("new_column") == "rcode")).select(
-        F.col("old_value_txt").alias("raw_racemars"), "r_type", F.col("new_value_num").cast("smallint").alias("rcode"))
-    race = race.where(F.col("raw_racemars").isNotNull() & F.col("r_type").isNotNull())
-    race = recode_join(race, book, "rcode", "r1r3", kind="range", on_scheme=True, **known)
-    race = recode_join(race, book, "rcode", "r2r4", kind="range", on_scheme=True, alias="r2r4_base", **known)
-    for flag in RACE_FLAGS[:-1]:
-        race = recode_join(race, book, "raw_racemars", flag, how="left", on_scheme=True, **known)
-
-    def exact(old_column, new_column, out, *keys):
-        picked = book.where((F.col("old_column") == old_column) & (F.col("new_column") == new_column))
-        picked = picked.where(F.col("old_value_txt").isNotNull())
-        return F.broadcast(picked.select(F.col("old_value_txt").alias(old_column), *keys,
-                                         F.col("new_value_num").cast("smallint").alias(out)))
+    ages = rules.sparkSession.range(-99, 1000).selectExpr("CAST(id AS SMALLINT) AS age")
+    age = _spread(in_range(ages, "age"), ["age"], AGE_BANDS)
+
+    race = book.where("old_column = 'raw_racemars' AND old_value_txt IS NOT NULL AND r_type IS NOT NULL")
+    race = race.withColumnRenamed("old_value_txt", "raw_racemars")
+    race = _spread(race, ["raw_racemars", "r_type"], ["rcode"], RACE_FLAGS[:-1])
+    hits = in_range(race, "rcode", ["r_type AS _scheme"], " AND r_type = _scheme")
+    race = _spread(hits, race.columns, ["r1r3", "r2r4"])
+
+    def exact(old_column, new_column, *columns):
+        picked = book.where(f"old_column = '{old_column}' AND new_column = '{new_column}' AND old_value_txt IS NOT NULL")
+        return F.broadcast(picked.selectExpr(f"old_value_txt AS {old_column}", *columns))
 
     return CodeBook(
-        age=pin_small(age),
-        gender=exact("raw_gender", "gender", "gender"),
-        race=pin_small(race),
-        override=exact("raw_hispanic", "r2r4", "r2r4_override", "r_type"),
-        hispanic=exact("raw_hispanic", "race_hisp", "race_hisp"),
+        age=small_side(age),
+        gender=exact("raw_gender", "gender", "value AS gender"),
+        race=small_side(race.withColumnRenamed("r2r4", "r2r4_base")),
+        override=exact("raw_hispanic", "r2r4", "r_type", "value AS r2r4_override"),
+        hispanic=exact("raw_hispanic", "race_hisp", "value AS race_hisp"),
         fans_out=_overlaps(rows),
     )
 
 
+def _spread(hits, keys, required, optional=()):
+    """One column per recode from matched rules, with a row for every combination of their values.
+
+    Codes without a value for a ``required`` recode vanish, an ``optional`` one is null then.
+    """
+    names = [*required, *optional]
+    lists = hits.groupBy(*keys).agg(*[
+        F.expr(f"collect_list(struct(value)) FILTER (WHERE new_column = '{name}') AS {name}") for name in names])
+    for name in names:
+        explode = "explode" if name in required else "explode_outer"
+        others = [c for c in lists.columns if c != name]
+        lists = lists.selectExpr(*others, f"{explode}({name}) AS {name}")
+    return lists.selectExpr(*keys, *[f"{name}.value AS {name}" for name in names])
+
+
 def _overlaps(rows) -> bool:
     """True when two rules of one recode can match the same code."""
     texts, ranges = defaultdict(int), defaultdict(list)
@@ -217,37 +226,58 @@ def _in_precedence(rows, policy):
 
 
 def _cascade(rows, new_column, group, policy, override_columns) -> Column:
+    """Branches in the order in which a rule decides the value, as one CASE or as a chain of them."""
     number_first = policy == "first"
     textual = any((r.new_value_num is None) if number_first else (r.new_value_txt is not None) for r in group)
     if new_column in rows.columns:
-        kind = rows.schema[new_column].dataType
+        kind = rows.schema[new_column].dataType.simpleString()
+    else:
+        kind = "string" if textual else "smallint"
+
+    def case(rules):
+        branches = []
+        for rule in rules:
+            first, second = ((rule.new_value_num, rule.new_value_txt) if number_first
+                             else (rule.new_value_txt, rule.new_value_num))
+            value = _literal(first if first is not None else second)
+            test = _matches(rows, rule)
+            if test is not None and value != "NULL":
+                branches.append(f"WHEN {test} THEN {value}")
+        return [f"CAST(CASE {' '.join(branches)} END AS {kind})"] if branches else []
+
+    start = [_quoted(new_column)] if new_column in rows.columns else []
+    if policy == "last":
+        parts = [*case(reversed(group)), *start]
     else:
-        kind = T.StringType() if textual else T.ShortType()
+        overriding = [r for r in group if r.old_column in override_columns]
+        filling = [r for r in group if r.old_column not in override_columns]
+        parts = [*case(reversed(overriding)), *start, *case(filling)]
+    return F.expr(f"coalesce({', '.join([*parts, f'CAST(NULL AS {kind})'])})")
 
-    def hit(rule):
-        first, second = ((rule.new_value_num, rule.new_value_txt) if number_first
-                         else (rule.new_value_txt, rule.new_value_num))
-        return F.when(_matches(rows, rule), F.lit(first if first is not None else second).cast(kind))
 
-    start = [F.col(new_column)] if new_column in rows.columns else []
-    if policy == "last":
-        return F.coalesce(*[hit(r) for r in reversed(group)], *start, F.lit(None).cast(kind))
-    overriding = [r for r in group if r.old_column in override_columns]
-    filling = [r for r in group if r.old_column not in override_columns]
-    return F.coalesce(*[hit(r) for r in reversed(overriding)], *start, *[hit(r) for r in filling],
-                      F.lit(None).cast(kind))
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
 
 
-def _matches(rows, rule) -> Column:
+def _matches(rows, rule) -> str | None:
+    """Condition of a rule as SQL text, or None when it can never hold."""
     if rule.old_column not in rows.columns:
-        return F.lit(False)
-    old, kind = F.col(rule.old_column), rows.schema[rule.old_column].dataType
+        return None
+    old, is_text = _quoted(rule.old_column), isinstance(rows.schema[rule.old_column].dataType, T.StringType)
     if rule.old_value_txt is not None:
-        test = old.cast("string") == rule.old_value_txt
+        test = f"{old if is_text else f'CAST({old} AS STRING)'} = {_literal(rule.old_value_txt)}"
+    elif rule.old_value_num_min is None or rule.old_value_num_max is None:
+        return None
     else:
-        number = old.try_cast("double") if isinstance(kind, T.StringType) else old
-        test = number.between(rule.old_value_num_min, rule.old_value_num_max)
-    return test if rule.r_type is None else test & (F.col("r_type") == rule.r_type)
+        number = f"TRY_CAST({old} AS DOUBLE)" if is_text else old
+        test = f"{number} BETWEEN {rule.old_value_num_min} AND {rule.old_value_num_max}"
+    return test if rule.r_type is None else f"{test} AND r_type = {rule.r_type}"
 
 
 # --- small areas ----------------------------------------------------------------------------------
@@ -256,4 +286,4 @@ def attach_area(rows: DataFrame, areas: DataFrame, geo_year: str, *, out: str =
     """Left-join the small-area id of a block for one geography year."""
     year = areas.where(F.col("geo_year") == geo_year)
     lookup = year.select(F.col("blk_geo_id").alias("geo_id"), F.col("hra_id").alias(out))
-    return rows.join(broadcast_if_small(lookup), "geo_id", "left")
+    return rows.join(small_side(lookup), "geo_id", "left")

@@ -1,36 +1,32 @@
-"""Size checks in front of every broadcast, and pinning of small control tables."""
+"""Size checks in front of every broadcast, and reading of small control tables."""
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-BROADCAST_ROWS = 200_000
+PINNED_ROWS = 20_000
+BROADCAST_ROWS = 500_000
 CONTROL_ROWS = 10_000
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side is counted and found small.
+def small_side(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Prepare the smaller side of a join for a broadcast, if its size allows one.
 
-    The count is a distributed aggregate on pruned columns. A larger side is returned without a hint, so
-    the join becomes a shuffle join, whose hot keys adaptive execution splits.
+    A few rows are evaluated once and kept as a local relation. More rows are counted (a distributed count)
+    and get a broadcast hint up to ``max_rows``. A larger side comes back as it is: the join is then a
+    shuffle join, whose hot keys adaptive execution splits.
     """
+    rows = side.take(PINNED_ROWS + 1)
+    if len(rows) <= PINNED_ROWS:
+        return F.broadcast(local_frame(side, rows))
     return F.broadcast(side) if side.count() <= max_rows else side
 
 
-def pin_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Evaluate a small table once and return it as a broadcast local relation.
-
-    A larger table comes back unchanged and without a hint.
-    """
-    rows = table.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return table
-    return F.broadcast(local_frame(table, rows))
-
-
 def local_frame(like: DataFrame, rows) -> DataFrame:
     """Rows with the schema of ``like`` as a local relation (exact size statistics for the optimizer)."""
-    arrow = pa.Table.from_pylist([r.asDict() for r in rows], schema=to_arrow_schema(like.schema))
+    columns = list(zip(*rows)) or [[] for _ in like.columns]
+    schema = to_arrow_schema(like.schema)
+    arrow = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
     return like.sparkSession.createDataFrame(arrow, schema=like.schema)
 
 

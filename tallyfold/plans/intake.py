@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.operators.clean import column_roles, drop_header_rows, project_roles, strip_cells
 from tallyfold.operators.log import upsert_log
-from tallyfold.operators.sizing import broadcast_if_small
 from tallyfold.sources.manifest import file_manifest, list_files, locate_files, profile_files
 from tallyfold.sources.raw import check_errors, file_of, good_records, read_raw, survey_files
 from tallyfold.sources.store import use_checkpoints
@@ -35,6 +34,6 @@ def run_intake(spark: SparkSession, folder: str, log: DataFrame, *, now, census_
                             extract_folder=folder, final_folder=final_folder)
     raw = read_raw(spark, folder, recursive=True, max_errors=None)
     profile = profile_files(typed_rows(raw, surveyed(raw, max_errors)))
-    found = manifest.join(broadcast_if_small(profile.withColumnRenamed("file", "file_path")), "file_path", "left")
+    found = manifest.join(profile.withColumnRenamed("file", "file_path"), "file_path", "left")
     found = found.fillna(0, ["rows_file", "pop_file"]).withColumn("census_year", F.lit(census_year))
     return upsert_log(log, found, now)

@@ -14,7 +14,7 @@ from tallyfold.operators.lifecycle import (
 from tallyfold.operators.log import apply_log_events, pending
 from tallyfold.operators.qa import control_totals
 from tallyfold.operators.recode import recode_cascade
-from tallyfold.operators.sizing import broadcast_if_small
+from tallyfold.operators.sizing import small_side
 from tallyfold.plans.intake import surveyed, typed_rows
 from tallyfold.schema import RACE_FLAGS, STAGE_SCHEMA
 from tallyfold.sources.raw import file_of, read_raw
@@ -40,7 +40,7 @@ def _with(rows, names):
 def batches_of(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
     """Rows of the given batches; only their partitions are read."""
     rows = spark.read.parquet(path).withColumn("etl_batch_id", F.col("etl_batch_id").cast("long"))
-    return rows.join(broadcast_if_small(ids), "etl_batch_id", "left_semi")
+    return rows.join(small_side(ids), "etl_batch_id", "left_semi")
 
 
 def hop_events(totals: DataFrame, hop: str, now) -> DataFrame:
@@ -85,8 +85,8 @@ def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types
 
     if full:
         for table, rows in route_by_scheme(stage, "ref").items():
-            replace_batch(rows, f"{root}/{table}")
-            if exists(spark, f"{root}/{table}/_SUCCESS") and rows.take(1):
+            if rows.take(1):
+                replace_batch(rows, f"{root}/{table}")
                 written = batches_of(spark, f"{root}/{table}", ids)
                 events.append(hop_events(control_totals(written), "ref", now))
     write_current(apply_log_events(log, reduce(DataFrame.unionByName, events)), f"{root}/log")
