@@ -19,10 +19,12 @@ def batch_date(batch_name) -> Column:
     return text.try_cast("date")
 
 
-def remove_first(text, piece) -> Column:
-    """Remove the first occurrence of ``piece`` (a column), as plain text and not as a pattern."""
-    quoted = F.concat(F.lit("\\Q"), _col(piece), F.lit("\\E"))
-    return F.array_join(F.split(_col(text), quoted, 2), "")
+def remove_first(text: str, piece) -> Column:
+    """Remove the first occurrence of ``piece`` from a column, as plain text and not as a pattern."""
+    text, piece = F.col(text), F.lit(piece) if isinstance(piece, str) else piece
+    at = F.position(piece, text)
+    cut = F.concat(F.substring(text, F.lit(1), at - 1), F.substring(text, at + F.length(piece), F.length(text)))
+    return F.when((at > 0) & (F.length(piece) > 0), cut).otherwise(text)
 
 
 def strip_prefixes(location, *prefixes: str) -> Column:

@@ -80,12 +80,15 @@ def rollup_hierarchy(rows: DataFrame, parents: DataFrame, on: dict[str, str], pa
     lookup = parents.select(*[F.col(c).alias(f"_{c}") for c in {*on.values(), parent_id, *filter(None, [parent_year])}])
     match = [rows[left] == F.col(f"_{right}") for left, right in on.items()]
     year = F.col(f"_{parent_year}") if parent_year else F.col("geo_year")
-    scope = F.lit(geo_scope) if geo_scope else F.col("geo_scope")
+    scope = [] if geo_scope else ["geo_scope"]
     joined = rows.join(small_side(lookup), match)
-    joined = joined.select(*_SUMMED, year.alias("geo_year"), scope.alias("geo_scope"),
-                           F.col(f"_{parent_id}").alias("geo_id"), *dimensions, "pop")
+    joined = joined.select(*_SUMMED, year.alias("geo_year"), *scope, F.col(f"_{parent_id}").alias("geo_id"),
+                           *dimensions, "pop")
     summed = _total(joined, [c for c in joined.columns if c != "pop"])
-    return summed.withColumn("geo_type", F.lit(geo_type)).select(*_ordered(summed, dimensions))
+    # Constants come after the sum: as grouping keys they would hide that a later sum needs no shuffle.
+    fixed = {"geo_type": F.lit(geo_type)} | ({"geo_scope": F.lit(geo_scope)} if geo_scope else {})
+    summed = summed.withColumns(fixed)
+    return summed.select(*_ordered(summed, dimensions))
 
 
 def allocate(rows: DataFrame, weights: DataFrame, targets=None, *, geo_scope: str = "kc",
@@ -99,10 +102,10 @@ def allocate(rows: DataFrame, weights: DataFrame, targets=None, *, geo_scope: st
         weights = weights.where(F.col("target_type").isin(*targets))
     keys = ["census_year", "geo_year", "geo_id"]
     joined = rows.join(small_side(weights.select(*keys, "target_type", "target_id", "proportion")), keys)
-    joined = joined.select(*_SUMMED, "geo_year", F.lit(geo_scope).alias("geo_scope"),
-                           F.col("target_type").alias("geo_type"), F.col("target_id").alias("geo_id"), *dimensions,
+    joined = joined.select(*_SUMMED, "geo_year", F.col("target_type").alias("geo_type"),
+                           F.col("target_id").alias("geo_id"), *dimensions,
                            (F.col("pop") * F.col("proportion")).alias("pop"))
-    summed = _total(joined, [c for c in joined.columns if c != "pop"])
+    summed = _total(joined, [c for c in joined.columns if c != "pop"]).withColumn("geo_scope", F.lit(geo_scope))
     return summed.select(*_ordered(summed, dimensions))
 
 
@@ -133,5 +136,4 @@ def _total(rows: DataFrame, keys) -> DataFrame:
 
 
 def _ordered(rows: DataFrame, dimensions):
-    known = {*rows.columns, "geo_type"}
-    return [c for c in GEO_COLUMNS if c in known] + [c for c in dimensions if c not in GEO_COLUMNS]
+    return [c for c in GEO_COLUMNS if c in rows.columns] + [c for c in dimensions if c not in GEO_COLUMNS]

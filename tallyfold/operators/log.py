@@ -124,7 +124,9 @@ def upsert_log(log: DataFrame, files: DataFrame, now) -> DataFrame:
         F.max_by(F.struct(*details), F.struct("file_loc", "rows_file")).alias("_new"), F.count("*").alias("_seen"))
     incoming = incoming.select(*LOG_KEY, *[F.col(f"_new.{c}").alias(f"_{c}") for c in details], "_seen")
     ids = log.groupBy(*LOG_KEY).agg(F.max("id").alias("_id"))
-    known = _null_safe_left(incoming, ids, LOG_KEY)
+    # Updates, new rows and their number all come from this join, so it is evaluated once.
+    use_checkpoints(log.sparkSession)
+    known = _null_safe_left(incoming, ids, LOG_KEY).checkpoint()
 
     changed = known.where(F.col("_id").isNotNull()).select("_id", *[f"_{c}" for c in details])
     updated = log.join(changed, F.col("id") == F.col("_id"), "left")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from tallyfold.operators.sizing import CONTROL_ROWS, control_rows, local_frame,
 from tallyfold.schema import AGE_BANDS, RACE_FLAGS, RECODED
 
 _SPAN = 64  # bands that the widest rule may cover in a range join
+_ARRAY_SPAN = 4096  # whole numbers that the ranges of one recode may cover in a constant array
 _SCOPED = [("raw_racemars", name) for name in ["rcode", *RACE_FLAGS[:-1]]] + [
     ("rcode", "r1r3"), ("rcode", "r2r4"), ("raw_hispanic", "r2r4"),
 ]
@@ -226,7 +228,7 @@ def _in_precedence(rows, policy):
 
 
 def _cascade(rows, new_column, group, policy, override_columns) -> Column:
-    """Branches in the order in which a rule decides the value, as one CASE or as a chain of them."""
+    """The rules of one new column as lookups, the deciding ones first."""
     number_first = policy == "first"
     textual = any((r.new_value_num is None) if number_first else (r.new_value_txt is not None) for r in group)
     if new_column in rows.columns:
@@ -234,27 +236,70 @@ def _cascade(rows, new_column, group, policy, override_columns) -> Column:
     else:
         kind = "string" if textual else "smallint"
 
-    def case(rules):
-        branches = []
-        for rule in rules:
-            first, second = ((rule.new_value_num, rule.new_value_txt) if number_first
-                             else (rule.new_value_txt, rule.new_value_num))
-            value = _literal(first if first is not None else second)
-            test = _matches(rows, rule)
-            if test is not None and value != "NULL":
-                branches.append(f"WHEN {test} THEN {value}")
-        return [f"CAST(CASE {' '.join(branches)} END AS {kind})"] if branches else []
+    def value(rule):
+        first, second = ((rule.new_value_num, rule.new_value_txt) if number_first
+                         else (rule.new_value_txt, rule.new_value_num))
+        return first if first is not None else second
+
+    def lookups(rules):
+        rules = [r for r in rules if value(r) is not None and r.old_column in rows.columns]
+        return [_lookup(rows, list(same), value, kind) for _, same in groupby(rules, key=lambda r: r.old_column)]
 
     start = [_quoted(new_column)] if new_column in rows.columns else []
     if policy == "last":
-        parts = [*case(reversed(group)), *start]
+        parts = [*lookups(reversed(group)), *start]
     else:
         overriding = [r for r in group if r.old_column in override_columns]
         filling = [r for r in group if r.old_column not in override_columns]
-        parts = [*case(reversed(overriding)), *start, *case(filling)]
+        parts = [*lookups(reversed(overriding)), *start, *lookups(filling)]
     return F.expr(f"coalesce({', '.join([*parts, f'CAST(NULL AS {kind})'])})")
 
 
+def _lookup(rows, rules, value, kind) -> str:
+    """First matching rule of rules on one old column, as SQL text.
+
+    Exact rules become a constant map and ranges on whole numbers a constant array, one per race scheme that
+    the rules name. Unlike a long CASE these keep the generated code short enough to be compiled to machine
+    code. Rules that fit neither form do become a CASE.
+    """
+    old, old_kind = _quoted(rules[0].old_column), rows.schema[rules[0].old_column].dataType
+    is_text = isinstance(old_kind, T.StringType)
+    schemes = sorted({r.r_type for r in rules if r.r_type is not None})
+    exact = all(r.old_value_txt is not None for r in rules)
+    bounds = [(r.old_value_num_min, r.old_value_num_max) for r in rules if r.old_value_txt is None]
+    whole = len(bounds) == len(rules) and isinstance(old_kind, (T.ByteType, T.ShortType, T.IntegerType)) and all(
+        lo is not None and hi is not None for lo, hi in bounds)
+    lowest = min((lo for lo, _ in bounds), default=0) if whole else 0
+    if whole and max(hi for _, hi in bounds) - lowest > _ARRAY_SPAN:
+        whole = False
+    key = old if is_text else f"CAST({old} AS STRING)"
+
+    def pick(scheme):
+        valid = [r for r in rules if r.r_type is None or r.r_type == scheme]
+        found = {}
+        if exact:
+            for r in valid:
+                found.setdefault(r.old_value_txt, value(r))
+            pairs = ", ".join(f"{_literal(k)}, {_literal(v)}" for k, v in found.items())
+            return f"CAST(try_element_at(map({pairs}), {key}) AS {kind})" if found else "NULL"
+        if whole:
+            for r in valid:
+                for number in range(r.old_value_num_min, r.old_value_num_max + 1):
+                    found.setdefault(number - lowest, value(r))
+            items = ", ".join(_literal(found.get(i)) for i in range(max(found, default=-1) + 1))
+            return f"CAST(get(array({items}), CAST({old} AS INT) - {lowest}) AS {kind})" if found else "NULL"
+        number = f"TRY_CAST({old} AS DOUBLE)" if is_text else old
+        tests = [f"{key} = {_literal(r.old_value_txt)}" if r.old_value_txt is not None
+                 else f"{number} BETWEEN {_literal(r.old_value_num_min)} AND {_literal(r.old_value_num_max)}" for r in valid]
+        branches = " ".join(f"WHEN {test} THEN {_literal(value(r))}" for test, r in zip(tests, valid))
+        return f"CAST(CASE {branches} END AS {kind})" if branches else "NULL"
+
+    if not schemes:
+        return pick(None)
+    branches = " ".join(f"WHEN {scheme} THEN {pick(scheme)}" for scheme in schemes)
+    return f"CAST(CASE r_type {branches} ELSE {pick(None)} END AS {kind})"
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -265,21 +310,6 @@ def _literal(value) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
 
 
-def _matches(rows, rule) -> str | None:
-    """Condition of a rule as SQL text, or None when it can never hold."""
-    if rule.old_column not in rows.columns:
-        return None
-    old, is_text = _quoted(rule.old_column), isinstance(rows.schema[rule.old_column].dataType, T.StringType)
-    if rule.old_value_txt is not None:
-        test = f"{old if is_text else f'CAST({old} AS STRING)'} = {_literal(rule.old_value_txt)}"
-    elif rule.old_value_num_min is None or rule.old_value_num_max is None:
-        return None
-    else:
-        number = f"TRY_CAST({old} AS DOUBLE)" if is_text else old
-        test = f"{number} BETWEEN {rule.old_value_num_min} AND {rule.old_value_num_max}"
-    return test if rule.r_type is None else f"{test} AND r_type = {rule.r_type}"
-
-
 # --- small areas ----------------------------------------------------------------------------------
 
 def attach_area(rows: DataFrame, areas: DataFrame, geo_year: str, *, out: str = "hra_id") -> DataFrame:

@@ -2,11 +2,14 @@
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 PINNED_ROWS = 20_000
 BROADCAST_ROWS = 500_000
 CONTROL_ROWS = 10_000
+# Types whose Python values mean the same in any time zone.
+_PINNED_TYPES = (T.StringType, T.NumericType, T.BooleanType, T.DateType)
 
 
 def small_side(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -16,9 +19,10 @@ def small_side(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     and get a broadcast hint up to ``max_rows``. A larger side comes back as it is: the join is then a
     shuffle join, whose hot keys adaptive execution splits.
     """
-    rows = side.take(PINNED_ROWS + 1)
-    if len(rows) <= PINNED_ROWS:
-        return F.broadcast(local_frame(side, rows))
+    if all(isinstance(f.dataType, _PINNED_TYPES) for f in side.schema.fields):
+        rows = side.take(PINNED_ROWS + 1)
+        if len(rows) <= PINNED_ROWS:
+            return F.broadcast(local_frame(side, rows))
     return F.broadcast(side) if side.count() <= max_rows else side
 
 

@@ -27,12 +27,12 @@ def file_manifest(files: DataFrame, path: str = "file_path") -> DataFrame:
     """
     name = F.lower("file_name")
     name = F.when(name.contains(".gz"), F.substring(name, F.lit(1), F.length(name) - 3)).otherwise(name)
-    rows = files.withColumn("file_name", F.element_at(F.split(path, "/"), -1)).withColumn("_name", name)
-    race, size = F.instr(F.col("_name"), "racemars"), F.length("_name")
-    word = F.substring("_name", F.lit(1), race - 5)
-    word = remove_first(word, F.lit("code"))
+    rows = files.withColumn("file_name", F.substring_index(path, "/", -1)).withColumn("_name", name)
+    rows = rows.withColumns({"_race": F.instr("_name", "racemars"), "_size": F.length("_name")})
+    race, size = F.col("_race"), F.col("_size")
+    rows = rows.withColumn("_word", F.when(race > 0, F.substring("_name", F.lit(1), race - 5)))
     rows = rows.withColumns({
-        "_word": F.when(race > 0, word),
+        "_word": remove_first("_word", "code"),
         "geo_year": F.when(race > 0, F.substring("_name", race - 4, F.lit(4))),
         "year": F.substring("_name", size - 7, F.lit(4)),
         "r_type": F.substring("_name", size - 9, F.lit(2)).try_cast("smallint"),
@@ -50,22 +50,23 @@ def locate_files(manifest: DataFrame, *, batch_name: str | None = None, base_url
     Without ``batch_name`` the batch is the first folder below ``final_folder``. The location is the base,
     the batch and the folders of the file; a batch segment that would occur twice is left out once.
     """
-    folder = remove_first(path, F.col("file_name"))
-    below_final = remove_first(folder, F.lit(f"{final_folder}/"))
-    batch = F.lit(batch_name) if batch_name is not None else F.substring_index(below_final, "/", 1)
-    inner = remove_first(remove_first(path, F.lit(extract_folder)), F.lit(final_folder))
-    rows = manifest.withColumn("batch_name", batch).withColumn("_inner", remove_first(inner, F.col("file_name")))
+    folder = F.substring(F.col(path), F.lit(1), F.length(path) - F.length("file_name"))
+    rows = manifest.withColumn("_folder", folder)
+    rows = rows.withColumns({"_inner": remove_first("_folder", extract_folder),
+                             "_below": remove_first("_folder", f"{final_folder}/")})
+    batch = F.lit(batch_name) if batch_name is not None else F.substring_index("_below", "/", 1)
+    rows = rows.withColumns({"_inner": remove_first("_inner", final_folder), "batch_name": batch})
     rows = rows.withColumns({
         "_segment": F.concat(F.lit("/"), F.col("batch_name")),
         "_loc": F.concat(F.lit(f"{base_url}{base_path}/"), F.col("batch_name"), F.col("_inner")),
     })
-    places = (F.length("_loc") - F.length(F.replace(F.col("_loc"), F.col("_segment"), F.lit("")))) / F.length("_segment")
+    rows = rows.withColumn("_less", remove_first("_loc", F.col("_segment")))
     gz = F.when(F.col("file_name").contains(".gz"), F.col("file_name")).otherwise(F.concat("file_name", F.lit(".gz")))
     return rows.withColumns({
         "batch_date": batch_date("batch_name"),
-        "file_loc": F.when(places > 1, remove_first("_loc", F.col("_segment"))).otherwise(F.col("_loc")),
+        "file_loc": F.when(F.position(F.col("_segment"), F.col("_less")) > 0, F.col("_less")).otherwise(F.col("_loc")),
         "file_name": gz,
-    }).drop("_inner", "_segment", "_loc")
+    }).drop("_folder", "_inner", "_below", "_segment", "_loc", "_less")
 
 
 def profile_files(rows: DataFrame, file: str = "file") -> DataFrame:
