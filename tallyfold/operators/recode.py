@@ -239,7 +239,8 @@ def _cascade(rows, new_column, group, policy, override_columns) -> Column:
     def value(rule):
         first, second = ((rule.new_value_num, rule.new_value_txt) if number_first
                          else (rule.new_value_txt, rule.new_value_num))
-        return first if first is not None else second
+        won = first if first is not None else second
+        return str(won) if kind == "string" and won is not None else won
 
     def lookups(rules):
         rules = [r for r in rules if value(r) is not None and r.old_column in rows.columns]
