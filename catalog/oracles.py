@@ -449,6 +449,11 @@ SQL["archive_moved"] = _with(
     """SELECT CAST(etl_batch_id AS BIGINT) AS etl_batch_id, CASE WHEN etl_batch_id % 10 = 1 THEN 'archive' ELSE 'ref' END AS place,
 COUNT(*) AS n, CAST(SUM(pop) AS DOUBLE) AS pop FROM stamped GROUP BY ALL""", "stamped")
 
+SQL["replaced_batch_stamp"] = _with(
+    """SELECT id, CASE WHEN id = (SELECT MIN(etl_batch_id) FROM facts) THEN '2024-11-05 12:00:00'
+ELSE CAST(delete_ref_datetime AS VARCHAR) END AS delete_ref_datetime, CAST(load_ref_datetime AS VARCHAR) AS load_ref_datetime
+FROM log""", "log", "facts")
+
 # --- quality --------------------------------------------------------------------------------------
 
 SQL["totals"] = _with(

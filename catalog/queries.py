@@ -20,7 +20,8 @@ from tallyfold.operators.geo import (
     allocate, geo_direct, rollup_hierarchy, rollup_prefix,
 )
 from tallyfold.operators.lifecycle import (
-    archive_candidates, archive_move, direct_archive_candidates, prune_candidates, split_archive,
+    archive_candidates, archive_move, current_batch, direct_archive_candidates, prune_candidates, split_archive,
+    stamp_events,
 )
 from tallyfold.operators.log import (
     append_notes, apply_log_events, get_log, latest_batches, load_status, pending, upsert_log,
@@ -495,6 +496,14 @@ def archive_moved(t):
         F.count("*").alias("n"), F.sum("pop").alias("pop"))
 
 
+@query
+def replaced_batch_stamp(t):
+    """The log row of the batch that the facts begin with, stamped as deleted from the raw table."""
+    events = stamp_events(current_batch(t.facts), "etl_batch_id", ["delete_ref_datetime"], NOW)
+    log = apply_log_events(t.log, events)
+    return log.select("id", "delete_ref_datetime", "load_ref_datetime")
+
+
 # --- quality --------------------------------------------------------------------------------------
 
 @query

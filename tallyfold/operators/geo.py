@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyfold.functions.codes import block_group_code, county_code, county_fips, scope_filter, tract_code
 from tallyfold.operators.recode import CodeBook, code_book, fill_defaults, recode_facts
 from tallyfold.operators.sizing import small_side
-from tallyfold.schema import DIMENSIONS, GEO_COLUMNS, RACE_FLAGS, RAW_CODES, RECODED
+from tallyfold.schema import DIMENSIONS, GEO_COLUMNS, RAW_CODES
 
 _FILE = ["etl_batch_id", "geo_scope", "geo_year", "census_year", "year", "r_type"]
 _SUMMED = ["etl_batch_id", "census_year", "year", "r_type"]
@@ -77,7 +77,8 @@ def rollup_hierarchy(rows: DataFrame, parents: DataFrame, on: dict[str, str], pa
     ``on`` maps columns of ``rows`` to columns of ``parents``. ``parent_year`` names the parent column that
     becomes ``geo_year`` and ``geo_scope`` a fixed scope; without them both are kept from the rows.
     """
-    lookup = parents.select(*[F.col(c).alias(f"_{c}") for c in {*on.values(), parent_id, *filter(None, [parent_year])}])
+    needed = dict.fromkeys([*on.values(), parent_id, *filter(None, [parent_year])])
+    lookup = parents.select(*[F.col(c).alias(f"_{c}") for c in needed])
     match = [rows[left] == F.col(f"_{right}") for left, right in on.items()]
     year = F.col(f"_{parent_year}") if parent_year else F.col("geo_year")
     scope = [] if geo_scope else ["geo_scope"]

@@ -98,6 +98,11 @@ def prune_archive(spark: SparkSession, archive: str, candidates: DataFrame) -> i
     return drop_batches(spark, archive, candidates.select("id")) if exists(spark, archive) else 0
 
 
+def current_batch(rows: DataFrame) -> DataFrame:
+    """Lowest batch id that a table holds now, the one whose deletion is stamped when the table is replaced."""
+    return rows.agg(F.min("etl_batch_id").alias("etl_batch_id"))
+
+
 def stamp_events(ids: DataFrame, id_column: str, fields, now) -> DataFrame:
     """Log events that set the given stamp fields of all ids."""
     events = ids.select(F.col(id_column).cast("long").alias("id")).distinct()

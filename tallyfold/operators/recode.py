@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.codes import parse_age, top_code
-from tallyfold.operators.sizing import CONTROL_ROWS, control_rows, local_frame, small_side
+from tallyfold.operators import sizing
+from tallyfold.operators.sizing import control_rows, local_frame, small_side
 from tallyfold.schema import AGE_BANDS, RACE_FLAGS, RECODED
 
 _SPAN = 64  # bands that the widest rule may cover in a range join
@@ -84,7 +85,7 @@ def recode_override(rows: DataFrame, rules: DataFrame, old_column: str, new_colu
 class CodeBook:
     """The fourteen rule joins folded into five lookups keyed by raw code.
 
-    ``fans_out`` tells whether some code matches more than one rule, so that recoding may repeat rows.
+    ``fans_out`` tells whether some code may match more than one rule, so that recoding may repeat rows.
     """
 
     age: DataFrame
@@ -100,17 +101,21 @@ def code_book(rules: DataFrame) -> CodeBook:
 
     Every recode depends on one raw code (and the race scheme), so the rule joins are done once per code of
     the rule table. Multiplicity is kept: a code with two matching rules appears twice in its lookup.
+    A rule table of the usual size is held as a local relation; a larger one stays distributed.
     """
-    rows = control_rows(rules)
-    book = local_frame(rules, rows).withColumn("value", F.expr("CAST(new_value_num AS SMALLINT)"))
-    spans = [r.old_value_num_max - r.old_value_num_min for r in rows
-             if r.old_value_num_min is not None and r.old_value_num_max is not None]
-    width = _band_width(max(spans, default=0))
+    rows = rules.take(sizing.CONTROL_ROWS + 1)
+    if len(rows) <= sizing.CONTROL_ROWS:
+        spans = [r.old_value_num_max - r.old_value_num_min for r in rows
+                 if r.old_value_num_min is not None and r.old_value_num_max is not None]
+        book, side, width, fans_out = local_frame(rules, rows), F.broadcast, _band_width(max(spans, default=0)), _overlaps(rows)
+    else:
+        book, side, width, fans_out = rules, small_side, None, True
+    book = book.withColumn("value", F.expr("CAST(new_value_num AS SMALLINT)"))
 
     def in_range(codes, column, scheme=(), extra=""):
         ranges = book.where(f"old_column = '{column}'")
         codes, lookup, match = _band_match(codes, ranges, column, ["new_column", "value", *scheme], width)
-        return codes.join(F.broadcast(lookup), F.expr(match + extra))
+        return codes.join(side(lookup), F.expr(match + extra))
 
     # Three characters of text give ages from -99 to 999.
     ages = rules.sparkSession.range(-99, 1000).selectExpr("CAST(id AS SMALLINT) AS age")
@@ -124,7 +129,7 @@ def code_book(rules: DataFrame) -> CodeBook:
 
     def exact(old_column, new_column, *columns):
         picked = book.where(f"old_column = '{old_column}' AND new_column = '{new_column}' AND old_value_txt IS NOT NULL")
-        return F.broadcast(picked.selectExpr(f"old_value_txt AS {old_column}", *columns))
+        return side(picked.selectExpr(f"old_value_txt AS {old_column}", *columns))
 
     return CodeBook(
         age=small_side(age),
@@ -132,7 +137,7 @@ def code_book(rules: DataFrame) -> CodeBook:
         race=small_side(race.withColumnRenamed("r2r4", "r2r4_base")),
         override=exact("raw_hispanic", "r2r4", "r_type", "value AS r2r4_override"),
         hispanic=exact("raw_hispanic", "race_hisp", "value AS race_hisp"),
-        fans_out=_overlaps(rows),
+        fans_out=fans_out,
     )
 
 
@@ -209,7 +214,7 @@ def recode_cascade(rows: DataFrame, rules: DataFrame, *, policy: str = "first",
     if policy not in ("first", "last"):
         raise ValueError("policy must be 'first' or 'last'")
     by_column: dict[str, list[Row]] = defaultdict(list)
-    for rule in _in_precedence(control_rows(rules, CONTROL_ROWS), policy):
+    for rule in _in_precedence(control_rows(rules), policy):
         by_column[rule.new_column].append(rule)
     for new_column, group in by_column.items():
         rows = rows.withColumn(new_column, _cascade(rows, new_column, group, policy, set(override_columns)))

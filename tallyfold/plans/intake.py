@@ -27,12 +27,19 @@ def surveyed(raw: DataFrame, max_errors: int = 100) -> DataFrame:
 
 def run_intake(spark: SparkSession, folder: str, log: DataFrame, *, now, census_year: str,
                batch_name: str | None = None, base_url: str = "", base_path: str = "", final_folder: str = "",
-               max_errors: int = 100) -> DataFrame:
-    """The log with one row per file below ``folder``: name facts, rows, headcount, batch and location."""
-    files = list_files(spark, folder).withColumn("file_path", file_of("file_path"))
+               max_errors: int = 100, files: DataFrame | None = None) -> DataFrame:
+    """The log with one row per file below ``folder``: name facts, rows, headcount, batch and location.
+
+    ``files`` (column ``file_path``) restricts the intake to some of the files.
+    """
+    paths = folder
+    if files is None:
+        files = list_files(spark, folder).select(file_of("file_path").alias("file_path"))
+    else:
+        paths = [r.file_path for r in files.toLocalIterator()]
     manifest = locate_files(file_manifest(files), batch_name=batch_name, base_url=base_url, base_path=base_path,
                             extract_folder=folder, final_folder=final_folder)
-    raw = read_raw(spark, folder, recursive=True, max_errors=None)
+    raw = read_raw(spark, paths, recursive=True, max_errors=None)
     profile = profile_files(typed_rows(raw, surveyed(raw, max_errors)))
     found = manifest.join(profile.withColumnRenamed("file", "file_path"), "file_path", "left")
     found = found.fillna(0, ["rows_file", "pop_file"]).withColumn("census_year", F.lit(census_year))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from catalog.shapes import shape
 from conftest import rows_of
 from tallyfold.operators.geo import (
-    CODE_DIMENSIONS, allocate, block_codes, geo_direct, recode_rollup, rollup_hierarchy, rollup_prefix,
+    CODE_DIMENSIONS, allocate, block_codes, geo_direct, recode_rollup, rollup_hierarchy, rollup_prefix, select_facts,
 )
 from tallyfold.operators.log import latest_batches
 from tallyfold.plans.geographies import area_tables, region_table, target_tables
@@ -73,6 +73,29 @@ def test_shuffle_joins_give_the_same(inputs, chosen, spark, shuffle_only):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_hot_batch_is_split(spark, shuffle_only):
+    """A batch with a third of all rows is spread over several tasks of the shuffle join."""
+    rows = spark.range(120_000, numPartitions=8).selectExpr(
+        "IF(id % 3 = 0, 1, id % 1000) AS etl_batch_id", "CAST(id AS STRING) AS geo_id", "CAST(id AS DOUBLE) AS pop",
+        "uuid() AS raw_agestr", "'1' AS raw_gender", "'1' AS raw_racemars", "'1' AS raw_hispanic")
+    log = spark.range(1000).selectExpr("id", "'blk' AS geo_type", "'kps' AS geo_scope", "'2020' AS geo_year",
+                                       "'2020' AS census_year", "'2020' AS year", "CAST(97 AS SMALLINT) AS r_type")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB", "spark.sql.shuffle.partitions": "50"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = select_facts(rows, log, "blk")
+        assert len(joined.collect()) == 120_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_split_block_and_block_without_target(spark):
     blocks = spark.createDataFrame(
         [(1, "2020", "2020", "2020", 97, "b1", 10.0), (1, "2020", "2020", "2020", 97, "b2", 5.0)],

@@ -13,6 +13,7 @@ from tallyfold.plans.intake import run_intake
 from tallyfold.plans.load import run_archive, run_load
 from tallyfold.plans.quality import run_qa
 from tallyfold.schema import LOG_SCHEMA, STAGE_SCHEMA
+from tallyfold.streaming.arrivals import load_arrivals
 from tallyfold.sources.store import read_current, write_current
 from test_raw import LINES_97, write_gz
 
@@ -65,6 +66,26 @@ def test_two_deliveries(spark, store):
     assert rows_of(run_archive(spark, root, now=MAY, max_archive=1)) == rows_of(log)
 
 
+def test_arrivals(spark, store, tmp_path):
+    folder, root = store
+    folder.mkdir()
+    times = iter([MARCH, APRIL])
+
+    def run():
+        query = load_arrivals(spark, str(folder), root, rules(spark, False), clock=lambda: next(times), census_year="2020",
+                              checkpoint=str(tmp_path / "seen"), base_path=str(folder), final_folder=str(folder))
+        query.awaitTermination()
+        return rows_of(read_current(spark, f"{root}/log"), "id", "r_type", "qa_rows_ref", "load_ref_datetime",
+                       "load_archive_datetime")
+
+    write_gz(folder / "20240301final" / "BlockCode2020RaceMars972020.csv.gz", LINES_97)
+    assert run() == [(1, 97, 2, MARCH, None)]
+    write_gz(folder / "20240401final" / "BlockCode2020RaceMars972020.csv.gz", LINES_97)
+    assert run() == [(1, 97, 2, MARCH, APRIL), (2, 97, 2, APRIL, None)]
+    # No new file: the clock is not asked again.
+    assert len(run()) == 2
+
+
 def test_stage_only(spark, store):
     folder, root = store
     deliver(spark, folder, root, "20240301final", MARCH)

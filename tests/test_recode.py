@@ -86,6 +86,15 @@ def test_recode_facts_keeps_drops_and_fan_out(spark, overlap):
     assert code_book(book).fans_out is overlap
 
 
+def test_large_rule_table_stays_distributed(spark, monkeypatch):
+    from tallyfold.operators import sizing
+    monkeypatch.setattr(sizing, "CONTROL_ROWS", 5)
+    book, rows = rules(spark, False), facts(spark, 100)
+    expected = sorted(x for f in rows.collect() for x in brute_force(book.collect(), f))
+    assert code_book(book).fans_out
+    assert rows_of(recode_facts(rows, book), "id", *RECODED) == expected
+
+
 def test_plain_values_are_kept_apart(spark):
     row = spark.createDataFrame([(1, "030", "1", "10000", "1", 97, 1.0)], FACTS)
     plain = recode_facts(row, rules(spark, False), defaults=False)
