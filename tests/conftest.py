@@ -11,8 +11,10 @@ sys.path[:0] = [str(Path(__file__).parent.parent), str(Path(__file__).parent)]
 def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate()
+        .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false").config("spark.log.structuredLogging.enabled", "false")
+        .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

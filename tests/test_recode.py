@@ -74,13 +74,18 @@ def brute_force(rule_rows, f):
              row["base"] if row["over"] is None else row["over"]) for row in out]
 
 
+def all_by_brute_force(book, rows):
+    rule_rows = book.collect()
+    return sorted(x for f in rows.collect() for x in brute_force(rule_rows, f))
+
+
 RECODED = ["age", *AGE_BANDS, "age_100", "gender", *RACE_FLAGS, "rcode", "r1r3", "r2r4"]
 
 
 @pytest.mark.parametrize("overlap", [False, True])
 def test_recode_facts_keeps_drops_and_fan_out(spark, overlap):
     book, rows = rules(spark, overlap), facts(spark)
-    expected = sorted(x for f in rows.collect() for x in brute_force(book.collect(), f))
+    expected = all_by_brute_force(book, rows)
     assert expected
     assert rows_of(recode_facts(rows, book), "id", *RECODED) == expected
     assert code_book(book).fans_out is overlap
@@ -90,7 +95,7 @@ def test_large_rule_table_stays_distributed(spark, monkeypatch):
     from tallyfold.operators import sizing
     monkeypatch.setattr(sizing, "CONTROL_ROWS", 5)
     book, rows = rules(spark, False), facts(spark, 100)
-    expected = sorted(x for f in rows.collect() for x in brute_force(book.collect(), f))
+    expected = all_by_brute_force(book, rows)
     assert code_book(book).fans_out
     assert rows_of(recode_facts(rows, book), "id", *RECODED) == expected
 
@@ -125,7 +130,7 @@ def test_override_wins(spark):
 
 def test_shuffle_join_gives_the_same(spark, shuffle_only):
     book, rows = rules(spark, True), facts(spark)
-    expected = sorted(x for f in rows.collect() for x in brute_force(book.collect(), f))
+    expected = all_by_brute_force(book, rows)
     assert rows_of(recode_facts(rows, book), "id", *RECODED) == expected
 
 
@@ -160,7 +165,8 @@ NEW = [*AGE_BANDS, "gender", *RACE_FLAGS, "rcode", "r1r3", "r2r4"]
 def test_cascade_equals_statements_in_order(spark, policy):
     rows = facts(spark).withColumn("age", F.substring("raw_agestr", 1, 3).try_cast("smallint"))
     book = rules(spark, True)
-    expected = [apply_in_order(book.collect(), r.asDict(), policy) for r in rows.collect()]
+    rule_rows = book.collect()
+    expected = [apply_in_order(rule_rows, r.asDict(), policy) for r in rows.collect()]
     got = recode_cascade(rows, book, policy=policy)
     assert rows_of(got, "id", *NEW) == sorted(
         (tuple(r[c] for c in ["id", *NEW]) for r in expected), key=lambda t: t[0])
@@ -185,8 +191,9 @@ def test_cascade_on_random_rules(spark):
     rows = spark.createDataFrame(
         [(i, rng.choice(["p", "q", None]), rng.randint(0, 12), rng.choice([1.5, 3.0, 8000.0]), rng.choice([77, 97, 50]))
          for i in range(200)], "id int, a string, n smallint, m double, r_type smallint")
+    rule_rows = book.collect()
     for policy in ("first", "last"):
-        expected = [apply_in_order(book.collect(), r.asDict(), policy, ("a",)) for r in rows.collect()]
+        expected = [apply_in_order(rule_rows, r.asDict(), policy, ("a",)) for r in rows.collect()]
         got = recode_cascade(rows, book, policy=policy, override_columns=("a",))
         assert rows_of(got, "id", "z", "y") == sorted(tuple(r[c] for c in ("id", "z", "y")) for r in expected)
 
