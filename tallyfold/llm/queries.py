@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import bpe, mixing, quality, secrets, simhash
+from tallyfold.llm import ann, bpe, mixing, quality, secrets, sharding, simhash, spans, topk, warc
 
 #: Target shares of words by language.
 SHARES = {"en": 0.52, "de": 0.17, "fr": 0.17, "es": 0.14}
@@ -38,6 +38,17 @@ def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.col("lang").alias("domain"))
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    found = spans.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+@query
+def op2_multi_index_hashing(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_soft_mixing(spark, sf_dir):
     found = mixing.mix(table(spark, sf_dir, "documents"), labelled_texts(spark, sf_dir), SHARES)
@@ -59,6 +70,21 @@ def op6_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), spec())
 
 
+@query
+def op7_bit_sliced_topk(spark, sf_dir):
+    return topk.highest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_hilbert_shards(spark, sf_dir):
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_secret_scan(spark, sf_dir):
     return secrets.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_warc(spark, sf_dir):
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
