@@ -12,6 +12,7 @@ windows have the same one, and only windows whose least hash occurs again are lo
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,7 @@ from tallyfold.llm.common import Scratch, Words, in_chunks, rolled, text_bytes
 
 WIDTH = 13
 SHORT = 3  # words whose least hash stands for a window
+ROUNDS = 2  # shares of the edges that are looked up one after the other, so that the disk holds the shuffle of one
 _LOW = (1 << 31) - 1
 
 
@@ -133,18 +135,27 @@ def compacted(edges: DataFrame) -> DataFrame:
         "u", "v", "source", "place", F.when(F.col("joint").isNull(), 1).otherwise(0).alias("head"))
 
 
-def repeats(walked: DataFrame, edges: DataFrame) -> DataFrame:
-    """(doc_id, body, places, sources, origins): every edge that a document repeats from a smaller doc_id.
+def repeats(walked: DataFrame, edges: DataFrame, share: int) -> DataFrame:
+    """(doc_id, body, places, sources, origins): the edges of a share that a document repeats from a smaller doc_id.
 
     origins packs the place at the source and whether a path begins there.
     """
-    met = occurrences(walked).join(edges, ["u", "v"]).where("doc_id > source")
+    def in_share(rows):
+        return rows.where(F.pmod("u", F.lit(ROUNDS)) == share)
+
+    met = in_share(occurrences(walked)).join(in_share(edges), ["u", "v"]).where("doc_id > source")
     return met.groupBy("doc_id", F.shiftright("spot", 32).alias("body")).agg(
         F.collect_list(F.col("spot").bitwiseAND(F.lit((1 << 32) - 1))).alias("places"),
         F.collect_list("source").alias("sources"),
         F.collect_list(F.col("place") * 2 + F.col("head")).alias("origins"))
 
 
+def gathered(parts: list[DataFrame]) -> DataFrame:
+    """The repeats of all shares, one row per text."""
+    return reduce(DataFrame.unionByName, parts).groupBy("doc_id", "body").agg(
+        *[F.flatten(F.collect_list(c)).alias(c) for c in ("places", "sources", "origins")])
+
+
 def spans_of(found: DataFrame) -> DataFrame:
     """(doc_id, body, at, n, source, place): stretches of n windows that run along one path."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -237,7 +248,8 @@ def deduplicate(docs: DataFrame, *, width: int = WIDTH, seed: int = 0) -> DataFr
     keyed = _keyed(docs)
     known = keyed.where("doc_id IS NOT NULL")
     every = scratch.keep(seeds(known, width, seed), "seeds")
-    again = scratch.keep(every.groupBy("least").count().where("count > 1").select("least"), "again")
+    met = every.groupBy("least").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    again = scratch.keep(met.where("first < last").select("least"), "again")
     flags = every.join(again, "least").groupBy("doc_id", "body").agg(F.collect_list("run").alias("runs"))
     flagged = known.join(flags, ["doc_id", "body"]).select("doc_id", "body", "text", "runs")
     walked = scratch.keep(walks(flagged, width, seed), "walks")
@@ -245,8 +257,8 @@ def deduplicate(docs: DataFrame, *, width: int = WIDTH, seed: int = 0) -> DataFr
     edges = scratch.keep(repeated_edges(walked), "edges")
     paths = scratch.keep(compacted(edges), "paths")
     scratch.drop("edges")
-    found = scratch.keep(repeats(walked, paths), "repeats")
+    found = [scratch.keep(repeats(walked, paths, k), f"repeats-{k}") for k in range(ROUNDS)]
     scratch.drop("walks", "paths")
-    spans = scratch.keep(spans_of(found), "spans")
-    scratch.drop("repeats")
+    spans = scratch.keep(spans_of(gathered(found)), "spans")
+    scratch.drop(*[f"repeats-{k}" for k in range(ROUNDS)])
     return removed(keyed, verified(known, spans, width, scratch), width)
