@@ -196,19 +196,19 @@ def digests(keyed: DataFrame, asked: DataFrame, width: int) -> DataFrame:
     return rows.mapInPandas(run, "doc_id long, body long, at long, n long, digest binary").distinct()
 
 
-def verified(keyed: DataFrame, spans: DataFrame, width: int, scratch: Scratch) -> DataFrame:
-    """``spans`` whose words are those at their source. One that differs stops the job: two edges share their hashes."""
+def verify(keyed: DataFrame, spans: DataFrame, width: int, scratch: Scratch) -> None:
+    """Compare the words of all spans with those at their source; a difference stops the job: two edges share hashes.
+
+    Spans that say the same of one source are counted together before the two sides meet.
+    """
     asked = spans.select("doc_id", "at", "n").unionByName(
         spans.select(F.col("source").alias("doc_id"), F.col("place").alias("at"), "n"))
     told = scratch.keep(digests(keyed, asked, width), "digests")
-    own = spans.join(told, ["doc_id", "body", "at", "n"])
-    origin = told.select(F.col("doc_id").alias("source"), F.col("at").alias("place"), "n",
-                         F.col("digest").alias("origin")).distinct()
-    same = own.join(origin, ["source", "place", "n"]).where("digest = origin").select(*spans.columns).distinct()
-    checked = scratch.keep(same, "checked")
-    if checked.count() != spans.distinct().count():
+    own = spans.join(told, ["doc_id", "body", "at", "n"], "left").groupBy("source", "place", "n", "digest").count()
+    origin = told.select(F.col("doc_id").alias("source"), F.col("at").alias("place"), "n", "digest").distinct()
+    if own.join(origin, ["source", "place", "n", "digest"], "left_anti").limit(1).count():
         raise RuntimeError("different runs of words share a hash; choose another seed")
-    return checked
+    scratch.drop("digests")
 
 
 def removed(keyed: DataFrame, spans: DataFrame, width: int) -> DataFrame:
@@ -261,4 +261,5 @@ def deduplicate(docs: DataFrame, *, width: int = WIDTH, seed: int = 0) -> DataFr
     scratch.drop("walks", "paths")
     spans = scratch.keep(spans_of(gathered(found)), "spans")
     scratch.drop(*[f"repeats-{k}" for k in range(ROUNDS)])
-    return removed(keyed, verified(known, spans, width, scratch), width)
+    verify(known, spans, width, scratch)
+    return removed(keyed, spans, width)

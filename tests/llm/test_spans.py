@@ -66,7 +66,7 @@ def test_a_wrong_span_stops_the_job(spark, docs_of):
     body = {r.doc_id: r.body for r in keyed.collect()}
     wrong = spark.createDataFrame([(2, body[2], 0, 1, 1, 0)], "doc_id long, body long, at long, n long, source long, place long")
     with pytest.raises(RuntimeError):
-        spans.verified(keyed, wrong, 3, Scratch(spark, "test"))
+        spans.verify(keyed, wrong, 3, Scratch(spark, "test"))
 
 
 def test_paths_are_compacted(spark, docs_of):
