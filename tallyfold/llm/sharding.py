@@ -80,8 +80,11 @@ def assign(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:
     groups = rows.groupBy("body", "size").agg(F.min("kind").alias("kind"))
     place = groups.select("body", "size", bucket.alias("x"), F.floor(F.col("kind") / levels).alias("y"),
                           F.pmod("kind", F.lit(levels)).alias("z"))
-    curve = place.select("body", "size", hilbert([F.col("x"), F.col("y"), F.col("z")], LEVEL).alias("curve"))
-    curve = scratch.keep(curve, "curve")
+    # The curve is followed once per cell, and there are at most 2 ** (3 * LEVEL) cells.
+    axes = ["x", "y", "z"]
+    cells = place.select(*axes).distinct()
+    cells = cells.select(*axes, hilbert([F.col(c) for c in axes], LEVEL).alias("curve"))
+    curve = scratch.keep(place.join(F.broadcast(cells), axes).select("body", "size", "curve"), "curve")
     laid = rows.drop("kind").join(curve, ["body", "size"])
     order = ["curve", "body", "doc_id"]
     sorted_rows = laid.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
