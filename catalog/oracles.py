@@ -342,7 +342,8 @@ SQL["replaced_batches"] = _with(
     """SELECT CAST(etl_batch_id AS BIGINT) AS etl_batch_id, geo_type, COUNT(*) AS n, CAST(SUM(pop) AS DOUBLE) AS pop FROM stamped
 WHERE geo_type = 'blk' OR etl_batch_id % 10 <> 1 GROUP BY ALL""", "stamped")
 SQL["written_formats"] = _with(
-    """SELECT format, year, CAST(r_type AS VARCHAR) AS r_type, COUNT(pop) AS n FROM stamped
+    """SELECT format, year, raw_agestr, raw_gender, raw_hispanic, COUNT(*) AS n, COUNT(pop) AS n_pop,
+COUNT(DISTINCT geo_id) AS n_geo, CAST(SUM(CAST(pop AS DECIMAL(18,4))) AS DOUBLE) AS pop FROM stamped
 JOIN (VALUES ('parquet'), ('orc')) AS v(format) ON TRUE GROUP BY ALL""", "stamped")
 SQL["copied_tables"] = _with(
     "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS rows_from, COUNT(*) AS rows_to, 'PASS' AS status FROM {t}"
@@ -350,7 +351,7 @@ SQL["copied_tables"] = _with(
     "log", "facts", "areas", "regions", "rules")
 SQL["loaded_files"] = _with(
     """SELECT 'blk' AS geo_type, 'kps' AS geo_scope, '2020' AS geo_year, '2020' AS census_year, year, r_type,
-COUNT(*) FILTER (r_type = 97 OR pop IS NOT NULL) AS qa_rows_file, COUNT(pop) AS qa_rows_raw, COUNT(pop) AS qa_rows_stage,
+COUNT(*) AS qa_rows_file, COUNT(pop) AS qa_rows_raw, COUNT(pop) AS qa_rows_stage,
 COUNT(pop) AS qa_rows_ref, CAST(round(SUM(pop) / 1000, 0) AS DOUBLE) AS thousands_file FROM stamped GROUP BY year, r_type""",
     "stamped")
 

@@ -331,7 +331,7 @@ def stamped_rows(t):
 @query
 def table_source(t):
     rows = t.stamped.select(
-        F.col("geo_id").alias("BlockCode2020"), F.col("pop").alias("Population"), F.col("raw_agestr").alias("AgeGroup"),
+        F.col("geo_id").alias("BlockCode2020"), F.col("pop").alias("Pop"), F.col("raw_agestr").alias("AgeGroup"),
         F.col("raw_gender").alias("Gender"), F.col("raw_racemars").cast("int").alias("RaceMars97"),
         F.col("raw_hispanic").alias("Hispanic"), F.col("year").cast("int").alias("Year"))
     info = {"id": 7, "geo_type": "blk", "geo_scope": "kps", "geo_year": "2020", "census_year": "2020", "year": "1998",
@@ -344,7 +344,7 @@ def cleaned_frame(t):
     rows = t.facts.select(
         F.lit("2020").alias("Year"), F.col("geo_id").alias("BlockCode2020"), F.col("raw_agestr").alias("AgeStr"),
         F.col("raw_gender").alias("Gender"), F.col("raw_racemars").alias("RaceMars97"),
-        F.col("raw_hispanic").alias("Hispanic"), F.col("pop").alias("Population"))
+        F.col("raw_hispanic").alias("Hispanic"), F.col("pop").alias("Pop"))
     info = {"file_name": "BlockCode2020RaceMars972020.csv.gz", "geo_type": "blk", "geo_scope": "kps", "geo_year": "2020",
             "census_year": "2020", "r_type": 97}
     return clean_frame(rows, info, t.rules, t.old_areas)
@@ -362,12 +362,14 @@ def replaced_batches(t):
 
 @query
 def written_formats(t):
-    rows, path, out = t.stamped.select("year", "r_type", F.col("pop").cast("double").alias("pop")), scratch(t.spark), []
+    cells = ["geo_id", "raw_agestr", "raw_gender", "raw_racemars", "raw_hispanic", "pop", "year"]
+    rows, path, out = t.stamped.select(*cells), scratch(t.spark), []
     for fmt in ("parquet", "orc"):
         write_table(rows, f"{path}/{fmt}", fmt=fmt, partition_by=["year"])
-        cells = read_raw(t.spark, f"{path}/{fmt}", fmt=fmt)
-        out.append(cells.groupBy(F.lit(fmt).alias("format"), F.col("col3").alias("year"), F.col("col1").alias("r_type"))
-                   .agg(F.count("col2").alias("n")))
+        back = read_raw(t.spark, f"{path}/{fmt}", fmt=fmt).toDF(*cells, "file")
+        out.append(back.groupBy(F.lit(fmt).alias("format"), "year", "raw_agestr", "raw_gender", "raw_hispanic").agg(
+            F.count("*").alias("n"), F.count("pop").alias("n_pop"), F.count_distinct("geo_id").alias("n_geo"),
+            F.sum(F.col("pop").cast("decimal(18,4)")).alias("pop")))
     return out[0].unionByName(out[1])
 
 

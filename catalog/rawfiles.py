@@ -16,7 +16,7 @@ LAYOUTS = {
 }
 TITLES = {
     "year": "Year", "geo_id": "BlockCode2020", "raw_agestr": "AgeStr", "raw_gender": "Gender",
-    "raw_racemars": "RaceMars", "raw_hispanic": "Hispanic", "pop": "Population",
+    "raw_racemars": "RaceMars", "raw_hispanic": "Hispanic", "pop": "Pop",
 }
 
 

@@ -98,14 +98,14 @@ def valid_facts(rows: DataFrame, batches=None, where: Column | str | None = None
 def align_columns(rows: DataFrame, target: T.StructType, *, add_missing: bool = False) -> DataFrame:
     """Columns that ``rows`` and ``target`` share, by name in any case, in the target's order and types.
 
-    With ``add_missing`` the target's other columns are added as nulls.
+    With ``add_missing`` the target's other columns are added as nulls. A value that does not fit raises.
     """
     present = {c.lower(): c for c in rows.columns}
     picked = []
     for field in target.fields:
         source = present.get(field.name.lower())
         if source is not None:
-            picked.append(F.col(source).try_cast(field.dataType).alias(field.name))
+            picked.append(F.col(source).cast(field.dataType).alias(field.name))
         elif add_missing:
             picked.append(F.lit(None).cast(field.dataType).alias(field.name))
     return rows.select(*picked)

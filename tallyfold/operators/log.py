@@ -152,16 +152,12 @@ def upsert_log(log: DataFrame, files: DataFrame, now) -> DataFrame:
 def continue_ids(rows: DataFrame, order, start: int, *, per_task: int = 1_000_000) -> DataFrame:
     """Number rows with unique ``order`` values start+1, start+2, ... as column ``id``.
 
-    Few rows are numbered by one window. More rows are sorted into ranges and checkpointed, so that their
-    places are fixed; an id is then the place within the range plus the sizes of the ranges before it, and
-    no task sees more than one range.
+    The rows are sorted into ranges and checkpointed, so that their places are fixed; an id is then the place
+    within the range plus the sizes of the ranges before it, and no task sees more than one range.
     """
     total = rows.count()
-    if total <= per_task:
-        rank = F.row_number().over(Window.orderBy(*order))
-        return rows.withColumn("id", (F.lit(start) + rank).cast("long"))
     use_checkpoints(rows.sparkSession)
-    ranges = 2 * -(-total // per_task)
+    ranges = max(1, 2 * -(-total // per_task))
     placed = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).checkpoint()
     # The upper bits of the generated id are the partition, the lower 33 bits the row within it.
     place = F.monotonically_increasing_id()

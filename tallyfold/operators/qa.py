@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from tallyfold.schema import QA_COLUMNS, QA_KEYS
 
 
-def control_totals(rows: DataFrame) -> DataFrame:
-    """Rows with a headcount and their rounded total, per batch."""
+def control_totals(rows: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """Rows with a headcount and their rounded total, per batch; with ``ids`` one row for each of them, 0 if it has none."""
     totals = rows.where(F.col("pop").isNotNull()).groupBy("etl_batch_id")
-    return totals.agg(F.count("pop").alias("row_cnt"), F.round(F.sum("pop"), 0).alias("pop_tot"))
+    found = totals.agg(F.count("pop").alias("row_cnt"), F.round(F.sum("pop"), 0).alias("pop_tot"))
+    if ids is None:
+        return found
+    return ids.select("etl_batch_id").distinct().join(found, "etl_batch_id", "left").fillna(0, ["row_cnt", "pop_tot"])
 
 
 def reconcile_hops(log: DataFrame, hops: dict[str, DataFrame]) -> DataFrame:
@@ -33,10 +36,10 @@ def qa_long(rows: DataFrame, columns=tuple(QA_COLUMNS), pop: str = "pop") -> Dat
     """Headcount by file keys and each value of each column, null values left out.
 
     Rows are first summed by all columns together, which leaves a small set of cells, and only the cells are
-    unpivoted and summed again.
+    unpivoted and summed again. A value that is no small whole number raises.
     """
     cells = rows.groupBy(*QA_KEYS, *columns).agg(F.sum("pop").alias("pop"))
-    narrow = cells.select(*QA_KEYS, "pop", *[F.col(c).try_cast("smallint").alias(c) for c in columns])
+    narrow = cells.select(*QA_KEYS, "pop", *[F.col(c).cast("smallint").alias(c) for c in columns])
     long = narrow.unpivot([*QA_KEYS, "pop"], list(columns), "col", "val").where(F.col("val").isNotNull())
     return long.groupBy(*QA_KEYS, "col", "val").agg(F.sum("pop").alias(pop))
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyfold.operators.clean import column_roles, drop_header_rows, project_roles, strip_cells
 from tallyfold.operators.log import upsert_log
 from tallyfold.sources.manifest import file_manifest, list_files, locate_files, profile_files
-from tallyfold.sources.raw import check_errors, file_of, good_records, read_raw, survey_files
+from tallyfold.sources.raw import check_errors, file_of, folder_of, good_records, is_header, marked_bad, read_raw, survey_files
 from tallyfold.sources.store import use_checkpoints
 
 
@@ -17,6 +17,13 @@ def typed_rows(raw: DataFrame, survey: DataFrame) -> DataFrame:
     return project_roles(body, column_roles(survey.drop("bad_records")))
 
 
+def data_rows(raw: DataFrame, survey: DataFrame) -> DataFrame:
+    """File and headcount of every row that is no header, also of bad records and of rows that a load leaves out."""
+    rows = raw.withColumn("_is_bad", marked_bad(raw)).where(~is_header())
+    typed = project_roles(strip_cells(rows), column_roles(survey.drop("bad_records")))
+    return typed.select("file", F.when(~F.col("_is_bad"), F.col("pop")).alias("pop"))
+
+
 def surveyed(raw: DataFrame, max_errors: int = 100) -> DataFrame:
     """Header and bad-record survey of raw files, checkpointed because three later steps use it."""
     use_checkpoints(raw.sparkSession)
@@ -32,15 +39,19 @@ def run_intake(spark: SparkSession, folder: str, log: DataFrame, *, now, census_
 
     ``files`` (column ``file_path``) restricts the intake to some of the files.
     """
-    paths = folder
+    paths, folder = folder, folder_of(folder)
     if files is None:
-        files = list_files(spark, folder).select(file_of("file_path").alias("file_path"))
+        files = list_files(spark, paths).select(file_of("file_path").alias("file_path"))
     else:
         paths = [r.file_path for r in files.toLocalIterator()]
     manifest = locate_files(file_manifest(files), batch_name=batch_name, base_url=base_url, base_path=base_path,
-                            extract_folder=folder, final_folder=final_folder)
+                            extract_folder=folder, final_folder=folder_of(final_folder))
     raw = read_raw(spark, paths, recursive=True, max_errors=None)
-    profile = profile_files(typed_rows(raw, surveyed(raw, max_errors)))
+    survey = surveyed(raw, max_errors)
+    profile = profile_files(data_rows(raw, survey)).checkpoint()
+    stray = profile.join(manifest, profile["file"] == manifest["file_path"], "left_anti").select("file").take(5)
+    if stray:
+        raise ValueError(f"files were read that the listing does not have: {[r.file for r in stray]}")
     found = manifest.join(profile.withColumnRenamed("file", "file_path"), "file_path", "left")
     found = found.fillna(0, ["rows_file", "pop_file"]).withColumn("census_year", F.lit(census_year))
     return upsert_log(log, found, now)

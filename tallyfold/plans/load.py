@@ -37,9 +37,9 @@ def _with(rows, names):
     return rows.withColumns({c: F.lit(None).cast("smallint") for c in absent}) if absent else rows
 
 
-def batches_of(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
-    """Rows of the given batches; only their partitions are read."""
-    rows = spark.read.parquet(path).withColumn("etl_batch_id", F.col("etl_batch_id").cast("long"))
+def batches_of(spark: SparkSession, path: str, ids: DataFrame, like: DataFrame) -> DataFrame:
+    """Rows of the given batches, as ``like`` was written; only their partitions are read."""
+    rows = spark.read.schema(like.schema).parquet(path).withColumn("etl_batch_id", F.col("etl_batch_id").cast("long"))
     return rows.join(small_side(ids), "etl_batch_id", "left_semi")
 
 
@@ -77,18 +77,22 @@ def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types
 
     cells = read_raw(spark, paths, max_errors=None)
     typed = stamp_manifest(typed_rows(cells, surveyed(cells, max_errors)), manifest)
-    replace_batch(typed.drop("file"), f"{root}/raw")
-    raw = batches_of(spark, f"{root}/raw", ids)
-    replace_batch(stage_rows(raw, rules if full else None), f"{root}/stage")
-    stage = batches_of(spark, f"{root}/stage", ids)
-    events = [hop_events(control_totals(raw), "raw", now), hop_events(control_totals(stage), "stage", now)]
+    typed = typed.drop("file")
+    replace_batch(typed, f"{root}/raw", ids=ids)
+    raw = batches_of(spark, f"{root}/raw", ids, typed)
+    staged = stage_rows(raw, rules if full else None)
+    replace_batch(staged, f"{root}/stage", ids=ids)
+    stage = batches_of(spark, f"{root}/stage", ids, staged)
+    events = [hop_events(control_totals(raw, ids), "raw", now), hop_events(control_totals(stage, ids), "stage", now)]
 
     if full:
+        written = []
         for table, rows in route_by_scheme(stage, "ref").items():
-            if rows.take(1):
-                replace_batch(rows, f"{root}/{table}")
-                written = batches_of(spark, f"{root}/{table}", ids)
-                events.append(hop_events(control_totals(written), "ref", now))
+            if rows.take(1) or exists(spark, f"{root}/{table}"):
+                replace_batch(rows, f"{root}/{table}", ids=ids)
+                written.append(batches_of(spark, f"{root}/{table}", ids, rows))
+        loaded = reduce(DataFrame.unionByName, written, stage.limit(0))
+        events.append(hop_events(control_totals(loaded, ids), "ref", now))
     write_current(apply_log_events(log, reduce(DataFrame.unionByName, events)), f"{root}/log")
     return run_archive(spark, root, now=now, max_archive=max_archive) if full else read_current(spark, f"{root}/log")
 
@@ -97,7 +101,12 @@ def run_archive(spark: SparkSession, root: str, *, now, max_archive: int = 2) ->
     """Move superseded batches to the archives, prune the archives and return the new log."""
     use_checkpoints(spark)
     log = read_current(spark, f"{root}/log")
-    old = archive_candidates(log).checkpoint()
+    # Only batches that a reference table holds are moved and stamped.
+    held = [spark.read.schema("etl_batch_id long").parquet(f"{root}/{t}").distinct().toDF("archive_id")
+            for t in REFERENCE if exists(spark, f"{root}/{t}")]
+    old = archive_candidates(log)
+    old = old.join(reduce(DataFrame.unionByName, held), "archive_id", "left_semi") if held else old.limit(0)
+    old = old.checkpoint()
     for table, scheme in zip(REFERENCE, (F.col("r_type") != 77, F.col("r_type") == 77)):
         part = old.where(scheme)
         if part.take(1) and exists(spark, f"{root}/{table}"):

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.functions.names import batch_date, remove_first
 from tallyfold.schema import GEO_SCOPES, GEO_TYPE_CODES
+from tallyfold.sources.raw import CSV_NAMES
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv*") -> DataFrame:
+def list_files(spark: SparkSession, folder: str, pattern: str = CSV_NAMES) -> DataFrame:
     """Paths below a folder, without reading file contents."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     return listed.load(folder).select(F.col("path").alias("file_path"))

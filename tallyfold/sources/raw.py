@@ -13,9 +13,23 @@ from tallyfold.schema import RAW_CELLS, RAW_SCHEMA
 _BAD = "_bad_record"
 
 
+#: Names of raw text files, in any case.
+CSV_NAMES = "*.[cC][sS][vV]*"
+
+
 def file_of(path) -> Column:
-    """Plain path of a file URI, for comparing scan metadata with log locations."""
-    return F.regexp_replace(path, r"^[A-Za-z0-9]+:/+", "/")
+    """One form of a path, for comparing listings, scans and log locations: local ones plain, others whole URIs."""
+    return F.regexp_replace(path, r"^file:/+", "/")
+
+
+def folder_of(path: str) -> str:
+    """The same form for a folder name."""
+    return re.sub(r"^file:/+", "/", path)
+
+
+def scanned_file() -> Column:
+    """Path of the file that a row was read from. Scans state it with escaped blanks and the like."""
+    return file_of(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
 
 
 def read_raw(spark: SparkSession, paths, *, fmt: str = "csv", sep: str = ",", quote: str = "", line_sep: str | None = None,
@@ -24,21 +38,26 @@ def read_raw(spark: SparkSession, paths, *, fmt: str = "csv", sep: str = ",", qu
 
     Compression follows from the file ending. Header rows stay in the data with ``first_row=1``; 2 skips the
     first line of each file. A record with too few or too many fields is bad: it is left out, and more than
-    ``max_errors`` bad records in one file raise. ``max_errors=None`` leaves bad records in, marked in
+    ``max_errors`` bad records in one file raise. With ``recursive`` only CSV files below the folders are read.
+    Other formats must have exactly seven columns. ``max_errors=None`` leaves bad records in, marked in
     ``_bad_record``, for a later ``survey_files``.
     """
     if first_row not in (1, 2):
         raise ValueError("first_row must be 1 or 2")
     if fmt != "csv":
         rows = spark.read.format(fmt).load(paths)
+        if len(rows.columns) != len(RAW_CELLS):
+            raise ValueError(f"{len(rows.columns)} columns where {len(RAW_CELLS)} are expected: {rows.columns}")
         cells = [F.col(old).cast("string").alias(new) for old, new in zip(rows.columns, RAW_CELLS)]
-        return rows.select(*cells, file_of("_metadata.file_path").alias("file"))
+        return rows.select(*cells, scanned_file().alias("file"))
     reader = spark.read.schema(T.StructType([*RAW_SCHEMA.fields, T.StructField(_BAD, T.StringType())]))
     reader = reader.options(sep=sep, quote=quote, header=first_row == 2, mode="PERMISSIVE", enforceSchema=True,
                             columnNameOfCorruptRecord=_BAD, recursiveFileLookup=recursive)
+    if recursive:
+        reader = reader.option("pathGlobFilter", CSV_NAMES)
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
-    rows = reader.csv(paths).select(*RAW_CELLS, _BAD, file_of("_metadata.file_path").alias("file"))
+    rows = reader.csv(paths).select(*RAW_CELLS, _BAD, scanned_file().alias("file"))
     if max_errors is None:
         return rows
     check_errors(survey_files(rows), max_errors)
@@ -58,6 +77,16 @@ def _text(rows) -> Column:
     return F.lower(F.concat_ws("", *RAW_CELLS))
 
 
+def is_header() -> Column:
+    """Whether a row has "code" or "year" somewhere in its text."""
+    return _text(None).contains("code") | _text(None).contains("year")
+
+
+def marked_bad(rows: DataFrame) -> Column:
+    """Whether a row is a bad record. The length keeps all cells in the scan, without which the mark is not right."""
+    return F.col(_BAD).isNotNull() & (F.length(_text(rows)) >= 0) if _BAD in rows.columns else F.lit(False)
+
+
 def survey_files(rows: DataFrame) -> DataFrame:
     """Header cells and number of bad records of each file, in one scan.
 
@@ -89,19 +118,23 @@ def read_table_source(table: DataFrame, info: dict) -> DataFrame:
     """Rows of an existing table for one year in the raw layout.
 
     ``info`` is the log row of the batch. The geography column is the last one whose name contains 2 or is
-    County or LEGDIST. Race codes are padded to five digits.
+    County or LEGDIST, the headcount column the first whose name contains "pop". Race codes are padded to five
+    digits. The year is compared in the type of its column, so that the scan can skip by it.
     """
     geo = [c for c in table.columns if "2" in c or c in ("County", "LEGDIST")]
     if not geo:
         raise ValueError("no geography column found")
+    heads = [c for c in table.columns if "pop" in c.lower()]
+    if not heads:
+        raise ValueError("no headcount column found")
     geo_id = F.col(geo[-1]).cast("string")
     race = F.col("RaceMars97").cast("string")
     fips = county_fips(geo_id) if info["geo_scope"] == "kps" else F.lit(None).cast("string")
     fixed = {c: F.lit(info[c]) for c in ("geo_type", "geo_scope", "geo_year", "census_year", "r_type")}
-    return table.where(F.col("Year").cast("string") == str(info["year"])).select(
+    return table.where(F.col("Year") == F.lit(str(info["year"])).cast(table.schema["Year"].dataType)).select(
         F.lit(info["id"]).alias("etl_batch_id"),
         geo_id.alias("geo_id"),
-        F.col("Population").alias("pop"),
+        F.col(heads[0]).alias("pop"),
         F.col("AgeGroup").cast("string").alias("raw_agestr"),
         F.col("Gender").cast("string").alias("raw_gender"),
         F.when(F.length(race) < 5, F.lpad(race, 5, "0")).otherwise(race).alias("raw_racemars"),

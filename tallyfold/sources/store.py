@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that all executors see, as named by the cluster; a temporary one only in local runs."""
+    """Folder that all executors see, as named by the cluster."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="tallyfold-")
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -31,15 +28,21 @@ def write_table(rows: DataFrame, path: str, *, fmt: str = "parquet", partition_b
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def replace_batch(rows: DataFrame, path: str, *, partition_by=("etl_batch_id",)) -> None:
+def replace_batch(rows: DataFrame, path: str, *, partition_by=("etl_batch_id",), ids: DataFrame | None = None) -> None:
     """Write batches so that each one present in ``rows`` replaces its earlier content; others stay.
 
+    A batch of ``ids`` (column ``etl_batch_id``) without rows loses what it had.
+
     The rebalance hint gathers each batch into few files; adaptive execution splits a batch that is much
     larger than the others and merges small ones.
     """
     balanced = rows.hint("rebalance", *[F.col(c) for c in partition_by])
     (balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
+    if ids is not None:
+        written = rows.sparkSession.read.schema(rows.schema).parquet(path).select("etl_batch_id").distinct()
+        full = written.join(rows.select("etl_batch_id").distinct(), "etl_batch_id", "left_semi")
+        drop_batches(rows.sparkSession, path, ids.select("etl_batch_id").join(full, "etl_batch_id", "left_anti"))
 
 
 def drop_batches(spark: SparkSession, path: str, ids: DataFrame, *, partition: str = "etl_batch_id") -> int:

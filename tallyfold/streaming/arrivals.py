@@ -8,13 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyfold.plans.intake import run_intake
 from tallyfold.plans.load import run_load
 from tallyfold.schema import LOG_SCHEMA
-from tallyfold.sources.raw import file_of
+from tallyfold.sources.raw import CSV_NAMES, file_of
 from tallyfold.sources.store import exists, read_current, write_current
 
 _FILE_FIELDS = "path string, modificationTime timestamp, length long, content binary"
 
 
-def arrived_files(spark: SparkSession, folder: str, pattern: str = "*.csv*", per_trigger: int = 1000) -> DataFrame:
+def arrived_files(spark: SparkSession, folder: str, pattern: str = CSV_NAMES, per_trigger: int = 1000) -> DataFrame:
     """Stream of the paths of files that arrive below ``folder``; contents are not read."""
     stream = spark.readStream.format("binaryFile").schema(_FILE_FIELDS)
     stream = stream.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)

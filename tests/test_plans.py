@@ -18,7 +18,7 @@ from tallyfold.sources.store import read_current, write_current
 from test_raw import LINES_97, write_gz
 
 MARCH, APRIL, MAY = (dt.datetime(2024, m, 1) for m in (3, 4, 5))
-OLD = ["YEAR,BLOCKCODE,AGESTR,GENDER,RACE,HISPANIC,POPULATION", "2020,530330001001000,030,1,10000,1,4"]
+OLD = ["YEAR,BLOCKCODE,AGESTR,GENDER,RACE,HISPANIC,POP", "2020,530330001001000,030,1,10000,1,4"]
 
 
 @pytest.fixture
@@ -42,7 +42,7 @@ def test_two_deliveries(spark, store):
     deliver(spark, folder, root, "20240301final", MARCH)
     log = run_load(spark, root, rules(spark, False), now=MARCH)
     columns = ["id", "r_type", "qa_rows_file", "qa_rows_raw", "qa_rows_stage", "qa_rows_ref", "qa_pop_ref", "load_ref_datetime"]
-    assert rows_of(log, *columns) == [(1, 77, 1, 1, 1, 1, 4.0, MARCH), (2, 97, 4, 2, 2, 2, 2.0, MARCH)]
+    assert rows_of(log, *columns) == [(1, 77, 1, 1, 1, 1, 4.0, MARCH), (2, 97, 6, 2, 2, 2, 2.0, MARCH)]
     ref = spark.read.parquet(f"{root}/ref")
     assert set(ref.columns) == {f.name for f in STAGE_SCHEMA.fields}
     assert rows_of(ref, "age", "age_20", "gender", "rcode", "r2r4", "race_wht", "race_hisp", "pop") == [
@@ -111,7 +111,7 @@ def test_quality_run(spark, store):
 def test_clean_frame(spark):
     rows = spark.createDataFrame(
         [("2020", "530330001001000", "034 x", "1", "1000", "1", 2.0), ("2020", "530770001001000", "034", "1", "1000", "1", 2.0)],
-        "Year string, BlockCode2020 string, AgeStr string, Gender string, RaceMars97 string, Hispanic string, Population double")
+        "Year string, BlockCode2020 string, AgeStr string, Gender string, RaceMars97 string, Hispanic string, Pop double")
     areas = spark.createDataFrame([("2020", "530330001001000", "h1")], "geo_year string, blk_geo_id string, hra_id string")
     info = {"file_name": "BlockCode2020RaceMars972020.csv.gz", "geo_type": "blk", "geo_scope": "kps", "geo_year": "2020",
             "census_year": "2020", "r_type": 97}
@@ -122,3 +122,37 @@ def test_clean_frame(spark):
     assert clean_frame(rows, {**info, "geo_type": "trc"}, rules(spark, False), areas).count() == 0
     assert clean_frame(rows, {**info, "geo_type": "zip", "geo_scope": "wa"}, rules(spark, False), areas).where(
         F.col("fips_co") == "0").count() == 2
+
+
+def intake(spark, folder, root):
+    log = run_intake(spark, folder, spark.createDataFrame([], LOG_SCHEMA), now=MARCH, census_year="2020",
+                     base_path=folder, final_folder=folder)
+    write_current(log, f"{root}/log")
+    return log
+
+
+@pytest.mark.parametrize("scheme", ["", "file:"])
+def test_odd_names_and_stray_files(spark, tmp_path, scheme):
+    """Folders with blanks, URIs, endings in capitals and files that are no data."""
+    folder, root = tmp_path / "my files+more", str(tmp_path / "root")
+    write_gz(folder / "20240301final" / "BlockCode2020RaceMars972020.CSV.gz", LINES_97)
+    (folder / "readme.txt").write_text("a,b\n" * 150)
+    log = intake(spark, f"{scheme}{folder}", root)
+    assert rows_of(log, "batch_name", "qa_rows_file", "qa_pop_file") == [("20240301final", 6, 6.0)]
+    log = run_load(spark, root, rules(spark, False), now=MARCH)
+    assert rows_of(log, "qa_rows_raw", "qa_rows_ref") == [(2, 2)]
+
+
+def test_batch_without_valid_rows_is_stamped_and_replaced(spark, store):
+    folder, root = store
+    good = "BlockCode2020RaceMars772020.csv.gz"
+    write_gz(folder / "20240301final" / good, OLD)
+    intake(spark, str(folder), root)
+    run_load(spark, root, rules(spark, False), now=MARCH)
+    write_gz(folder / "20240301final" / good, [OLD[0], OLD[1].removesuffix("4"), OLD[1].removesuffix("4")])
+    log = intake(spark, str(folder), root)
+    assert rows_of(log, "id", "qa_rows_file", "qa_pop_file") == [(1, 2, 0.0)]
+    log = run_load(spark, root, rules(spark, False), now=APRIL)
+    assert rows_of(log, "qa_rows_raw", "qa_rows_stage", "qa_rows_ref", "qa_pop_ref", "load_ref_datetime") == [
+        (0, 0, 0, 0.0, APRIL)]
+    assert not list((folder.parent / "root").glob("[sr][te][af]*/etl_batch_id=1"))

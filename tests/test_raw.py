@@ -11,21 +11,21 @@ from tallyfold.functions import batch_date, contains_any, pad_code, parse_age, r
 from tallyfold.operators.clean import (
     align_columns, column_roles, drop_header_rows, roles_from_names, route_by_scheme, strip_cells, valid_facts,
 )
-from tallyfold.plans.intake import typed_rows
+from tallyfold.plans.intake import data_rows, typed_rows
 from tallyfold.sources.manifest import file_manifest, list_files, locate_files, profile_files
 from tallyfold.sources.raw import detect_header, read_raw, read_table_source, survey_files
 
 LINES_97 = [
     "2020,530330001001000,034,1,10000,0,1.5",
-    "Year,BlockCode,AgeStr,Gender,RaceMars97,Hispanic,Population",
+    "Year,BlockCode,AgeStr,Gender,RaceMars97,Hispanic,Pop",
     "2020,530330001001000,105,2,01000,1,0.25  ",
     "2020,530770001001000,85+,2,1000,1,",
-    "Year,BlockCode,AgeStr,Gender,RaceMars97,Hispanic,Population",
+    "Year,BlockCode,AgeStr,Gender,RaceMars97,Hispanic,Pop",
     "2020,530530001001000,001,1,10000,0,many",
     ",530530001001000,001,1,10000,0,4",
     "2020,bad",
 ]
-LINES_77 = ["POPULATION,HISPANIC,RACE,GENDER,AGE,ZIP,YEAR", "7,0,1,2,044,98101,2019"]
+LINES_77 = ["POP,HISPANIC,RACE,GENDER,AGE,ZIP,YEAR", "7,0,1,2,044,98101,2019"]
 
 
 def write_gz(path, lines, end="\r\n"):
@@ -63,9 +63,9 @@ def test_typed_rows(spark, files):
         ("2020", "530330001001000", "105", "01000", 0.25),
         ("2020", "530530001001000", "001", "10000", None),
         ("2020", "530770001001000", "85+", "1000", None)]
-    profile = profile_files(rows).withColumn("file", F.element_at(F.split("file", "/"), -1))
+    profile = profile_files(data_rows(raw, survey_files(raw))).withColumn("file", F.element_at(F.split("file", "/"), -1))
     assert rows_of(profile, "file", "rows_file", "pop_file") == [
-        ("BlockCode2020RaceMars972020.csv.gz", 4, 1.75), ("Zip2019RaceMars772019.csv.gz", 1, 7.0)]
+        ("BlockCode2020RaceMars972020.csv.gz", 5, 5.75), ("Zip2019RaceMars772019.csv.gz", 1, 7.0)]
 
 
 def test_error_limit(spark, files):
@@ -98,7 +98,7 @@ def test_strip_and_drop(spark):
 
 
 def test_roles_from_names():
-    names = ["Year", "Population", "RaceMars97", "AgeStr", "BlockCode2020", "Gender", "Hispanic", "Zip"]
+    names = ["Year", "Pop", "RaceMars97", "AgeStr", "BlockCode2020", "Gender", "Hispanic", "Zip"]
     assert list(roles_from_names(names, "zip").values()) == [
         "year", "pop", "raw_racemars", "raw_agestr", "geo_id", "raw_gender", "raw_hispanic", "geo_id"]
 
@@ -158,17 +158,29 @@ def test_filters_and_fills(spark):
 
 def test_align_columns(spark):
     target = T.StructType([T.StructField("B", T.IntegerType()), T.StructField("c", T.StringType())])
-    rows = spark.createDataFrame([("7", 1), ("x", 2)], "b string, other int")
+    rows = spark.createDataFrame([("7", 1), (None, 2)], "b string, other int")
     assert align_columns(rows, target).columns == ["B"]
     assert rows_of(align_columns(rows, target, add_missing=True)) == [(None, None), (7, None)]
 
 
 def test_table_source(spark):
     table = spark.createDataFrame([("530330", 1.0, "5", "1", 1000, "0", 2020), ("530330", 1.0, "5", "1", 123456, "0", 2019)],
-                                  "Block2020 string, Population double, AgeGroup string, Gender string, RaceMars97 int, Hispanic string, Year int")
+                                  "Block2020 string, Pop double, AgeGroup string, Gender string, RaceMars97 int, Hispanic string, Year int")
     info = {"id": 3, "geo_type": "blk", "geo_scope": "kps", "geo_year": "2020", "census_year": "2020", "year": "2020", "r_type": 97}
     assert rows_of(read_table_source(table, info), "etl_batch_id", "geo_id", "raw_racemars", "fips_co") == [(3, "530330", "01000", "33")]
     other = read_table_source(table.withColumn("County", F.lit("033")), {**info, "geo_scope": "wa"})
     assert rows_of(other, "geo_id", "fips_co") == [("033", None)]
     with pytest.raises(ValueError):
         read_table_source(table.drop("Block2020"), info)
+
+
+def test_other_formats_need_seven_columns(spark, tmp_path):
+    spark.range(3).selectExpr(*[f"id AS c{k}" for k in range(9)]).write.parquet(str(tmp_path / "p"))
+    with pytest.raises(ValueError, match="9 columns"):
+        read_raw(spark, str(tmp_path / "p"), fmt="parquet")
+
+
+def test_values_that_do_not_fit_raise(spark):
+    target = T.StructType([T.StructField("r_type", T.ShortType())])
+    with pytest.raises(Exception, match="CAST"):
+        align_columns(spark.createDataFrame([(70000,)], "r_type int"), target).collect()
