@@ -32,26 +32,30 @@ def _bucket(word: Column) -> Column:
     return F.when(word != "", F.pmod(F.xxhash64(F.lower(word)), F.lit(BUCKETS)))
 
 
-def learn(labelled: DataFrame, domains: list[str], *, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, list[float]]:
+def learn(texts: DataFrame, labelled: DataFrame, domains: list[str], scratch: Scratch, *,
+          sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, list[float]]:
     """(bucket, one log likelihood per domain) with at most BUCKETS rows, and log priors.
 
-    ``labelled`` has doc_id, text and domain; at most ``sample_rows`` rows, those of the smallest hash, are used. Rows of
-    other domains are not.
+    ``labelled`` has doc_id and domain, ``texts`` doc_id and text. At most ``sample_rows`` labelled rows, those of the
+    smallest hash, are used; rows of other domains are not.
     """
-    known = labelled.where(F.col("domain").isin(domains))
-    ids = known.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample_rows)
-    rows = known.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id")
-    counted = rows.groupBy("domain").agg(F.count("*").alias("n")).collect()
-    docs = {r["domain"]: r["n"] for r in counted}
+    known = labelled.where(F.col("domain").isin(domains) & F.col("doc_id").isNotNull())
+    chosen = known.groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    rows = texts.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = scratch.keep(rows.select("domain", "text"), "sample")
+    docs = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     total = sum(docs.values())
     priors = [float((docs.get(d, 0) + 1) / (total + len(domains))) for d in domains]
+    width = range(len(domains))
     words = rows.select("domain", F.explode(_words(F.col("text"))).alias("word")).where("word <> ''")
     tallies = words.groupBy(_bucket(F.col("word")).alias("bucket")).agg(
         *[F.sum(F.when(F.col("domain") == d, 1.0).otherwise(0.0)).alias(f"c{k}") for k, d in enumerate(domains)])
-    every = labelled.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket")).join(tallies, "bucket", "left").na.fill(0.0)
-    sums = every.agg(*[F.sum(f"c{k}").alias(f"s{k}") for k in range(len(domains))]).first()
+    buckets = texts.sparkSession.range(BUCKETS).select(F.col("id").alias("bucket"))
+    every = scratch.keep(buckets.join(tallies, "bucket", "left").na.fill(0.0), "tallies")
+    sums = every.agg(*[F.sum(f"c{k}").alias(f"s{k}") for k in width]).first()
     weights = every.select("bucket", *[
-        F.log((F.col(f"c{k}") + 0.5) / F.lit(float(sums[k]) + 0.5 * BUCKETS)).alias(f"w{k}") for k in range(len(domains))])
+        F.log((F.col(f"c{k}") + 0.5) / F.lit(float(sums[k]) + 0.5 * BUCKETS)).alias(f"w{k}") for k in width])
     return weights, [log(p) for p in priors]
 
 
@@ -115,17 +119,18 @@ def fit_rates(table: DataFrame, shares: list[float], scratch: Scratch, *, least:
     return Fit(rows, reached, targets, steps)
 
 
-def mix(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], *, least: float = 0.0, seed: int = 7) -> DataFrame:
+def mix(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], *, texts: DataFrame | None = None,
+        least: float = 0.0, seed: int = 7) -> DataFrame:
     """doc_id, body, n_tokens, p_<domain> ..., rate, copies for each row of ``docs``.
 
     copies is the rate rounded down or up by a hash of doc_id and text, so its mean is the rate. Null and empty texts
-    have no words, the prior and a rate like others. Rows without doc_id and repeated rows are treated like any other.
+    have no words, the prior and a rate like others. The classifier learns the domains that ``labelled`` (doc_id,
+    domain) states from ``texts``, by default ``docs``. Rows without doc_id and repeated rows are treated like any other.
     Columns beyond doc_id and text are not read.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     domains = sorted(shares)
-    weights, priors = learn(labelled, domains)
-    weights = scratch.keep(weights, "weights")
+    weights, priors = learn(docs if texts is None else texts, labelled, domains, scratch)
     table = scratch.keep(posteriors(docs, weights, priors), "posteriors")
     fit = fit_rates(table, [float(shares[d]) for d in domains], scratch, least=least)
     chance = F.pmod(F.xxhash64("doc_id", "body", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -134,9 +139,10 @@ def mix(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], *, least
         "rate", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).alias("copies"))
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], *, least: float = 0.0, seed: int = 7) -> DataFrame:
+def mixed(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], *, texts: DataFrame | None = None,
+          least: float = 0.0, seed: int = 7) -> DataFrame:
     """The rows of ``docs`` in as many copies as ``mix`` gives them, with the columns they had."""
-    found = mix(docs, labelled, shares, least=least, seed=seed)
+    found = mix(docs, labelled, shares, texts=texts, least=least, seed=seed)
     copies = found.groupBy("doc_id", "body").agg(F.max("copies").alias("copies"))
     named = copies.select(F.col("doc_id").alias("of"), F.col("body").alias("held"), "copies")
     same = docs["doc_id"].eqNullSafe(named["of"]) & F.xxhash64(docs["text"]).eqNullSafe(named["held"])

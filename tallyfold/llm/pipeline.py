@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyfold.llm import bpe, mixing, quality, secrets, simhash
 from tallyfold.llm.common import Scratch
-from tallyfold.llm.queries import SHARES, labelled_texts, spec, table
+from tallyfold.llm.queries import SHARES, labelled_languages, spec, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,8 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, and repeated so that expected words by language match the target shares."""
-    return mixing.mixed(docs, labelled_texts(spark, sf_dir), SHARES, least=1.0)
+    return mixing.mixed(docs, labelled_languages(spark, sf_dir), SHARES, least=1.0,
+                        texts=table(spark, sf_dir, "documents"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

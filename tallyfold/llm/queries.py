@@ -31,11 +31,11 @@ def spec(path: str | None = None) -> str:
     return bpe.read_spec(path or public_tokenizers.path(TOKENIZER))
 
 
-def labelled_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that ``labels`` lists, with their language as domain."""
+def labelled_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and language, as domain, of the documents that ``labels`` lists."""
     ids = table(spark, sf_dir, "labels").select("doc_id").distinct()
-    return table(spark, sf_dir, "documents").join(ids, "doc_id", "left_semi").select(
-        "doc_id", "text", F.col("lang").alias("domain"))
+    known = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("domain"))
+    return known.join(ids, "doc_id", "left_semi")
 
 
 @query
@@ -51,7 +51,7 @@ def op2_multi_index_hashing(spark, sf_dir):
 
 @query
 def op3_soft_mixing(spark, sf_dir):
-    found = mixing.mix(table(spark, sf_dir, "documents"), labelled_texts(spark, sf_dir), SHARES)
+    found = mixing.mix(table(spark, sf_dir, "documents"), labelled_languages(spark, sf_dir), SHARES)
     return found.drop("body")
 
 
