@@ -65,6 +65,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def free(name: str, rows: DataFrame) -> str:
+    """A column name that ``rows`` does not have."""
+    while name.lower() in map(str.lower, rows.columns):
+        name = f"_{name}"
+    return name
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread every input bit over the 64 output bits."""
     x = x ^ (x >> np.uint64(30))

@@ -13,7 +13,7 @@ from math import log
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyfold.llm.common import Scratch
+from tallyfold.llm.common import Scratch, free
 
 BLANKS = r"[\x20\x09-\x0D]+"
 BUCKETS = 4096
@@ -146,6 +146,5 @@ def mixed(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], *, tex
     copies = found.groupBy("doc_id", "body").agg(F.max("copies").alias("copies"))
     named = copies.select(F.col("doc_id").alias("of"), F.col("body").alias("held"), "copies")
     same = docs["doc_id"].eqNullSafe(named["of"]) & F.xxhash64(docs["text"]).eqNullSafe(named["held"])
-    rows = docs.join(named, same).where("copies > 0")
-    return rows.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")
-                       ).drop("_copy")
+    rows, time = docs.join(named, same).where(named["copies"] > 0), free("time", docs)
+    return rows.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), named["copies"])).alias(time)).drop(time)

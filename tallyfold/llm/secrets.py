@@ -14,6 +14,8 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyfold.llm.common import free
+
 _MOST = 32  # strings followed side by side before the query is closed
 _GRAMS = 3  # trigrams asked for of one string
 
@@ -166,14 +168,14 @@ def _spans(rule: Rule, number: int, text: Column) -> Column:
 _NONE = "cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)"
 
 
-def with_spans(docs: DataFrame, rules=RULES) -> DataFrame:
-    """``docs`` with the array ``spans`` of (start, kind, end): code points, end exclusive, by start and then kind.
+def with_spans(docs: DataFrame, rules=RULES, *, spans: str = "spans") -> DataFrame:
+    """``docs`` with an array, named ``spans``, of (start, kind, end): code points, end exclusive, by start and then kind.
 
     Matches of one kind do not overlap; kind is the rule's number. Null and empty texts have none. Rows that repeat a
-    doc_id or have none are matched against their own text. Other columns stay as they are.
+    doc_id or have none are matched against their own text. Other columns stay as they are; the new name must be free.
     """
-    if "spans" in docs.columns:
-        raise ValueError("column spans exists already")
+    if spans in docs.columns:
+        raise ValueError(f"column {spans} exists already")
     asked = [r for r in rules if trigram_query(r.pattern)]
     rows = docs
     if asked:
@@ -181,11 +183,11 @@ def with_spans(docs: DataFrame, rules=RULES) -> DataFrame:
         rows = docs.join(found, docs["doc_id"].eqNullSafe(found["of"]), "left")
     parts = []
     for number, rule in enumerate(rules):
-        wanted = F.col("text").rlike(rule.pattern)
+        wanted = docs["text"].rlike(rule.pattern)
         if rule in asked:
-            wanted = F.array_contains("kinds", rule.kind) & wanted
-        parts.append(F.when(wanted, _spans(rule, number, F.col("text"))).otherwise(F.expr(_NONE)))
-    return rows.select(*[docs[c] for c in docs.columns], F.sort_array(F.concat(*parts)).alias("spans"))
+            wanted = F.array_contains(found["kinds"], rule.kind) & wanted
+        parts.append(F.when(wanted, _spans(rule, number, docs["text"])).otherwise(F.expr(_NONE)))
+    return rows.select(*[docs[c] for c in docs.columns], F.sort_array(F.concat(*parts)).alias(spans))
 
 
 def told(spans: Column, rules=RULES) -> Column:
@@ -209,7 +211,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, *, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each run of overlapping spans replaced by ``mark``, and n_chars of changed texts counted anew."""
-    rows = with_spans(docs)
+    spans, clean = free("spans", docs), free("clean", docs)
+    rows = with_spans(docs, spans=spans)
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(state, s):
@@ -220,11 +223,10 @@ def redacted(docs: DataFrame, *, mark: str = "[SECRET]") -> DataFrame:
     def end(state):
         return F.concat(state["out"], F.substring(F.col("text"), (state["at"] + 1).cast("int"), F.length("text")))
 
-    hit = F.size("spans") > 0
-    clean = F.when(hit, F.aggregate("spans", start, step, end)).otherwise(F.col("text"))
-    out = rows.withColumn("clean", clean)
+    hit = F.size(spans) > 0
+    out = rows.withColumn(clean, F.when(hit, F.aggregate(spans, start, step, end)).otherwise(F.col("text")))
     kind = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
-    cells = {"text": F.col("clean")}
+    cells = {"text": F.col(clean)}
     if kind is not None:
-        cells["n_chars"] = F.when(hit, F.length("clean").cast(kind)).otherwise(F.col("n_chars"))
+        cells["n_chars"] = F.when(hit, F.length(clean).cast(kind)).otherwise(F.col("n_chars"))
     return out.select(*[cells.get(c, F.col(c)).alias(c) for c in docs.columns])

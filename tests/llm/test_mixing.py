@@ -36,7 +36,7 @@ def test_rates_against_brute_force(spark, least):
 def test_mix_reaches_targets_and_keeps_rows(spark, docs_of):
     rows = [(k, "the of and " * 9, "en") for k in range(60)] + [(100 + k, "der die das " * 9, "de") for k in range(20)]
     rows += [(200, None, "en"), (201, "", "de"), (None, "the der", "en"), (7, "the of and " * 9, "en")]
-    docs = docs_of(*rows).selectExpr("*", "1 AS n", "2 AS rate", "3 AS copies", "4 AS body", "5 AS domain", "6 AS row")
+    docs = docs_of(*rows).selectExpr("*", "1 AS n", "2 AS rate", "3 AS copies", "4 AS body", "5 AS domain", "6 AS row", "7 AS time")
     labelled = docs_of(*rows).selectExpr("doc_id", "lang AS domain").where("doc_id % 2 = 0")
     found = mixing.mix(docs, labelled, {"en": 0.5, "de": 0.5}).collect()
     assert len(found) == len(rows)
