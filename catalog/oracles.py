@@ -237,6 +237,16 @@ for _policy in ("first", "last"):
     SQL[f"cascade_{_policy}"] = _with(_stamped_select(_policy == "first"), "stamped", "rules", padded=_PADDED,
                                       ranked=_ranked(_policy), coded=_cascaded(_policy))
 
+SQL["cascade_many_rules"] = """WITH spans AS (
+  SELECT k.l_orderkey, CAST(arg_max(o.o_custkey % 50, o.o_orderkey) AS SMALLINT) AS grade
+  FROM (SELECT DISTINCT l_orderkey FROM lineitem) k JOIN orders o ON o.o_orderkey BETWEEN k.l_orderkey - 3 AND k.l_orderkey
+  GROUP BY k.l_orderkey),
+rows AS (SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_linenumber % 2 = 0 THEN 77 ELSE 97 END AS SMALLINT) AS r_type FROM lineitem)
+SELECT r.l_orderkey, r.l_linenumber, r.r_type, CASE WHEN o.o_orderkey IS NULL THEN s.grade
+  WHEN o.o_orderkey % 5 = 0 THEN NULL ELSE CAST(o.o_custkey % 100 AS SMALLINT) END AS grade
+FROM rows r LEFT JOIN spans s ON s.l_orderkey = r.l_orderkey
+LEFT JOIN orders o ON o.o_orderkey = r.l_orderkey AND (o.o_orderkey % 2 = 0 OR r.r_type = 77)"""
+
 SQL["area_of_block"] = _with(
     f"""SELECT {_FACT_COLUMNS}, a.hra_id FROM facts f
 LEFT JOIN (SELECT * FROM old_areas WHERE geo_year = '2020') a ON a.blk_geo_id = f.geo_id""", "facts", "old_areas")

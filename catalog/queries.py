@@ -214,6 +214,23 @@ def cascade_last(t):
     return recode_cascade(_padded(t), t.rules, policy="last")
 
 
+@query
+def cascade_many_rules(t):
+    """Two rules for every order, some without a new value; the newer form, on the code, overwrites the ranges."""
+    exact = t.table("orders").selectExpr(
+        "'code' AS old_column", "CAST(o_orderkey AS STRING) AS old_value_txt", "CAST(NULL AS INT) AS old_value_num_min",
+        "CAST(NULL AS INT) AS old_value_num_max", "'grade' AS new_column",
+        "CAST(IF(o_orderkey % 5 = 0, NULL, o_custkey % 100) AS INT) AS new_value_num", "CAST(NULL AS STRING) AS new_value_txt",
+        "CAST(IF(o_orderkey % 2 = 0, NULL, 77) AS SMALLINT) AS r_type")
+    spans = t.table("orders").selectExpr(
+        "'number' AS old_column", "CAST(NULL AS STRING) AS old_value_txt", "CAST(o_orderkey AS INT) AS old_value_num_min",
+        "CAST(o_orderkey + 3 AS INT) AS old_value_num_max", "'grade' AS new_column",
+        "CAST(o_custkey % 50 AS INT) AS new_value_num", "CAST(NULL AS STRING) AS new_value_txt", "CAST(NULL AS SMALLINT) AS r_type")
+    rows = t.table("lineitem").selectExpr("l_orderkey", "l_linenumber", "CAST(l_orderkey AS STRING) AS code",
+                                 "CAST(l_orderkey AS INT) AS number", "CAST(IF(l_linenumber % 2 = 0, 77, 97) AS SMALLINT) AS r_type")
+    return recode_cascade(rows, exact.unionByName(spans), policy="last").drop("code", "number")
+
+
 @query
 def area_of_block(t):
     return attach_area(t.facts, t.old_areas, "2020")

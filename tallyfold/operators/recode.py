@@ -7,18 +7,16 @@ from __future__ import annotations
 
 from collections import defaultdict
 from dataclasses import dataclass
-from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.codes import parse_age, top_code
 from tallyfold.operators import sizing
-from tallyfold.operators.sizing import control_rows, local_frame, small_side
+from tallyfold.operators.sizing import local_frame, small_side
 from tallyfold.schema import AGE_BANDS, RACE_FLAGS, RECODED
 
 _SPAN = 64  # bands that the widest rule may cover in a range join
-_ARRAY_SPAN = 4096  # whole numbers that the ranges of one recode may cover in a constant array
 _SCOPED = [("raw_racemars", name) for name in ["rcode", *RACE_FLAGS[:-1]]] + [
     ("rcode", "r1r3"), ("rcode", "r2r4"), ("raw_hispanic", "r2r4"),
 ]
@@ -204,106 +202,172 @@ def fill_defaults(rows: DataFrame) -> DataFrame:
 
 def recode_cascade(rows: DataFrame, rules: DataFrame, *, policy: str = "first",
                    override_columns=("raw_hispanic",)) -> DataFrame:
-    """Apply the rules one after another, compiled into one expression per new column.
+    """Apply the rules one after another, as lookups of the rule that decides.
 
     ``policy="first"``: a rule only fills a null, except that rules on ``override_columns`` overwrite.
-    ``policy="last"``: every matching rule overwrites. A rule without a text value is an inclusive range
-    rule, and a rule without ``r_type`` applies to both schemes. Columns are built in the order of the
-    sorted rule table, so that a column can depend on one built before it (rcode before r2r4).
+    ``policy="last"``: every matching rule overwrites. A rule that overwrites does so with null too. A rule without a
+    text value is an inclusive range rule, and a rule without ``r_type`` applies to both schemes. Rules run by new and
+    old column descending, so that a column can depend on one built before it (rcode before r2r4).
+
+    Which rule wins is found on the rule side, per old value. Rows meet one lookup per old column and form of rule, by
+    equality and with at most one match, whatever the number of rules. Only column names are read when the plan is built.
     """
     if policy not in ("first", "last"):
         raise ValueError("policy must be 'first' or 'last'")
-    by_column: dict[str, list[Row]] = defaultdict(list)
-    for rule in _in_precedence(control_rows(rules), policy):
-        by_column[rule.new_column].append(rule)
-    for new_column, group in by_column.items():
-        rows = rows.withColumn(new_column, _cascade(rows, new_column, group, policy, set(override_columns)))
-    return rows
-
-
-def _in_precedence(rows, policy):
-    """Sort by new column and old column descending, then by the remaining fields ascending, nulls last."""
-    tail = ["new_value_num", "new_value_txt"] if policy == "first" else ["old_value_txt", "old_value_num_min"]
-    for name in reversed(tail):
-        present = [r for r in rows if r[name] is not None]
-        rows = sorted(present, key=lambda r: r[name]) + [r for r in rows if r[name] is None]
-    for name in ("old_column", "new_column"):
-        rows = sorted(rows, key=lambda r: r[name], reverse=True)
-    return rows
-
-
-def _cascade(rows, new_column, group, policy, override_columns) -> Column:
-    """The rules of one new column as lookups, the deciding ones first."""
-    number_first = policy == "first"
-    textual = any((r.new_value_num is None) if number_first else (r.new_value_txt is not None) for r in group)
-    if new_column in rows.columns:
-        kind = rows.schema[new_column].dataType.simpleString()
-    else:
-        kind = "string" if textual else "smallint"
-
-    def value(rule):
-        first, second = ((rule.new_value_num, rule.new_value_txt) if number_first
-                         else (rule.new_value_txt, rule.new_value_num))
-        won = first if first is not None else second
-        return str(won) if kind == "string" and won is not None else won
-
-    def lookups(rules):
-        rules = [r for r in rules if value(r) is not None and r.old_column in rows.columns]
-        return [_lookup(rows, list(same), value, kind) for _, same in groupby(rules, key=lambda r: r.old_column)]
-
-    start = [_quoted(new_column)] if new_column in rows.columns else []
-    if policy == "last":
-        parts = [*lookups(reversed(group)), *start]
-    else:
-        overriding = [r for r in group if r.old_column in override_columns]
-        filling = [r for r in group if r.old_column not in override_columns]
-        parts = [*lookups(reversed(overriding)), *start, *lookups(filling)]
-    return F.expr(f"coalesce({', '.join([*parts, f'CAST(NULL AS {kind})'])})")
+    rules = rules.where("old_column IS NOT NULL AND new_column IS NOT NULL").withColumn(
+        "_at", F.monotonically_increasing_id())
+    groups = _rule_groups(rows, rules, policy, set(override_columns))
+    order = sorted(groups, reverse=True)
+    names, ready = rows.columns, {}
+    for at, new_column in enumerate(order):
+        present = [g for g in groups[new_column] if g.old_column in rows.columns]
+        for old in dict.fromkeys(g.old_column for g in present):
+            if old not in ready:
+                until = order.index(old) + 1 if old in order[at:] else len(order)
+                users = [g for later in order[at:until] for g in groups[later] if g.old_column == old]
+                rows, ready[old] = _attach_winners(rows, rules, old, users, f"_{at}_{len(ready)}")
+        won = [(g, ready[g.old_column][new_column]) for g in present]
+        rows = rows.withColumn(new_column, _decided(rows, new_column, won, groups[new_column][0].kind))
+        ready.pop(new_column, None)
+        names = [*names, new_column] if new_column not in names else names
+    return rows.select(*map(_quoted, names))
 
 
-def _lookup(rows, rules, value, kind) -> str:
-    """First matching rule of rules on one old column, as SQL text.
-
-    Exact rules become a constant map and ranges on whole numbers a constant array, one per race scheme that
-    the rules name. Unlike a long CASE these keep the generated code short enough to be compiled to machine
-    code. Rules that fit neither form do become a CASE.
+@dataclass(frozen=True)
+class _Group:
+    """The rules of one new column on one old column."""
+
+    new_column: str
+    old_column: str
+    kind: str  # type of the new column
+    value: str  # SQL text of the new value of a rule
+    fills: bool  # the first value that is not null wins; otherwise the last rule
+    order: tuple[str, ...]
+    schemes: tuple[int, ...]
+    exact: bool
+    widest: int | None  # of its range rules
+
+    def decisive(self, column: Column) -> Column:
+        return F.min(column) if self.fills else F.max(column)
+
+    def best(self, *columns: Column) -> Column:
+        return F.least(*columns) if self.fills else F.greatest(*columns)
+
+    def winner(self) -> Column:
+        """Place and value of a rule of this group, null for other rules."""
+        mine = f"new_column = {_literal(self.new_column)}" + (f" AND {self.value} IS NOT NULL" if self.fills else "")
+        return F.expr(f"CASE WHEN {mine} THEN struct({', '.join(self.order)}, {self.value} AS value) END")
+
+
+def _rule_groups(rows, rules, policy, override_columns) -> dict[str, list[_Group]]:
+    """Groups by new column, in the order in which they run. As many as pairs of column names."""
+    first, second = ("new_value_num", "new_value_txt") if policy == "first" else ("new_value_txt", "new_value_num")
+    tail = ("new_value_num", "new_value_txt") if policy == "first" else ("old_value_txt", "old_value_num_min")
+    order = tuple(f"{c} IS NULL AS no_{c}, {c}" for c in tail) + ("_at",)
+    text = f"new_value_txt IS NOT NULL AND (new_value_num IS NULL OR {str(policy == 'last').upper()})"
+    found = rules.groupBy("new_column", "old_column").agg(
+        F.collect_set("r_type").alias("schemes"), F.bool_or(F.expr(text)).alias("textual"),
+        F.bool_or(F.col("old_value_txt").isNotNull()).alias("exact"),
+        F.expr("max(CAST(old_value_num_max AS BIGINT) - old_value_num_min) FILTER (WHERE old_value_txt IS NULL)").alias("widest"),
+    ).collect()
+    groups: dict[str, list[_Group]] = defaultdict(list)
+    for new_column in {g.new_column for g in found}:
+        own = sorted((g for g in found if g.new_column == new_column), key=lambda g: g.old_column, reverse=True)
+        textual = any(g.textual for g in own)
+        if new_column in rows.columns:
+            kind = rows.schema[new_column].dataType.simpleString()
+        else:
+            kind = "string" if textual else "smallint"
+        either = f"coalesce(CAST({first} AS STRING), CAST({second} AS STRING))" if textual else "new_value_num"
+        for g in own:
+            groups[new_column].append(_Group(
+                new_column, g.old_column, kind, f"CAST({either} AS {kind})",
+                policy == "first" and g.old_column not in override_columns, order, tuple(sorted(g.schemes)),
+                g.exact, g.widest))
+    return groups
+
+
+def _attach_winners(rows, rules, old, users, tag) -> tuple[DataFrame, dict[str, Column]]:
+    """Join the lookups of one old column; the winner of each user's rules by new column."""
+    column, kind = F.col(_quoted(old)), rows.schema[old].dataType
+    is_text = isinstance(kind, T.StringType)
+    mine = rules.where(F.col("old_column") == old)
+    found: dict[str, list[Column]] = {g.new_column: [] for g in users}
+    widest = [g.widest for g in users if g.widest is not None]
+    alone = not (widest and any(g.exact for g in users))
+
+    if any(g.exact for g in users):
+        key, texts = f"{tag}_key", mine.where("old_value_txt IS NOT NULL")
+        exact, picks = _by_key(texts.withColumn(key, F.col("old_value_txt")), key, users, f"{tag}_e", alone)
+        rows = rows.join(exact, (column if is_text else column.cast("string")) == F.col(key), "left")
+        for name, pick in picks.items():
+            found[name].append(pick)
+
+    if widest:
+        width, key = _band_width(max(widest)), f"{tag}_band"
+        spans = mine.where("old_value_txt IS NULL AND old_value_num_min <= old_value_num_max")
+        bands = f"explode(sequence(CAST(floor(old_value_num_min / {width}) AS BIGINT), CAST(floor(old_value_num_max / {width}) AS BIGINT))) AS {key}"
+        value = F.expr(f"TRY_CAST({_quoted(old)} AS DOUBLE)") if is_text else column
+        place = F.floor(value / F.lit(width)).cast("bigint")
+        if width == 1 and isinstance(kind, T.IntegralType):
+            # A band is one value, so its winner is known.
+            lookup, picks = _by_key(spans.selectExpr("*", bands), key, users, f"{tag}_r", alone)
+            rows = rows.join(lookup, column.cast("bigint") == F.col(key), "left")
+            for name, pick in picks.items():
+                found[name].append(pick)
+        else:
+            # Equal ranges meet first; a band then lists each of its ranges once.
+            spans = spans.groupBy("old_value_num_min", "old_value_num_max", "r_type").agg(
+                *[g.decisive(g.winner()).alias(f"w{number}") for number, g in enumerate(users)]).selectExpr("*", bands)
+            listed = spans.groupBy(key).agg(*[
+                F.collect_list(F.expr(f"CASE WHEN w{number} IS NOT NULL THEN struct(old_value_num_min AS lo, "
+                                      f"old_value_num_max AS hi, r_type, w{number} AS win) END")).alias(f"{tag}_r{number}")
+                for number in range(len(users))])
+            rows = rows.join(listed, place == F.col(key), "left")
+            for number, g in enumerate(users):
+                hits = F.filter(f"{tag}_r{number}", lambda x: value.between(x["lo"], x["hi"]))
+                if g.schemes:
+                    hits = F.filter(hits, lambda x: x["r_type"].isNull() | (x["r_type"] == F.col("r_type")))
+                hits = F.transform(hits, lambda x: x["win"])
+                found[g.new_column].append(F.array_min(hits) if g.fills else F.array_max(hits))
+
+    best = {g.new_column: g.best for g in users}
+    return rows, {name: best[name](*w) if len(w) > 1 else w[0] for name, w in found.items()}
+
+
+def _by_key(rules, key, users, tag, alone) -> tuple[DataFrame, dict[str, Column]]:
+    """The winners per key, one column for each user and scheme, and which of them a row takes.
+
+    ``alone`` leaves out the winners' places, which nothing is compared with then.
     """
-    old, old_kind = _quoted(rules[0].old_column), rows.schema[rules[0].old_column].dataType
-    is_text = isinstance(old_kind, T.StringType)
-    schemes = sorted({r.r_type for r in rules if r.r_type is not None})
-    exact = all(r.old_value_txt is not None for r in rules)
-    bounds = [(r.old_value_num_min, r.old_value_num_max) for r in rules if r.old_value_txt is None]
-    whole = len(bounds) == len(rules) and isinstance(old_kind, (T.ByteType, T.ShortType, T.IntegerType)) and all(
-        lo is not None and hi is not None for lo, hi in bounds)
-    lowest = min((lo for lo, _ in bounds), default=0) if whole else 0
-    if whole and max(hi for _, hi in bounds) - lowest > _ARRAY_SPAN:
-        whole = False
-    key = old if is_text else f"CAST({old} AS STRING)"
-
-    def pick(scheme):
-        valid = [r for r in rules if r.r_type is None or r.r_type == scheme]
-        found = {}
-        if exact:
-            for r in valid:
-                found.setdefault(r.old_value_txt, value(r))
-            pairs = ", ".join(f"{_literal(k)}, {_literal(v)}" for k, v in found.items())
-            return f"CAST(try_element_at(map({pairs}), {key}) AS {kind})" if found else "NULL"
-        if whole:
-            for r in valid:
-                for number in range(r.old_value_num_min, r.old_value_num_max + 1):
-                    found.setdefault(number - lowest, value(r))
-            items = ", ".join(_literal(found.get(i)) for i in range(max(found, default=-1) + 1))
-            return f"CAST(get(array({items}), CAST({old} AS INT) - {lowest}) AS {kind})" if found else "NULL"
-        number = f"TRY_CAST({old} AS DOUBLE)" if is_text else old
-        tests = [f"{key} = {_literal(r.old_value_txt)}" if r.old_value_txt is not None
-                 else f"{number} BETWEEN {_literal(r.old_value_num_min)} AND {_literal(r.old_value_num_max)}" for r in valid]
-        branches = " ".join(f"WHEN {test} THEN {_literal(value(r))}" for test, r in zip(tests, valid))
-        return f"CAST(CASE {branches} END AS {kind})" if branches else "NULL"
-
-    if not schemes:
-        return pick(None)
-    branches = " ".join(f"WHEN {scheme} THEN {pick(scheme)}" for scheme in schemes)
-    return f"CAST(CASE r_type {branches} ELSE {pick(None)} END AS {kind})"
+    raw, shown, picks = [], [], {}
+    for number, g in enumerate(users):
+        names = {s: f"{tag}{number}_{'any' if s is None else s}".replace("-", "m") for s in (None, *g.schemes)}
+        for scheme, name in names.items():
+            same = F.col("r_type").isNull() if scheme is None else F.col("r_type") == scheme
+            raw.append(g.decisive(F.when(same, g.winner())).alias(name))
+            win = F.col(name) if scheme is None else g.best(F.col(name), F.col(names[None]))
+            shown.append((F.when(win.isNotNull(), F.struct(win["value"].alias("value"))) if alone else win).alias(name))
+        pick = F.col(names[None])
+        for scheme in g.schemes:
+            pick = F.when(F.col("r_type") == scheme, F.col(names[scheme])).otherwise(pick)
+        picks[g.new_column] = pick
+    return rules.groupBy(key).agg(*raw).select(key, *shown), picks
+
+
+def _decided(rows, new_column, won, kind) -> Column:
+    """The value of a new column from the winners of its groups, which run in the given order."""
+    nothing = F.lit(None).cast(kind)
+    start = F.col(_quoted(new_column)) if new_column in rows.columns else nothing
+    def filled(groups):
+        return F.coalesce(*[w["value"] for g, w in groups if g.fills], nothing)
+
+    result = F.coalesce(start, filled(won))
+    for place, (g, w) in enumerate(won):
+        if not g.fills:
+            # What overwrites with null can be filled by the groups that follow.
+            result = F.when(w.isNotNull(), F.coalesce(w["value"], filled(won[place + 1:]))).otherwise(result)
+    return result
 
 
 def _quoted(name: str) -> str:

@@ -1,4 +1,4 @@
-"""Size checks in front of every broadcast, and reading of small control tables."""
+"""Size checks in front of broadcasts."""
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -32,11 +32,3 @@ def local_frame(like: DataFrame, rows) -> DataFrame:
     schema = to_arrow_schema(like.schema)
     arrow = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
     return like.sparkSession.createDataFrame(arrow, schema=like.schema)
-
-
-def control_rows(table: DataFrame, max_rows: int = CONTROL_ROWS) -> list:
-    """Rows of a control table that has to be small by its nature, such as a code book."""
-    rows = table.take(max_rows + 1)
-    if len(rows) > max_rows:
-        raise ValueError(f"control table has more than {max_rows} rows")
-    return rows

@@ -181,12 +181,12 @@ def test_cascade_on_random_rules(spark):
         old, new = rng.choice(olds), rng.choice(news)
         scheme = rng.choice([None, 77, 97])
         if old in ("a", "b") and not (old == "b" and rng.random() < 0.5):
-            rule_rows.append((old, rng.choice("pqr"), None, None, new, i, None, scheme))
+            rule_rows.append((old, rng.choice("pqr"), None, None, new, rng.choice([i, i, None]), None, scheme))
         elif old == "b":
             continue
         else:
             lo = rng.randint(0, 8000 if old == "m" else 9)
-            rule_rows.append((old, None, lo, lo + rng.randint(0, 5), new, i, None, scheme))
+            rule_rows.append((old, None, lo, lo + rng.randint(0, 5), new, rng.choice([i, i, None]), None, scheme))
     book = spark.createDataFrame(rule_rows, RULE_SCHEMA)
     rows = spark.createDataFrame(
         [(i, rng.choice(["p", "q", None]), rng.randint(0, 12), rng.choice([1.5, 3.0, 8000.0]), rng.choice([77, 97, 50]))
@@ -209,6 +209,34 @@ def test_text_values_and_existing_columns(spark):
         recode_cascade(rows, book, policy="best")
 
 
+def test_rules_without_a_new_value(spark):
+    book = rule(spark, ("k", "a", None, None, "v", 1, None, None), ("j", "a", None, None, "v", None, None, None),
+                ("i", "a", None, None, "v", 3, None, None))
+    rows = spark.createDataFrame([("x", "a", "a"), ("a", "a", "a"), ("x", "a", "x")], "i string, j string, k string")
+    assert rows_of(recode_cascade(rows, book, policy="last"), "i", "k", "v") == [("a", "a", 3), ("x", "a", None), ("x", "x", None)]
+    # The override takes the value away, what runs after it fills again.
+    first = recode_cascade(rows, book, override_columns=("j",))
+    assert rows_of(first, "i", "k", "v") == [("a", "a", 3), ("x", "a", None), ("x", "x", None)]
+
+
+@pytest.mark.parametrize("policy", ["first", "last"])
+def test_cascade_with_many_rules(spark, policy):
+    book = spark.range(12_000).selectExpr(
+        "IF(id % 2 = 0, 'code', 'number') AS old_column", "IF(id % 2 = 0, CAST(id AS STRING), NULL) AS old_value_txt",
+        "IF(id % 2 = 1, CAST(id AS INT), NULL) AS old_value_num_min", "IF(id % 2 = 1, CAST(id + 4 AS INT), NULL) AS old_value_num_max",
+        "'v' AS new_column", "CAST(id % 1000 AS INT) AS new_value_num", "CAST(NULL AS STRING) AS new_value_txt",
+        "CAST(IF(id % 3 = 0, 77, NULL) AS SMALLINT) AS r_type")
+    rows = spark.createDataFrame([(str(n), n, s) for n in (-5, 0, 7, 8, 3000, 11998, 20000) for s in (77, 97)],
+                                 "code string, number int, r_type smallint")
+    rule_rows = book.collect()
+    expected = [apply_in_order([r for r in rule_rows if r.old_value_txt == str(n) or r.old_value_txt is None
+                                and r.old_value_num_min <= n <= r.old_value_num_max], row.asDict(), policy)
+                for row in rows.collect() for n in (row.number,)]
+    got = recode_cascade(rows, book, policy=policy)
+    assert rows_of(got, "number", "r_type", "v") == sorted(
+        ((r["number"], r["r_type"], r.get("v")) for r in expected), key=lambda t: t[:2])
+
+
 def test_cascade_equals_join_without_overlaps(spark):
     book = rules(spark, False)
     rows = facts(spark).withColumn("age", F.substring("raw_agestr", 1, 3).try_cast("smallint"))
