@@ -365,6 +365,12 @@ COUNT(*) AS qa_rows_file, COUNT(pop) AS qa_rows_raw, COUNT(pop) AS qa_rows_stage
 COUNT(pop) AS qa_rows_ref, CAST(round(SUM(pop) / 1000, 0) AS DOUBLE) AS thousands_file FROM stamped GROUP BY year, r_type""",
     "stamped")
 
+SQL["loaded_table_batches"] = _with(
+    """SELECT CAST(year AS BIGINT) AS id, year, COUNT(pop) AS qa_rows_raw, COUNT(pop) AS qa_rows_stage,
+COUNT(pop) AS qa_rows_ref, CAST(round(COALESCE(SUM(pop), 0), 0) AS DOUBLE) AS qa_pop_raw,
+CAST(round(COALESCE(SUM(pop), 0), 0) AS DOUBLE) AS qa_pop_stage, CAST(round(COALESCE(SUM(pop), 0), 0) AS DOUBLE) AS qa_pop_ref,
+TRUE AS loaded FROM stamped GROUP BY year""", "stamped")
+
 # --- log ------------------------------------------------------------------------------------------
 
 _LISTED = """id, batch_name, CAST(batch_date AS VARCHAR) AS batch_date, geo_type, geo_scope, geo_year, census_year, year, r_type"""

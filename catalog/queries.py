@@ -409,6 +409,30 @@ def loaded_files(t):
         F.round(F.sum("qa_pop_file") / 1000, 0).alias("thousands_file"))
 
 
+@query
+def loaded_table_batches(t):
+    """Batches that an existing table holds, through raw, stage and reference: all hops of the log per batch."""
+    root = scratch(t.spark)
+    table = t.stamped.select(
+        F.col("geo_id").alias("BlockCode2020"), F.col("pop").alias("Pop"), F.col("raw_agestr").alias("AgeGroup"),
+        F.col("raw_gender").alias("Gender"), F.col("raw_racemars").cast("int").alias("RaceMars97"),
+        F.col("raw_hispanic").alias("Hispanic"), F.col("year").cast("int").alias("Year"))
+    path = f"{root}/headcounts"
+    write_table(table, path)
+    # One log row per year of the table; the year is its id.
+    years = t.stamped.select("year").distinct()
+    values = {"id": F.col("year").cast("long"), "batch_name": F.lit("tables"), "batch_date": F.lit("2024-03-01"),
+              "file_name": F.lit("headcounts"), "file_loc": F.lit("ref"), "geo_type": F.lit("blk"),
+              "geo_scope": F.lit("kps"), "geo_year": F.lit("2020"), "census_year": F.lit("2020"),
+              "year": F.col("year"), "r_type": F.lit(97)}
+    log = years.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in _log_schema().fields])
+    write_current(log, f"{root}/log")
+    log = run_load(t.spark, root, t.rules, now=NOW, tables={"headcounts": t.spark.read.parquet(path)})
+    hops = ("raw", "stage", "ref")
+    return log.select("id", "year", *[f"qa_rows_{hop}" for hop in hops], *[f"qa_pop_{hop}" for hop in hops],
+                      F.col("load_ref_datetime").isNotNull().alias("loaded"))
+
+
 def _log_schema():
     from tallyfold.schema import LOG_SCHEMA
     return LOG_SCHEMA

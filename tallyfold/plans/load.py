@@ -17,7 +17,7 @@ from tallyfold.operators.recode import recode_cascade
 from tallyfold.operators.sizing import small_side
 from tallyfold.plans.intake import surveyed, typed_rows
 from tallyfold.schema import RACE_FLAGS, STAGE_SCHEMA
-from tallyfold.sources.raw import file_of, read_raw
+from tallyfold.sources.raw import file_of, read_raw, read_table_batches
 from tallyfold.sources.store import exists, read_current, replace_batch, use_checkpoints, write_current
 
 REFERENCE = ("ref", "ref_77")
@@ -57,9 +57,13 @@ def hop_events(totals: DataFrame, hop: str, now) -> DataFrame:
 
 def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types=(), census_year: str | None = None,
              min_year: int = 0, batch_name: str | None = None, folders=(), r_type: int | None = None,
-             full: bool = True, max_errors: int = 100, max_archive: int = 2) -> DataFrame:
+             full: bool = True, max_errors: int = 100, max_archive: int = 2,
+             tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Load every pending file of the log below ``root`` in one plan per hop and return the new log.
 
+    Batches with the location "ref" come from the table of ``tables`` that their file name names, each one the
+    rows of its year; those whose table is not given stay pending.
+
     ``root`` holds ``log`` (versioned) and the batch-partitioned datasets ``raw``, ``stage``, ``ref``,
     ``ref_77`` and their archives. With ``full=False`` rows stop at the stage. Only hops that ran are stamped.
     A repeated run replaces the batches it writes.
@@ -68,16 +72,23 @@ def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types
     log = read_current(spark, f"{root}/log")
     work = pending(log, "files", geo_types=geo_types, census_year=census_year, min_year=min_year,
                    batch_name=batch_name, folders=folders, r_type=r_type)
-    work = work.where(F.col("file_loc") != "ref").withColumn("path", F.concat("file_loc", "file_name")).checkpoint()
-    paths = [r.path for r in work.select("path").toLocalIterator()]
-    if not paths:
+    tables = tables or {}
+    in_table = F.col("file_loc") == "ref"
+    given = in_table & F.col("file_name").isin(*tables) if tables else F.lit(False)
+    work = work.where(~in_table | given).checkpoint()
+    files = work.where(~in_table).withColumn("path", F.concat("file_loc", "file_name"))
+    paths = [r.path for r in files.select("path").toLocalIterator()]
+    named = {r.file_name for r in work.where(in_table).select("file_name").distinct().toLocalIterator()}
+    if not paths and not named:
         return log
-    manifest = work.withColumn("file", file_of("path")).withColumnRenamed("id", "etl_batch_id")
-    ids = manifest.select("etl_batch_id")
-
-    cells = read_raw(spark, paths, max_errors=None)
-    typed = stamp_manifest(typed_rows(cells, surveyed(cells, max_errors)), manifest)
-    typed = typed.drop("file")
+    ids = work.select(F.col("id").alias("etl_batch_id"))
+
+    parts = [read_table_batches(tables[name], work.where(in_table & (F.col("file_name") == name))) for name in sorted(named)]
+    if paths:
+        manifest = files.withColumn("file", file_of("path")).withColumnRenamed("id", "etl_batch_id")
+        cells = read_raw(spark, paths, max_errors=None)
+        parts.append(stamp_manifest(typed_rows(cells, surveyed(cells, max_errors)), manifest).drop("file"))
+    typed = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), parts)
     replace_batch(typed, f"{root}/raw", ids=ids)
     raw = batches_of(spark, f"{root}/raw", ids, typed)
     staged = stage_rows(raw, rules if full else None)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.codes import county_fips
+from tallyfold.operators.sizing import small_side
 from tallyfold.schema import RAW_CELLS, RAW_SCHEMA
 
 _BAD = "_bad_record"
@@ -114,37 +115,58 @@ def detect_header(rows: DataFrame) -> DataFrame:
     return survey_files(rows).select("file", *RAW_CELLS)
 
 
-def read_table_source(table: DataFrame, info: dict) -> DataFrame:
-    """Rows of an existing table for one year in the raw layout.
-
-    ``info`` is the log row of the batch. The geography column is the last one whose name contains 2 or is
-    County or LEGDIST, the headcount column the first whose name contains "pop". Race codes are padded to five
-    digits. The year is compared in the type of its column, so that the scan can skip by it.
-    """
+def _table_rows(table: DataFrame, years) -> DataFrame:
+    """Rows of a table for some years with raw column names; the years are compared in the type of their column."""
     geo = [c for c in table.columns if "2" in c or c in ("County", "LEGDIST")]
     if not geo:
         raise ValueError("no geography column found")
     heads = [c for c in table.columns if "pop" in c.lower()]
     if not heads:
         raise ValueError("no headcount column found")
-    geo_id = F.col(geo[-1]).cast("string")
     race = F.col("RaceMars97").cast("string")
-    fips = county_fips(geo_id) if info["geo_scope"] == "kps" else F.lit(None).cast("string")
-    fixed = {c: F.lit(info[c]) for c in ("geo_type", "geo_scope", "geo_year", "census_year", "r_type")}
-    return table.where(F.col("Year") == F.lit(str(info["year"])).cast(table.schema["Year"].dataType)).select(
-        F.lit(info["id"]).alias("etl_batch_id"),
-        geo_id.alias("geo_id"),
+    kind = table.schema["Year"].dataType
+    return table.where(F.col("Year").isin(*[F.lit(str(year)).cast(kind) for year in years])).select(
+        F.col(geo[-1]).cast("string").alias("geo_id"),
         F.col(heads[0]).alias("pop"),
         F.col("AgeGroup").cast("string").alias("raw_agestr"),
         F.col("Gender").cast("string").alias("raw_gender"),
         F.when(F.length(race) < 5, F.lpad(race, 5, "0")).otherwise(race).alias("raw_racemars"),
         F.col("Hispanic").cast("string").alias("raw_hispanic"),
-        *[value.alias(name) for name, value in fixed.items()],
         F.col("Year").cast("string").alias("year"),
-        fips.alias("fips_co"),
     )
 
 
+_TABLE_CONSTANTS = ["geo_type", "geo_scope", "geo_year", "census_year", "r_type"]
+
+
+def read_table_source(table: DataFrame, info: dict) -> DataFrame:
+    """Rows of an existing table for one year in the raw layout.
+
+    ``info`` is the log row of the batch. The geography column is the last one whose name contains 2 or is
+    County or LEGDIST, the headcount column the first whose name contains "pop". Race codes are padded to five
+    digits. The year is compared in the type of its column, so that the scan can skip by it.
+    """
+    rows = _table_rows(table, [info["year"]])
+    fips = county_fips("geo_id") if info["geo_scope"] == "kps" else F.lit(None).cast("string")
+    return rows.select(
+        F.lit(info["id"]).alias("etl_batch_id"), *[c for c in rows.columns if c != "year"],
+        *[F.lit(info[c]).alias(c) for c in _TABLE_CONSTANTS], "year", fips.alias("fips_co"))
+
+
+def read_table_batches(table: DataFrame, batches: DataFrame) -> DataFrame:
+    """Rows of an existing table in the raw layout for many batches: each log row of ``batches`` takes its year.
+
+    All batches are read in one scan, which skips by the years they name. Columns are found as in
+    ``read_table_source``; a batch whose year the table does not have gets no row.
+    """
+    years = sorted(row.year for row in batches.select("year").distinct().toLocalIterator() if row.year is not None)
+    year = F.col("year").cast(table.schema["Year"].dataType).cast("string").alias("year")
+    constants = batches.select(F.col("id").cast("long").alias("etl_batch_id"), *_TABLE_CONSTANTS, year)
+    rows = _table_rows(table, years).withColumn("pop", F.col("pop").cast("double"))
+    rows = rows.join(small_side(constants), "year")
+    return rows.withColumn("fips_co", F.when(F.col("geo_scope") == "kps", county_fips("geo_id")))
+
+
 def name_prefix(file_name: str) -> str:
     """Text of a file name before its first number, the geography word of its id column."""
     return re.split(r"[0-9]", file_name, maxsplit=1)[0]

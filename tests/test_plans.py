@@ -156,3 +156,23 @@ def test_batch_without_valid_rows_is_stamped_and_replaced(spark, store):
     assert rows_of(log, "qa_rows_raw", "qa_rows_stage", "qa_rows_ref", "qa_pop_ref", "load_ref_datetime") == [
         (0, 0, 0, 0.0, APRIL)]
     assert not list((folder.parent / "root").glob("[sr][te][af]*/etl_batch_id=1"))
+
+
+def test_table_batches_are_loaded_beside_files(spark, store):
+    folder, root = store
+    write_gz(folder / "20240301final" / "BlockCode2020RaceMars972020.csv.gz", LINES_97)
+    log = intake(spark, str(folder), root)
+    row = {"id": 9, "batch_name": "tables", "batch_date": dt.date(2024, 3, 1), "file_name": "heads", "file_loc": "ref",
+           "geo_type": "blk", "geo_scope": "kps", "geo_year": "2020", "census_year": "2020", "year": "2019", "r_type": 97}
+    fields = [f.name for f in LOG_SCHEMA.fields]
+    more = [tuple({**row, **change}.get(name) for name in fields)
+            for change in ({}, {"id": 10, "year": "2018"}, {"id": 11, "file_name": "absent"})]
+    write_current(log.unionByName(spark.createDataFrame(more, LOG_SCHEMA)), f"{root}/log")
+    heads = spark.createDataFrame(
+        [("530330001001000", 2.0, "034", "1", 10000, "0", 2019), ("530330001001000", 5.0, "034", "1", 10000, "0", 2017)],
+        "Block2020 string, Pop double, AgeGroup string, Gender string, RaceMars97 int, Hispanic string, Year int")
+    log = run_load(spark, root, rules(spark, False), now=MARCH, tables={"heads": heads})
+    assert rows_of(log, "id", "qa_rows_raw", "qa_rows_ref", "qa_pop_ref", "load_ref_datetime") == [
+        (1, 2, 2, 2.0, MARCH), (9, 1, 1, 2.0, MARCH), (10, 0, 0, 0.0, MARCH), (11, None, None, None, None)]
+    ref = spark.read.parquet(f"{root}/ref").where("etl_batch_id = 9")
+    assert rows_of(ref, "year", "age", "gender", "fips_co", "pop") == [("2019", 34, 1, 33, 2.0)]

@@ -13,7 +13,7 @@ from tallyfold.operators.clean import (
 )
 from tallyfold.plans.intake import data_rows, typed_rows
 from tallyfold.sources.manifest import file_manifest, list_files, locate_files, profile_files
-from tallyfold.sources.raw import detect_header, read_raw, read_table_source, survey_files
+from tallyfold.sources.raw import detect_header, read_raw, read_table_batches, read_table_source, survey_files
 
 LINES_97 = [
     "2020,530330001001000,034,1,10000,0,1.5",
@@ -174,6 +174,22 @@ def test_table_source(spark):
         read_table_source(table.drop("Block2020"), info)
 
 
+def test_table_batches_read_their_years_in_one_scan(spark, tmp_path):
+    years = spark.createDataFrame(
+        [("530330", 1.0, "5", "1", 1000, "0", year) for year in (2018, 2019, 2020, None)],
+        "Block2020 string, Pop double, AgeGroup string, Gender string, RaceMars97 int, Hispanic string, Year int")
+    years.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    batches = spark.createDataFrame(
+        [(1, "blk", "kps", "2020", "2020", 97, "2020"), (2, "blk", None, "2020", "2020", 97, "2019"),
+         (3, "blk", "kps", "2020", "2020", 97, "1999"), (4, "blk", "kps", "2020", "2020", 97, None)],
+        "id long, geo_type string, geo_scope string, geo_year string, census_year string, r_type smallint, year string")
+    found = read_table_batches(table, batches)
+    assert rows_of(found, "etl_batch_id", "year", "raw_racemars", "fips_co") == [(1, "2020", "01000", "33"), (2, "2019", "01000", None)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(Year" in plan and plan.count("FileScan") == 1
+
+
 def test_other_formats_need_seven_columns(spark, tmp_path):
     spark.range(3).selectExpr(*[f"id AS c{k}" for k in range(9)]).write.parquet(str(tmp_path / "p"))
     with pytest.raises(ValueError, match="9 columns"):
