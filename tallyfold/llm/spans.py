@@ -1,7 +1,7 @@
 """Substring dedup over the De Bruijn graph of word runs.
 
 Nodes are runs of width - 1 words, edges runs of ``width`` words. An edge in several documents is repeated; its source
-is a place in the smallest of them. Paths of repeated edges without branches, whose sources follow each other, are
+is a place in a text of the smallest of them. Paths of repeated edges without branches, whose sources follow each other, are
 compacted: a node of one edge in and one out joins the two. What a document repeats is then cut along the paths, so
 that copies ask for the same pieces of the same source, and those are compared word by word through digests.
 
@@ -25,6 +25,7 @@ WIDTH = 13
 SHORT = 3  # words whose least hash stands for a window
 ROUNDS = 2  # shares of the edges that are looked up one after the other, so that the disk holds the shuffle of one
 _LOW = (1 << 31) - 1
+_HEAD = 1 << 31  # bit of a spot that places leave free
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -107,17 +108,19 @@ def occurrences(walked: DataFrame) -> DataFrame:
 
 
 def repeated_edges(walked: DataFrame) -> DataFrame:
-    """(u, v, source, place) of edges in several documents: the smallest doc_id and a place there."""
+    """(u, v, source, place) of edges in several documents: the smallest doc_id and a spot there.
+
+    A spot names the text too, so neighbouring spots are places of one text where several texts share a doc_id.
+    """
     found = occurrences(walked).groupBy("u", "v").agg(
-        F.min("doc_id").alias("source"), F.max("doc_id").alias("last"),
-        F.min_by(F.col("spot").bitwiseAND(F.lit((1 << 32) - 1)), "doc_id").alias("place"))
+        F.min("doc_id").alias("source"), F.max("doc_id").alias("last"), F.min_by("spot", "doc_id").alias("place"))
     return found.where("source < last").drop("last")
 
 
 def compacted(edges: DataFrame) -> DataFrame:
     """``edges`` with ``head``: 1 where a path begins, 0 where the edge continues the one before it at its source.
 
-    A node joins its only edge in and its only edge out if their sources are neighbouring places.
+    A node joins its only edge in and its only edge out if their sources are neighbouring places of one text.
     """
     out = edges.select(F.col("u").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"), "source", "place")
     into = edges.select(F.col("v").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"), "source", "place")
@@ -138,7 +141,7 @@ def compacted(edges: DataFrame) -> DataFrame:
 def repeats(walked: DataFrame, edges: DataFrame, share: int) -> DataFrame:
     """(doc_id, body, places, sources, origins): the edges of a share that a document repeats from a smaller doc_id.
 
-    origins packs the place at the source and whether a path begins there.
+    origins packs the spot at the source and whether a path begins there.
     """
     def in_share(rows):
         return rows.where(F.pmod("u", F.lit(ROUNDS)) == share)
@@ -147,7 +150,7 @@ def repeats(walked: DataFrame, edges: DataFrame, share: int) -> DataFrame:
     return met.groupBy("doc_id", F.shiftright("spot", 32).alias("body")).agg(
         F.collect_list(F.col("spot").bitwiseAND(F.lit((1 << 32) - 1))).alias("places"),
         F.collect_list("source").alias("sources"),
-        F.collect_list(F.col("place") * 2 + F.col("head")).alias("origins"))
+        F.collect_list(F.col("place") + F.col("head") * F.lit(_HEAD)).alias("origins"))
 
 
 def gathered(parts: list[DataFrame]) -> DataFrame:
@@ -157,17 +160,17 @@ def gathered(parts: list[DataFrame]) -> DataFrame:
 
 
 def spans_of(found: DataFrame) -> DataFrame:
-    """(doc_id, body, at, n, source, place): stretches of n windows that run along one path."""
+    """(doc_id, body, at, n, source, place): stretches of n windows that run along one path; place is a spot."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for doc_id, body, places, sources, origins in batch.itertuples(index=False):
                 at, order = np.unique(places, return_index=True)
                 source, origin = np.asarray(sources)[order], np.asarray(origins)[order]
-                place, head = origin >> 1, origin & 1
+                place, head = origin & ~_HEAD, origin & _HEAD
                 new = np.ones(len(at), dtype=bool)
                 new[1:] = ((at[1:] != at[:-1] + 1) | (source[1:] != source[:-1])
-                           | (place[1:] != place[:-1] + 1) | (head[1:] == 1))
+                           | (place[1:] != place[:-1] + 1) | (head[1:] != 0))
                 first = np.flatnonzero(new)
                 n = np.diff(np.append(first, len(at)))
                 out.append(pd.DataFrame({"doc_id": doc_id, "body": body, "at": at[first], "n": n,
@@ -179,7 +182,7 @@ def spans_of(found: DataFrame) -> DataFrame:
 
 def digests(keyed: DataFrame, asked: DataFrame, width: int) -> DataFrame:
     """(doc_id, body, at, n, digest): 128 bits of the words that n windows from place ``at`` cover."""
-    lists = asked.distinct().groupBy("doc_id").agg(F.collect_list(F.shiftleft("at", 31) + F.col("n")).alias("runs"))
+    lists = asked.distinct().groupBy("doc_id", "body").agg(F.collect_list(F.shiftleft("at", 31) + F.col("n")).alias("runs"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -192,7 +195,7 @@ def digests(keyed: DataFrame, asked: DataFrame, width: int) -> DataFrame:
                         out.append((doc_id, body, at, packed & _LOW, xxhash.xxh3_128_digest(b" ".join(words[at:end]))))
             yield pd.DataFrame(out, columns=["doc_id", "body", "at", "n", "digest"])
 
-    rows = keyed.join(lists, "doc_id").select("doc_id", "body", "text", "runs")
+    rows = keyed.join(lists, ["doc_id", "body"]).select("doc_id", "body", "text", "runs")
     return rows.mapInPandas(run, "doc_id long, body long, at long, n long, digest binary").distinct()
 
 
@@ -201,11 +204,13 @@ def verify(keyed: DataFrame, spans: DataFrame, width: int, scratch: Scratch) ->
 
     Spans that say the same of one source are counted together before the two sides meet.
     """
-    asked = spans.select("doc_id", "at", "n").unionByName(
-        spans.select(F.col("source").alias("doc_id"), F.col("place").alias("at"), "n"))
+    text, place = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
+    asked = spans.select("doc_id", "body", "at", "n").unionByName(
+        spans.select(F.col("source").alias("doc_id"), text.alias("body"), place.alias("at"), "n"))
     told = scratch.keep(digests(keyed, asked, width), "digests")
     own = spans.join(told, ["doc_id", "body", "at", "n"], "left").groupBy("source", "place", "n", "digest").count()
-    origin = told.select(F.col("doc_id").alias("source"), F.col("at").alias("place"), "n", "digest").distinct()
+    spot = F.shiftleft("body", 32) + F.col("at")
+    origin = told.select(F.col("doc_id").alias("source"), spot.alias("place"), "n", "digest").distinct()
     if own.join(origin, ["source", "place", "n", "digest"], "left_anti").limit(1).count():
         raise RuntimeError("different runs of words share a hash; choose another seed")
     scratch.drop("digests")

@@ -54,6 +54,26 @@ def test_nulls_repeats_and_odd_texts(docs_of):
     check(docs_of(*rows), rows)
 
 
+def test_texts_of_one_doc_id_that_line_up(spark, docs_of):
+    """Windows 0-5 come from one text of document 1, windows 8-20 from the other, at consecutive places."""
+    words = [f"a{k}" for k in range(40)]
+    one, two = ([*words[:k], "changed", *words[k + 1:]] for k in (20, 5))
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join(words))]
+    check(docs_of(*rows), rows)
+    rows += [(3, " ".join(words + one))] + [(k, " ".join([*words[:k], "other", *words[k + 1:]])) for k in range(1, 38) for _ in range(2)]
+    check(docs_of(*rows), rows, 5)
+
+
+def test_a_span_is_compared_with_its_own_source_text(spark, docs_of):
+    keyed = spans._keyed(docs_of((1, "a b c d"), (1, "a b x d"), (2, "a b c d")))
+    body = {r.text: r.body for r in keyed.collect()}
+    kind = "doc_id long, body long, at long, n long, source long, place long"
+    right, wrong = (spark.createDataFrame([(2, body["a b c d"], 0, 1, 1, body[t] << 32)], kind) for t in ("a b c d", "a b x d"))
+    spans.verify(keyed, right, 3, Scratch(spark, "test"))
+    with pytest.raises(RuntimeError):
+        spans.verify(keyed, wrong, 3, Scratch(spark, "test"))
+
+
 def test_empty_table_and_other_columns(spark, docs_of):
     assert spans.deduplicate(docs_of().limit(0)).count() == 0
     rows = [(1, "a b c d"), (2, "a b c d")]
