@@ -24,6 +24,7 @@ from tallyfold.llm.common import Scratch, Words, in_chunks, rolled, text_bytes
 WIDTH = 13
 SHORT = 3  # words whose least hash stands for a window
 ROUNDS = 2  # shares of the edges that are looked up one after the other, so that the disk holds the shuffle of one
+PIECE = 256  # windows of a block of a text; spans are compared in pieces that lie in one block on both sides
 _LOW = (1 << 31) - 1
 _HEAD = 1 << 31  # bit of a spot that places leave free
 
@@ -180,35 +181,78 @@ def spans_of(found: DataFrame) -> DataFrame:
     return found.mapInPandas(run, "doc_id long, body long, at long, n long, source long, place long")
 
 
-def digests(keyed: DataFrame, asked: DataFrame, width: int) -> DataFrame:
-    """(doc_id, body, at, n, digest): 128 bits of the words that n windows from place ``at`` cover."""
-    lists = asked.distinct().groupBy("doc_id", "body").agg(F.collect_list(F.shiftleft("at", 31) + F.col("n")).alias("runs"))
+def pieces(spans: DataFrame, size: int) -> DataFrame:
+    """``spans`` cut where ``at`` or the place at the source is a multiple of ``size``; together they cover the same."""
+    def cuts(column):
+        first = size - F.pmod(column, F.lit(size))
+        return F.when(first < F.col("n"), F.sequence(first, F.col("n") - 1, F.lit(size).cast("long"))).otherwise(
+            F.array().cast("array<bigint>"))
 
+    zero = F.array(F.lit(0).cast("long"))
+    starts = spans.withColumn("starts", F.array_sort(F.array_union(zero, F.array_union(cuts("at"), cuts("place")))))
+    each = F.transform("starts", lambda k, i: F.struct(
+        k.alias("from"), (F.coalesce(F.try_element_at("starts", (i + 2).cast("int")), F.col("n")) - k).alias("windows")))
+    return starts.select("doc_id", "body", "at", "source", "place", F.inline(each)).select(
+        "doc_id", "body", (F.col("at") + F.col("from")).alias("at"), F.col("windows").alias("n"), "source",
+        (F.col("place") + F.col("from")).alias("place"))
+
+
+def asked_of(cut: DataFrame, size: int) -> DataFrame:
+    """(doc_id, body, block, runs): the pieces asked of each block of a text, by its own spans or as a source.
+
+    A block has at most size * (size + 1) / 2 pieces, however many documents quote it.
+    """
+    text, place = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
+    asked = cut.select("doc_id", "body", "at", "n").unionByName(
+        cut.select(F.col("source").alias("doc_id"), text.alias("body"), place.alias("at"), "n"))
+    return asked.distinct().groupBy("doc_id", "body", F.floor(F.col("at") / size).alias("block")).agg(
+        F.collect_list(F.shiftleft("at", 31) + F.col("n")).alias("runs"))
+
+
+def text_blocks(keyed: DataFrame, width: int, size: int) -> DataFrame:
+    """(doc_id, body, block, words): the words of each ``size`` windows of a text."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lo, texts in in_chunks(map(text_bytes, batch["text"])):
+                out = []
+                for text, doc_id, body in zip(texts, batch["doc_id"][lo:], batch["body"][lo:]):
+                    words = text.split()
+                    out += [(doc_id, body, at // size, b" ".join(words[at:at + size + width - 1]))
+                            for at in range(0, len(words) - width + 1, size)]
+                yield pd.DataFrame(out, columns=["doc_id", "body", "block", "words"])
+
+    return keyed.mapInPandas(run, "doc_id long, body long, block long, words binary")
+
+
+def digests(keyed: DataFrame, asked: DataFrame, width: int, size: int) -> DataFrame:
+    """(doc_id, body, at, n, digest): 128 bits of the words that the n windows of each asked piece cover."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, body, text, runs in zip(batch["doc_id"], batch["body"], batch["text"], batch["runs"]):
-                words = text_bytes(text).split()
+            for doc_id, body, block, text, runs in batch.itertuples(index=False):
+                words = text.split()
                 for packed in np.asarray(runs).tolist():
-                    at, end = packed >> 31, (packed >> 31) + (packed & _LOW) + width - 1
+                    at, n = packed >> 31, packed & _LOW
+                    first = at - block * size
+                    end = first + n + width - 1
                     if end <= len(words):
-                        out.append((doc_id, body, at, packed & _LOW, xxhash.xxh3_128_digest(b" ".join(words[at:end]))))
+                        out.append((doc_id, body, at, n, xxhash.xxh3_128_digest(b" ".join(words[first:end]))))
             yield pd.DataFrame(out, columns=["doc_id", "body", "at", "n", "digest"])
 
-    rows = keyed.join(lists, ["doc_id", "body"]).select("doc_id", "body", "text", "runs")
-    return rows.mapInPandas(run, "doc_id long, body long, at long, n long, digest binary").distinct()
+    rows = text_blocks(keyed, width, size).join(asked, ["doc_id", "body", "block"])
+    return rows.select("doc_id", "body", "block", "words", "runs").mapInPandas(
+        run, "doc_id long, body long, at long, n long, digest binary").distinct()
 
 
 def verify(keyed: DataFrame, spans: DataFrame, width: int, scratch: Scratch) -> None:
     """Compare the words of all spans with those at their source; a difference stops the job: two edges share hashes.
 
-    Spans that say the same of one source are counted together before the two sides meet.
+    Spans are cut at the blocks of both texts, and pieces that say the same of one source are counted together before
+    the two sides meet.
     """
-    text, place = F.shiftright("place", 32), F.col("place").bitwiseAND(F.lit((1 << 32) - 1))
-    asked = spans.select("doc_id", "body", "at", "n").unionByName(
-        spans.select(F.col("source").alias("doc_id"), text.alias("body"), place.alias("at"), "n"))
-    told = scratch.keep(digests(keyed, asked, width), "digests")
-    own = spans.join(told, ["doc_id", "body", "at", "n"], "left").groupBy("source", "place", "n", "digest").count()
+    cut = pieces(spans, PIECE)
+    told = scratch.keep(digests(keyed, asked_of(cut, PIECE), width, PIECE), "digests")
+    own = cut.join(told, ["doc_id", "body", "at", "n"], "left").groupBy("source", "place", "n", "digest").count()
     spot = F.shiftleft("body", 32) + F.col("at")
     origin = told.select(F.col("doc_id").alias("source"), spot.alias("place"), "n", "digest").distinct()
     if own.join(origin, ["source", "place", "n", "digest"], "left_anti").limit(1).count():

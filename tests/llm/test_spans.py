@@ -74,6 +74,29 @@ def test_a_span_is_compared_with_its_own_source_text(spark, docs_of):
         spans.verify(keyed, wrong, 3, Scratch(spark, "test"))
 
 
+def test_a_block_is_asked_for_few_pieces(spark, docs_of, monkeypatch):
+    """However many documents quote a source from and to other places, a task hashes a bounded list per block."""
+    pick, size, packed = random.Random(4), 4, 77 << 32
+    rows = []
+    for k in range(600):
+        place, n = pick.randrange(100), pick.randrange(1, 100)
+        rows.append((2 + k, 5, pick.randrange(9), n, 1, packed + place))
+    asked = spark.createDataFrame(rows, "doc_id long, body long, at long, n long, source long, place long")
+    cut = spans.pieces(asked, size)
+    covered = {}
+    for r in cut.collect():
+        assert r.at // size == (r.at + r.n - 1) // size and r.place // size == (r.place + r.n - 1) // size
+        covered.setdefault(r.doc_id, []).extend((r.at + k, r.place + k) for k in range(r.n))
+    assert {k: sorted(v) for k, v in covered.items()} == {
+        r[0]: [(r[2] + k, r[5] + k) for k in range(r[3])] for r in rows}
+    lists = spans.asked_of(cut, size).where("doc_id = 1").collect()
+    assert {r.body for r in lists} == {77} and max(len(r.runs) for r in lists) <= size * (size + 1) // 2
+    monkeypatch.setattr(spans, "PIECE", size)
+    words = [f"w{k % 97}" for k in range(300)]
+    quotes = [(k, " ".join([f"x{k}"] * (k % 7) + words[(a := pick.randrange(250)):a + pick.randrange(60)])) for k in range(2, 80)]
+    check(docs_of((1, " ".join(words)), *quotes), [(1, " ".join(words)), *quotes], 5)
+
+
 def test_empty_table_and_other_columns(spark, docs_of):
     assert spans.deduplicate(docs_of().limit(0)).count() == 0
     rows = [(1, "a b c d"), (2, "a b c d")]
