@@ -8,6 +8,7 @@ document, N_d the expected words of a domain and T_d its target. With steps scal
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 from math import log
 
@@ -22,6 +23,9 @@ SAMPLE_ROWS = 4000
 #: Words of a document that count as independent evidence; more only sharpen the average.
 EVIDENCE = 40
 STORED_EVERY = 8  # steps between stored rates
+#: No progress: over so many steps the objective fell by less than this share of itself.
+PATIENCE, PROGRESS = 64, 0.01
+TOLERANCE = 1e-3  # of a target
 
 
 def _words(text: Column) -> Column:
@@ -87,11 +91,14 @@ class Fit:
 
 
 def fit_rates(table: DataFrame, shares: list[float], scratch: Scratch, *, least: float = 0.0,
-              tolerance: float = 1e-3, max_steps: int = 64) -> Fit:
+              tolerance: float = TOLERANCE, max_steps: int | None = None) -> Fit:
     """Projected gradient on (n, p0, ...) of a stored table; rates start at 1 and stay at or above ``least``.
 
     The whole is as large as keeping every domain's words asks for: the largest of N_d / share_d. Domains without words
     or without share have no target. A table without words keeps rate 1.
+
+    Steps go on until every domain is within ``tolerance`` of its target, or without progress: the objective fell by less
+    than PROGRESS of itself over PATIENCE steps, or a step changed nothing. ``reached`` then tells what was missed.
     """
     width = range(len(shares))
     total = sum(shares)
@@ -105,8 +112,8 @@ def fit_rates(table: DataFrame, shares: list[float], scratch: Scratch, *, least:
     live = [k for k in width if start[k] > 0 and shares[k] > 0]
     whole = max((start[k] * total / shares[k] for k in live), default=0.0)
     targets = [whole * shares[k] / total if k in live else 0.0 for k in width]
-    reached, steps = start, 0
-    while steps < max_steps and any(abs(reached[k] - targets[k]) > tolerance * targets[k] for k in live):
+    reached, steps, gaps = start, 0, []
+    while steps != max_steps and any(abs(reached[k] - targets[k]) > tolerance * targets[k] for k in live):
         push = sum((F.col(f"p{k}") * F.lit((targets[k] - reached[k]) / start[k]) for k in live), F.lit(0.0))
         rows = rows.withColumn("rate", F.greatest(F.lit(float(least)), F.col("rate") + push))
         steps += 1
@@ -116,12 +123,19 @@ def fit_rates(table: DataFrame, shares: list[float], scratch: Scratch, *, least:
         before, reached = reached, masses(rows)
         if max(abs(a - b) for a, b in zip(before, reached)) <= 1e-9 * whole:
             break  # the bound on the rates keeps the targets out of reach
+        gaps.append(sum((reached[k] - targets[k]) ** 2 / start[k] for k in live))
+        if steps > PATIENCE and gaps[-1] > (1 - PROGRESS) * gaps[-1 - PATIENCE]:
+            break
     return Fit(rows, reached, targets, steps)
 
 
 def mix(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], *, texts: DataFrame | None = None,
         least: float = 0.0, seed: int = 7) -> DataFrame:
-    """doc_id, body, n_tokens, p_<domain> ..., rate, copies for each row of ``docs``.
+    """doc_id, body, n_tokens, p_<domain> ..., rate, copies, reached_<domain> ..., target_<domain> ... for each row.
+
+    reached and target are the expected words of a domain at these rates and those aimed at, the same in all rows; a
+    domain without words or share has target 0. Targets that the bound on the rates or overlapping domains keep out of
+    reach show there, and a warning names them.
 
     copies is the rate rounded down or up by a hash of doc_id and text, so its mean is the rate. Null and empty texts
     have no words, the prior and a rate like others. The classifier learns the domains that ``labelled`` (doc_id,
@@ -133,10 +147,16 @@ def mix(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], *, texts
     weights, priors = learn(docs if texts is None else texts, labelled, domains, scratch)
     table = scratch.keep(posteriors(docs, weights, priors), "posteriors")
     fit = fit_rates(table, [float(shares[d]) for d in domains], scratch, least=least)
+    missed = [f"{d}: {r:.0f} of {t:.0f}" for d, r, t in zip(domains, fit.reached, fit.targets)
+              if t and abs(r - t) > TOLERANCE * t]
+    if missed:
+        warnings.warn(f"target words missed after {fit.steps} steps: {', '.join(missed)}", stacklevel=2)
     chance = F.pmod(F.xxhash64("doc_id", "body", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return fit.rates.select(
         "doc_id", "body", F.col("n").alias("n_tokens"), *[F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(domains)],
-        "rate", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).alias("copies"))
+        "rate", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).alias("copies"),
+        *[F.lit(r).alias(f"reached_{d}") for d, r in zip(domains, fit.reached)],
+        *[F.lit(t).alias(f"target_{d}") for d, t in zip(domains, fit.targets)])
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, shares: dict[str, float], *, texts: DataFrame | None = None,
