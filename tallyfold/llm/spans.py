@@ -2,7 +2,8 @@
 
 Nodes are runs of width - 1 words, edges runs of ``width`` words. An edge in several documents is repeated; its source
 is a place in a text of the smallest of them. Paths of repeated edges without branches, whose sources follow each other, are
-compacted: a node of one edge in and one out joins the two. What a document repeats is then cut along the paths, so
+compacted: a node of one edge in and one out joins the two. Only the edges that begin a path are marked; no table of
+paths is built, and the marks decide where spans are cut, not which words go. What a document repeats is then cut along the paths, so
 that copies ask for the same pieces of the same source, and those are compared word by word through digests.
 
 Most windows occur once. They are set aside first: each window has a least hash among its short word runs, two equal
