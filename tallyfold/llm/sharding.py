@@ -14,6 +14,7 @@ from tallyfold.llm.common import Scratch
 
 SHARDS = 40
 LEVEL = 4  # bits of each quantised dimension
+FILE_BYTES = 128 << 20  # counted bytes of a written file, about
 EXTRA_BYTES = 16  # counted for each row beside its text
 
 
@@ -111,12 +112,18 @@ def assign(docs: DataFrame, *, shards: int = SHARDS) -> DataFrame:
         (F.col("number") - F.col("first")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
-def write_shards(docs: DataFrame, path: str, *, shards: int = SHARDS) -> None:
-    """Write ``docs`` as Parquet below ``path``, a folder per shard, rows of a file in the order of their slots."""
+def write_shards(docs: DataFrame, path: str, *, shards: int = SHARDS, file_bytes: int = FILE_BYTES) -> None:
+    """Write ``docs`` as Parquet below ``path``, a folder per shard, rows of a file in the order of their slots.
+
+    Tasks take ranges of (shard, slot), as many as the bytes ask for, so a large shard is several files, each a run of
+    slots.
+    """
     if {"shard", "slot"} & set(docs.columns):
         raise ValueError("columns shard and slot exist already")
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = assign(docs, shards=shards).select(F.col("doc_id").alias("of"), F.col("text_crc32").alias("crc"), "shard", "slot")
+    placed = assign(docs, shards=shards)
+    parts = max(shards, -(-(placed.agg(F.sum("size")).first()[0] or 0) // file_bytes))
+    found = placed.select(F.col("doc_id").alias("of"), F.col("text_crc32").alias("crc"), "shard", "slot")
     # Repeated rows are paired with their slots one to one.
     again = Window.partitionBy("of", "crc").orderBy("shard", "slot")
     found = found.withColumn("time", F.row_number().over(again))
@@ -124,4 +131,4 @@ def write_shards(docs: DataFrame, path: str, *, shards: int = SHARDS) -> None:
     rows = rows.withColumn("time", F.row_number().over(Window.partitionBy("doc_id", "crc").orderBy("crc")))
     same = (rows["doc_id"].eqNullSafe(found["of"]) & (rows["crc"] == found["crc"]) & (rows["time"] == found["time"]))
     out = rows.join(found, same).select(*[rows[c] for c in docs.columns], "shard", "slot")
-    out.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    out.repartitionByRange(parts, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -55,3 +55,12 @@ def test_written_files_can_be_skipped(spark, docs_of, tmp_path):
     spans = back.groupBy("shard").agg((F.max("n_chars") - F.min("n_chars")).alias("span"),
                                       F.count_distinct("lang").alias("langs")).collect()
     assert sum(r.span for r in spans) / len(spans) < 120 and min(r.langs for r in spans) < 3
+
+
+def test_a_large_shard_is_several_files(spark, docs_of, tmp_path):
+    frame = docs_of(*[(k, f"{k:04}" + "x" * (k % 200), "en", "s", k) for k in range(600)])
+    sharding.write_shards(frame, f"{tmp_path}/s", shards=2, file_bytes=8000)
+    back = spark.read.parquet(f"{tmp_path}/s").groupBy("shard", F.input_file_name().alias("file"))
+    files = back.agg(F.min("slot").alias("low"), F.max("slot").alias("high"), F.count("*").alias("n")).collect()
+    assert all(r.high - r.low + 1 == r.n for r in files) and sum(r.n for r in files) == 600
+    assert all(sum(r.shard == k for r in files) >= 3 for k in (0, 1))
