@@ -88,3 +88,30 @@ def op9_secret_scan(spark, sf_dir):
 @query
 def op10_warc(spark, sf_dir):
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+SQL["op7_bit_sliced_topk"] = """
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c AS (SELECT r, vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v),
+q AS (SELECT * FROM c WHERE r IN (SELECT min(r) FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id)),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+    FROM q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id GROUP BY q.vec_id, c.vec_id, c.r)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+SQL["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+m AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS last
+    FROM q)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
+FROM m
+"""
