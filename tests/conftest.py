@@ -29,9 +29,3 @@ def shuffle_only(monkeypatch):
     from tallyfold.operators import sizing
     monkeypatch.setattr(sizing, "PINNED_ROWS", -1)
     monkeypatch.setattr(sizing.small_side, "__defaults__", (-1,))
-
-
-def rows_of(frame, *columns):
-    """Sorted tuples of a frame, nulls first."""
-    picked = frame.select(*columns) if columns else frame
-    return sorted((tuple(r) for r in picked.collect()), key=lambda t: [(v is not None, v) for v in t])

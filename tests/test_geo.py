@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.shapes import shape
-from conftest import rows_of
+from frames import rows_of
 from tallyfold.operators.geo import (
     CODE_DIMENSIONS, allocate, block_codes, geo_direct, recode_rollup, rollup_hierarchy, rollup_prefix, select_facts,
 )

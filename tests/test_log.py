@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from frames import rows_of
 from tallyfold.operators.lifecycle import (
     archive_candidates, archive_move, direct_archive_candidates, prune_archive, prune_candidates, stamp_events,
 )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.shapes import rules
-from conftest import rows_of
+from frames import rows_of
 from tallyfold.operators.qa import qa_long
 from tallyfold.plans.cleaning import clean_frame
 from tallyfold.plans.intake import run_intake

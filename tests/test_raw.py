@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows_of
+from frames import rows_of
 from tallyfold.functions import batch_date, contains_any, pad_code, parse_age, remove_first, scope_filter, top_code, zero_fill
 from tallyfold.operators.clean import (
     align_columns, column_roles, drop_header_rows, roles_from_names, route_by_scheme, strip_cells, valid_facts,
