@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import ann, bpe, mixing, quality, secrets, sharding, simhash, spans, topk, warc
+from tallyfold.llm import ann, bpe, lines, mixing, quality, secrets, sharding, simhash, spans, topk, warc
 
 #: Target shares of words by language.
 SHARES = {"en": 0.52, "de": 0.17, "fr": 0.17, "es": 0.14}
@@ -90,6 +90,12 @@ def op10_warc(spark, sf_dir):
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_line_dedup(spark, sf_dir):
+    found = lines.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 SQL["op7_bit_sliced_topk"] = """
 WITH v AS (
     SELECT row_number() OVER () AS r, vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS e
@@ -115,3 +121,17 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
 FROM m
 """
+
+SQL["op11_line_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS every FROM documents),
+l AS (SELECT r, doc_id, unnest(every) AS line, generate_subscripts(every, 1) AS pos FROM d),
+k AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM l),
+c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT k.*, coalesce(k.doc_id < c.last, FALSE) AS gone FROM k LEFT JOIN c ON k.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY r, doc_id
+"""
