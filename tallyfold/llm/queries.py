@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import ann, bpe, lines, mixing, quality, secrets, sharding, simhash, spans, topk, warc
+from tallyfold.llm import ann, bpe, lines, merkle, mixing, quality, secrets, sharding, simhash, spans, topk, warc
 
 #: Target shares of words by language.
 SHARES = {"en": 0.52, "de": 0.17, "fr": 0.17, "es": 0.14}
@@ -96,6 +96,12 @@ def op11_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed)
+
+
 SQL["op7_bit_sliced_topk"] = """
 WITH v AS (
     SELECT row_number() OVER () AS r, vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS e
@@ -135,3 +141,58 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY r, doc_id
 """
+
+SQL["op13_merkle_manifest"] = """
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, *, list_reduce(range(0, 8 * len(CAST(doc_id AS VARCHAR))),
+        lambda c, k: CASE WHEN (CASE WHEN k % 8 = 0 THEN xor(c, ord(CAST(doc_id AS VARCHAR)[k // 8 + 1])) ELSE c END) & 1 = 1
+            THEN xor((CASE WHEN k % 8 = 0 THEN xor(c, ord(CAST(doc_id AS VARCHAR)[k // 8 + 1])) ELSE c END) >> 1, 3988292384)
+            ELSE (CASE WHEN k % 8 = 0 THEN xor(c, ord(CAST(doc_id AS VARCHAR)[k // 8 + 1])) ELSE c END) >> 1 END,
+        CAST(4294967295 AS BIGINT)) AS crc
+    FROM documents),
+f AS (
+    SELECT r, doc_id, lang, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+            || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS front,
+        n_chars AS n, CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS m,
+        coalesce(strlen(text) || ':' || text, '-') AS back
+    FROM d),
+leaves AS (
+    SELECT r, doc_id, lang, sha256(front || coalesce(strlen(CAST(n AS VARCHAR)) || ':' || CAST(n AS VARCHAR), '-') || back) AS leaf,
+        sha256(front || coalesce(strlen(CAST(m AS VARCHAR)) || ':' || CAST(m AS VARCHAR), '-') || back) AS seen
+    FROM f),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS place FROM leaves),
+tree AS (
+    SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY lang
+    UNION ALL
+    SELECT lang, level + 1, list_transform(range(0, (len(nodes) + 1) // 2),
+        lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+    FROM tree WHERE len(nodes) > 1),
+subroots AS (
+    SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS lang_at
+    FROM tree WHERE len(nodes) = 1),
+top AS (
+    SELECT 0 AS level, list(subroot ORDER BY lang_at) AS nodes FROM subroots
+    UNION ALL
+    SELECT level + 1, list_transform(range(0, (len(nodes) + 1) // 2),
+        lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+    FROM top WHERE len(nodes) > 1),
+steps AS (
+    SELECT p.r, t.level, t.nodes[xor(p.place >> t.level, 1) + 1] AS other, (p.place >> t.level) & 1 AS is_right
+    FROM placed p JOIN tree t ON t.lang IS NOT DISTINCT FROM p.lang WHERE len(t.nodes) > 1
+    UNION ALL
+    SELECT p.r, s.height + t.level, t.nodes[xor(s.lang_at >> t.level, 1) + 1], (s.lang_at >> t.level) & 1
+    FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN top t ON len(t.nodes) > 1),
+fold AS (
+    SELECT r, 0 AS level, seen AS hash FROM placed
+    UNION ALL
+    SELECT f.r, f.level + 1, sha256(CASE WHEN s.other IS NULL THEN f.hash WHEN s.is_right = 1 THEN s.other || f.hash
+        ELSE f.hash || s.other END)
+    FROM fold f JOIN steps s ON s.r = f.r AND s.level = f.level),
+told AS (SELECT r, arg_max(hash, level) AS folded_root FROM fold GROUP BY r),
+proof AS (SELECT r, sha256(coalesce(string_agg(other, '' ORDER BY level), '')) AS proof_sha256 FROM steps GROUP BY r),
+root AS (SELECT nodes[1] AS root FROM top WHERE len(nodes) = 1)
+SELECT p.doc_id, p.leaf, s.subroot, root.root, coalesce(proof.proof_sha256, sha256('')) AS proof_sha256, told.folded_root,
+    told.folded_root = root.root AS verified
+FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN told ON told.r = p.r LEFT JOIN proof ON proof.r = p.r, root
+"""
