@@ -21,17 +21,20 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
-    def keep(self, rows: DataFrame, name: str) -> DataFrame:
-        """Write ``rows`` once and return the stored table. Lineage ends here."""
-        before = self.spark.conf.get(CLEANUP, None)
-        self.spark.conf.set(CLEANUP, "true")
+    def keep(self, rows: DataFrame, name: str, *, conf: dict[str, str] | None = None) -> DataFrame:
+        """Write ``rows`` once and return the stored table. Lineage ends here. ``conf`` holds for the write only."""
+        conf = {CLEANUP: "true", **(conf or {})}
+        before = {key: self.spark.conf.get(key, None) for key in conf}
+        for key, value in conf.items():
+            self.spark.conf.set(key, value)
         try:
             rows.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         finally:
-            if before is None:
-                self.spark.conf.unset(CLEANUP)
-            else:
-                self.spark.conf.set(CLEANUP, before)
+            for key, value in before.items():
+                if value is None:
+                    self.spark.conf.unset(key)
+                else:
+                    self.spark.conf.set(key, value)
         return self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{name}")
 
     def drop(self, *names: str) -> None:

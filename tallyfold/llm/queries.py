@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyfold.llm import ann, bpe, lines, merkle, mixing, quality, secrets, sharding, simhash, spans, topk, warc
+from tallyfold.llm import ann, bpe, lines, merkle, mixing, negatives, quality, secrets, sharding, simhash, spans, topk, warc
 
 #: Target shares of words by language.
 SHARES = {"en": 0.52, "de": 0.17, "fr": 0.17, "es": 0.14}
@@ -96,6 +96,12 @@ def op11_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+@query
+def op12_hard_negatives(spark, sf_dir):
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", shifted))
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -142,6 +148,29 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM j GROUP BY r, doc_id
 """
 
+SQL["op12_hard_negatives"] = """
+WITH u AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS e
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+v AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, e) = 1),
+c AS (SELECT vec_id, label, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v),
+s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(sum(a.x * c.x) AS BIGINT) AS score
+    FROM c AS a JOIN c ON a.i = c.i AND a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0
+    GROUP BY a.vec_id, c.vec_id, a.label, c.label),
+p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+    s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
 SQL["op13_merkle_manifest"] = """
 WITH RECURSIVE d AS (
     SELECT row_number() OVER () AS r, *, list_reduce(range(0, 8 * len(CAST(doc_id AS VARCHAR))),
