@@ -140,22 +140,27 @@ SQL["allocation_of_recoded_blocks"] = _with(_allocated("w.target_type IN ('kccd'
 SQL["hierarchy_of_recoded_blocks"] = _with(_HRA, "log", "facts", "plain_rules", "areas", **_PLAIN_BLOCK_CTES)
 
 _TARGETS = ["CCL", "CSA", "Inc_Uninc", "kccd", "PUMA", "tribal"]
-_COUNT = "COUNT(*) AS n, CAST(SUM(pop) AS DOUBLE) AS pop"
+_COUNT = "geo_id, geo_year, year, COUNT(*) AS n, CAST(SUM(pop) AS DOUBLE) AS pop"
 _ALLOCATED_EXACT = _allocated("TRUE").replace("CAST(SUM(b.pop * w.proportion) AS DOUBLE)", "SUM(b.pop * w.proportion)")
-SQL["geographies"] = _with(
-    f"""SELECT 'pop_geo_blk' AS table_name, {_COUNT} FROM blocks
-UNION ALL SELECT 'pop_geo_lgd', {_COUNT} FROM lgd UNION ALL SELECT 'pop_geo_scd', {_COUNT} FROM scd
-UNION ALL SELECT 'pop_geo_zip', {_COUNT} FROM zip
-UNION ALL SELECT 'pop_geo_cou', {_COUNT} FROM (SELECT SUM(pop) AS pop FROM wide
-  GROUP BY {', '.join(_PLAIN_KEYS)}, substring(geo_id, 1, 5))
-UNION ALL SELECT 'pop_geo_hra', {_COUNT} FROM hra UNION ALL SELECT 'pop_geo_reg', {_COUNT} FROM reg
-UNION ALL SELECT 'pop_geo_' || geo_type, {_COUNT} FROM allocated GROUP BY geo_type""",
-    "log", "facts", "rules", "areas", "regions", "weights", **_BLOCK_CTES, wide=_recoded(_chosen_facts("blk")),
+_GEO_ROWS = {
+    "pop_geo_blk": "blocks", "pop_geo_lgd": "lgd", "pop_geo_scd": "scd", "pop_geo_zip": "zip", "pop_geo_hra": "hra", "pop_geo_reg": "reg",
+    "pop_geo_cou": f"""(SELECT substring(geo_id, 1, 5) AS geo_id, geo_year, year, SUM(pop) AS pop FROM wide
+  GROUP BY {', '.join(c for c in _PLAIN_KEYS if c not in ("geo_year", "year"))}, substring(geo_id, 1, 5), geo_year, year)""",
+    **{f"pop_geo_{t}": f"(SELECT * FROM allocated WHERE geo_type = '{t}')" for t in _TARGETS}}
+_GEO_SHAPES = ("log", "facts", "rules", "areas", "regions", "weights")
+_GEO_ALL = dict(
+    **_BLOCK_CTES, wide=_recoded(_chosen_facts("blk")),
     lgd=_recoded(_chosen_facts("lgd")), scd=_recoded(_chosen_facts("scd")), zip=_recoded(_chosen_facts("zip")),
     hra=_HRA_EXACT, allocated=_ALLOCATED_EXACT,
     reg=_summed({"geo_type": "'reg'", "geo_id": "g.reg_geo_id"},
                 "hra b JOIN regions g ON b.geo_year = g.census_year AND b.geo_id = g.hra_geo_id").replace(
                     "CAST(SUM(b.pop) AS DOUBLE)", "SUM(b.pop)"))
+SQL["geographies"] = _with("\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, {_COUNT} FROM {rows} GROUP BY geo_id, geo_year, year" for name, rows in _GEO_ROWS.items()),
+    *_GEO_SHAPES, **_GEO_ALL)
+SQL["copied_geographies"] = _with("\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS rows_from, COUNT(*) AS rows_to, 'PASS' AS status FROM {rows}"
+    for name, rows in _GEO_ROWS.items()), *_GEO_SHAPES, **_GEO_ALL)
 
 _FACT_COLUMNS = "f.etl_batch_id, f.geo_id, f.raw_agestr, f.raw_gender, f.raw_racemars, f.raw_hispanic, CAST(f.pop AS DOUBLE) AS pop"
 _SCHEME_FACTS = "SELECT x.*, log.r_type FROM facts x JOIN log ON log.id = x.etl_batch_id"
@@ -257,8 +262,8 @@ SQL["block_id_parts"] = _with(
     """SELECT etl_batch_id, geo_id, CAST(pop AS DOUBLE) AS pop, left(geo_id, 5) AS geo_id_county,
 left(geo_id, 11) AS geo_id_tract, left(geo_id, 12) AS geo_id_blkgrp, substring(geo_id, 4, 2) AS fips_co FROM facts""", "facts")
 SQL["ages"] = _with(
-    f"""SELECT etl_batch_id, geo_id, raw_agestr, CAST(pop AS DOUBLE) AS pop, CAST(COALESCE({_AGE}, -1) AS INTEGER) AS age,
-CAST(COALESCE(CASE WHEN {_AGE} > 100 THEN 100 ELSE {_AGE} END, -1) AS INTEGER) AS age_100 FROM facts""", "facts")
+    f"""SELECT etl_batch_id, geo_id, raw_agestr, CAST(pop AS DOUBLE) AS pop, {_AGE} AS age,
+{_small("age_100", f"CASE WHEN {_AGE} > 100 THEN 100 ELSE {_AGE} END")} FROM facts""", "facts")
 SQL["padded_codes"] = _with(f"SELECT geo_id, r_type, raw_agestr, {_PAD} AS raw_racemars FROM stamped", "stamped")
 SQL["scope"] = _with(
     f"""SELECT geo_id, geo_scope, raw_agestr, raw_gender FROM stamped
@@ -328,7 +333,7 @@ WHERE r_type = 97 OR pop IS NOT NULL"""
 SQL["raw_rows"] = _with(
     f"""SELECT file, year, CAST(pop AS DOUBLE) AS pop, {', '.join(RAW_CODES)}, geo_id FROM body""", "stamped", body=_BODY)
 SQL["stamped_rows"] = _with(
-    """SELECT file, CAST(pop AS DOUBLE) AS pop, raw_gender, raw_agestr, raw_hispanic, geo_id, 'blk' AS geo_type,
+    """SELECT file, CAST(pop AS DOUBLE) AS pop, raw_gender, raw_agestr, raw_racemars, raw_hispanic, geo_id, 'blk' AS geo_type,
 'kps' AS geo_scope, '2020' AS geo_year, '2020' AS census_year, year, r_type, substring(geo_id, 4, 2) AS fips_co FROM body""",
     "stamped", body=_BODY)
 SQL["table_source"] = _with(
@@ -352,18 +357,30 @@ SQL["replaced_batches"] = _with(
     """SELECT CAST(etl_batch_id AS BIGINT) AS etl_batch_id, geo_type, COUNT(*) AS n, CAST(SUM(pop) AS DOUBLE) AS pop FROM stamped
 WHERE geo_type = 'blk' OR etl_batch_id % 10 <> 1 GROUP BY ALL""", "stamped")
 SQL["written_formats"] = _with(
-    """SELECT format, year, raw_agestr, raw_gender, raw_hispanic, COUNT(*) AS n, COUNT(pop) AS n_pop,
-COUNT(DISTINCT geo_id) AS n_geo, CAST(SUM(CAST(pop AS DECIMAL(18,4))) AS DOUBLE) AS pop FROM stamped
-JOIN (VALUES ('parquet'), ('orc')) AS v(format) ON TRUE GROUP BY ALL""", "stamped")
+    """SELECT format, geo_id, raw_agestr, raw_gender, raw_racemars, raw_hispanic, CAST(pop AS DOUBLE) AS pop, year FROM stamped
+JOIN (VALUES ('parquet'), ('orc')) AS v(format) ON TRUE""", "stamped")
 SQL["copied_tables"] = _with(
     "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS rows_from, COUNT(*) AS rows_to, 'PASS' AS status FROM {t}"
                         for t in ("log", "facts", "areas", "regions", "rules")),
     "log", "facts", "areas", "regions", "rules")
+_FILES = """SELECT year, r_type, COUNT(*) AS n, COUNT(pop) AS counted, CAST(round(COALESCE(SUM(pop), 0), 0) AS DOUBLE) AS total
+FROM stamped GROUP BY year, r_type, CAST(right(geo_id, 1) AS INTEGER) % 4"""
+_HOP_TOTALS = ", ".join(["CAST(SUM(n) AS BIGINT) AS qa_rows_file", *[f"CAST(SUM(counted) AS BIGINT) AS qa_rows_{hop}" for hop in (
+    "raw", "stage", "ref")], *[f"SUM(total) AS qa_pop_{hop}" for hop in ("file", "raw", "stage", "ref")]])
 SQL["loaded_files"] = _with(
-    """SELECT 'blk' AS geo_type, 'kps' AS geo_scope, '2020' AS geo_year, '2020' AS census_year, year, r_type,
-COUNT(*) AS qa_rows_file, COUNT(pop) AS qa_rows_raw, COUNT(pop) AS qa_rows_stage,
-COUNT(pop) AS qa_rows_ref, CAST(round(SUM(pop) / 1000, 0) AS DOUBLE) AS thousands_file FROM stamped GROUP BY year, r_type""",
-    "stamped")
+    f"""SELECT 'blk' AS geo_type, 'kps' AS geo_scope, '2020' AS geo_year, '2020' AS census_year, year, r_type, {_HOP_TOTALS}
+FROM files GROUP BY year, r_type""", "stamped", files=_FILES)
+# The layout of scheme 77 begins with the headcount: without one its rows have no first cell.
+SQL["load_reconciled"] = _with(
+    """SELECT year, r_type, hop, fate, CAST(SUM(CASE
+  WHEN hop = 'file' AND fate = 'kept' THEN CASE WHEN r_type = 77 THEN counted ELSE n END
+  WHEN fate = 'no_first_cell' THEN CASE WHEN r_type = 77 THEN n - counted ELSE 0 END
+  WHEN fate = 'no_headcount' THEN CASE WHEN r_type = 77 THEN 0 ELSE n - counted END
+  WHEN fate = 'kept' THEN counted ELSE 0 END) AS BIGINT) AS n_rows,
+CASE WHEN hop <> 'file' THEN bool_and(n = counted) END AS agrees
+FROM files JOIN (VALUES ('file', 'kept'), ('file', 'bad_record'), ('file', 'no_first_cell'), ('raw', 'kept'),
+  ('raw', 'unreadable_headcount'), ('raw', 'no_headcount'), ('stage', 'kept'), ('ref', 'kept')) AS h(hop, fate) ON TRUE
+GROUP BY year, r_type, hop, fate""", "stamped", files=_FILES)
 
 SQL["loaded_table_batches"] = _with(
     """SELECT CAST(year AS BIGINT) AS id, year, COUNT(pop) AS qa_rows_raw, COUNT(pop) AS qa_rows_stage,
@@ -466,6 +483,10 @@ SQL["archive_moved"] = _with(
     """SELECT CAST(etl_batch_id AS BIGINT) AS etl_batch_id, CASE WHEN etl_batch_id % 10 = 1 THEN 'archive' ELSE 'ref' END AS place,
 COUNT(*) AS n, CAST(SUM(pop) AS DOUBLE) AS pop FROM stamped GROUP BY ALL""", "stamped")
 
+SQL["batches_moved_and_pruned"] = _with(
+    """SELECT CASE WHEN etl_batch_id % 10 = 1 THEN 'archive_ref' ELSE 'ref' END AS dataset,
+CAST(etl_batch_id AS BIGINT) AS etl_batch_id, geo_type, COUNT(*) AS n, COUNT(DISTINCT geo_id) AS n_geo, CAST(SUM(pop) AS DOUBLE) AS pop
+FROM stamped WHERE etl_batch_id % 20 <> 1 AND (etl_batch_id % 100 <> 2 OR geo_type = 'blk') GROUP BY ALL""", "stamped")
 SQL["replaced_batch_stamp"] = _with(
     """SELECT id, CASE WHEN id = (SELECT MIN(etl_batch_id) FROM facts) THEN '2024-11-05 12:00:00'
 ELSE CAST(delete_ref_datetime AS VARCHAR) END AS delete_ref_datetime, CAST(load_ref_datetime AS VARCHAR) AS load_ref_datetime
@@ -515,6 +536,12 @@ SQL["quality_against_previous"] = _with(
     _compared("CAST(CAST(year AS INTEGER) + 1 AS VARCHAR)",
               "CASE WHEN geo_type = 'zip' THEN CAST(CAST(geo_year AS INTEGER) + 1 AS VARCHAR) ELSE geo_year END"),
     "stamped", "rules", **_QA, a=_long("pop"), b=_long(_SHARED_POP))
+SQL["quality_run"] = SQL["quality_long"]
+SQL["quality_report"] = _with(
+    f"""SELECT 'raw_vs_current_year' AS comparison, * FROM ({_compared("year", "geo_year")})
+UNION ALL SELECT 'raw_vs_previous_year', * FROM ({_compared("CAST(CAST(year AS INTEGER) + 1 AS VARCHAR)",
+    "CASE WHEN geo_type = 'zip' THEN CAST(CAST(geo_year AS INTEGER) + 1 AS VARCHAR) ELSE geo_year END")})""",
+    "stamped", "rules", **_QA, a=_long("pop"), b=_long(_SHARED_POP))
 SQL["resume"] = _with(
     """SELECT v.id AS etl_batch_id, COALESCE(l.n, 0) AS rows_loaded FROM versions v
 LEFT JOIN (SELECT etl_batch_id, COUNT(*) AS n FROM facts GROUP BY ALL) l ON l.etl_batch_id = v.id""", "versions", "facts")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from catalog.rawfiles import by_folder, scratch, write_named_files, write_raw_lines
+from catalog.rawfiles import landed_lines, scratch, write_named_files
 from catalog.shapes import shape
 from tallyfold.functions import (
     batch_date, contains_any, geo_parts, pad_code, parse_age, scope_filter, strip_prefixes, top_code, zero_fill,
@@ -34,10 +34,12 @@ from tallyfold.plans.cleaning import clean_frame
 from tallyfold.plans.geographies import area_tables, run_geographies, target_tables
 from tallyfold.plans.intake import run_intake, typed_rows
 from tallyfold.plans.load import run_load
+from tallyfold.plans.quality import run_qa
 from tallyfold.schema import AGE_BANDS, GEO_TABLES, QA_COLUMNS, STAGE_SCHEMA
+from tallyfold.sources.batches import BatchStore
 from tallyfold.sources.manifest import file_manifest, locate_files, profile_files
-from tallyfold.sources.raw import detect_header, read_raw, read_table_source, survey_files
-from tallyfold.sources.store import copy_and_verify, replace_batch, write_current, write_table
+from tallyfold.sources.raw import check_errors, detect_header, read_raw, read_table_source, survey_files
+from tallyfold.sources.store import copy_and_verify, read_current, replace_batch, write_current, write_table
 
 NOW = dt.datetime(2024, 11, 5, 12, 0)
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,17 +148,30 @@ def allocation_of_recoded_blocks(t):
     return allocate(blocks, t.weights, ["kccd", "tribal"])
 
 
+def _write_geographies(t, **options):
+    return run_geographies(t.spark, scratch(t.spark), facts=t.facts, log=t.log, rules=t.rules, areas=t.areas,
+                           regions=t.regions, weights=t.weights, buckets=16, **options)
+
+
 @query
 def geographies(t):
-    tables = run_geographies(t.spark, scratch(t.spark), facts=t.facts, log=t.log, rules=t.rules, areas=t.areas,
-                             regions=t.regions, weights=t.weights)
-    out = None
+    """All thirteen tables, summed by geography and year."""
+    tables, out = _write_geographies(t), None
     for name in GEO_TABLES:
-        sums = tables[name].agg(F.count("*").alias("n"), F.sum("pop").cast("double").alias("pop")).withColumn("table_name", F.lit(name))
+        sums = tables[name].groupBy("geo_id", "geo_year", "year").agg(F.count("*").alias("n"), F.sum("pop").alias("pop"))
+        sums = sums.withColumns({"pop": F.col("pop").cast("double"), "table_name": F.lit(name)})
         out = sums if out is None else out.unionByName(sums)
     return out
 
 
+@query
+def copied_geographies(t):
+    """How the copies of the thirteen tables went."""
+    copies = scratch(t.spark)
+    _write_geographies(t, copy_to=copies)
+    return t.spark.read.parquet(f"{copies}/copied")
+
+
 # --- recodes --------------------------------------------------------------------------------------
 
 def _with_scheme(t):
@@ -246,8 +261,7 @@ def block_id_parts(t):
 @query
 def ages(t):
     rows = t.facts.select("etl_batch_id", "geo_id", "raw_agestr", "pop", parse_age("raw_agestr").alias("age"))
-    rows = rows.withColumn("age_100", top_code("age"))
-    return rows.withColumns({"age": F.coalesce("age", F.lit(-1)), "age_100": F.coalesce("age_100", F.lit(-1))})
+    return rows.withColumn("age_100", top_code("age"))
 
 
 @query
@@ -310,7 +324,7 @@ def routed(t):
 def manifest(t):
     rows = locate_files(file_manifest(t.files), base_url="https://store", base_path="/pop",
                         extract_folder="/data/extract", final_folder="/data/extract")
-    return rows.drop("l_partkey").withColumn("r_type", F.coalesce("r_type", F.lit(0).cast("smallint")))
+    return rows.drop("l_partkey")
 
 
 @query
@@ -320,29 +334,32 @@ def file_profiles(t):
 
 @query
 def header_roles(t):
-    raw = by_folder(read_raw(t.spark, write_raw_lines(t.spark, t.sf_dir)))
-    return column_roles(detect_header(raw))
+    return column_roles(detect_header(landed_lines(t.spark, t.sf_dir)))
 
 
 @query
 def bad_records(t):
-    raw = by_folder(read_raw(t.spark, write_raw_lines(t.spark, t.sf_dir), max_errors=None))
-    return survey_files(raw).select("file", "bad_records")
+    return survey_files(landed_lines(t.spark, t.sf_dir)).select("file", "bad_records")
+
+
+def _typed_lines(t):
+    raw = landed_lines(t.spark, t.sf_dir)
+    survey = survey_files(raw)
+    check_errors(survey, 100)
+    return typed_rows(raw, survey)
 
 
 @query
 def raw_rows(t):
-    raw = by_folder(read_raw(t.spark, write_raw_lines(t.spark, t.sf_dir)))
-    return typed_rows(raw, survey_files(raw))
+    return _typed_lines(t)
 
 
 @query
 def stamped_rows(t):
-    raw = by_folder(read_raw(t.spark, write_raw_lines(t.spark, t.sf_dir)))
-    rows = typed_rows(raw, survey_files(raw))
+    rows = _typed_lines(t)
     files = rows.select("file").distinct()
     named = file_manifest(files.withColumn("file_path", F.concat(F.col("file"), F.lit(".csv"))))
-    return stamp_manifest(rows, named.withColumn("census_year", F.lit("2020"))).drop("raw_racemars")
+    return stamp_manifest(rows, named.withColumn("census_year", F.lit("2020")))
 
 
 @query
@@ -383,10 +400,8 @@ def written_formats(t):
     rows, path, out = t.stamped.select(*cells), scratch(t.spark), []
     for fmt in ("parquet", "orc"):
         write_table(rows, f"{path}/{fmt}", fmt=fmt, partition_by=["year"])
-        back = read_raw(t.spark, f"{path}/{fmt}", fmt=fmt).toDF(*cells, "file")
-        out.append(back.groupBy(F.lit(fmt).alias("format"), "year", "raw_agestr", "raw_gender", "raw_hispanic").agg(
-            F.count("*").alias("n"), F.count("pop").alias("n_pop"), F.count_distinct("geo_id").alias("n_geo"),
-            F.sum(F.col("pop").cast("decimal(18,4)")).alias("pop")))
+        back = read_raw(t.spark, f"{path}/{fmt}", fmt=fmt).toDF(*cells, "file").drop("file")
+        out.append(back.withColumns({"format": F.lit(fmt), "pop": F.col("pop").cast("decimal(18,4)")}))
     return out[0].unionByName(out[1])
 
 
@@ -396,17 +411,35 @@ def copied_tables(t):
     return copy_and_verify(t.spark, tables, scratch(t.spark))
 
 
-@query
-def loaded_files(t):
-    """Files on disk through intake, raw, stage and reference: the log's counts and totals per file."""
+def _load_named_files(t):
+    """Root and log of files on disk taken through intake, raw, stage and reference."""
     folder, root = write_named_files(t.spark, t.sf_dir), scratch(t.spark)
     empty = t.spark.createDataFrame([], _log_schema())
-    log = run_intake(t.spark, folder, empty, now=NOW, census_year="2020", base_path=folder, final_folder=folder)
+    log = run_intake(t.spark, folder, empty, now=NOW, census_year="2020", base_path=folder, final_folder=folder,
+                     landing=f"{root}/landing", per_wave=24)
     write_current(log, f"{root}/log")
-    log = run_load(t.spark, root, t.rules, now=NOW)
+    return root, run_load(t.spark, root, t.rules, now=NOW)
+
+
+@query
+def loaded_files(t):
+    """The log's counts and totals of all hops, over the files of a year and scheme."""
+    _, log = _load_named_files(t)
     return log.groupBy("geo_type", "geo_scope", "geo_year", "census_year", "year", "r_type").agg(
-        *[F.sum(c).cast("long").alias(c) for c in ("qa_rows_file", "qa_rows_raw", "qa_rows_stage", "qa_rows_ref")],
-        F.round(F.sum("qa_pop_file") / 1000, 0).alias("thousands_file"))
+        *[F.sum(f"qa_rows_{hop}").alias(f"qa_rows_{hop}") for hop in ("file", "raw", "stage", "ref")],
+        *[F.sum(f"qa_pop_{hop}").alias(f"qa_pop_{hop}") for hop in ("file", "raw", "stage", "ref")])
+
+
+@query
+def load_reconciled(t):
+    """Rows that went on and rows left behind at every hop of a load, and whether its totals are those of the file."""
+    root, log = _load_named_files(t)
+    files = log.select(F.col("id").alias("etl_batch_id"), "year", "r_type")
+    fates = read_current(t.spark, f"{root}/hops").where("fate <> 'header'")
+    checked = read_current(t.spark, f"{root}/reconciled").unpivot(
+        ["etl_batch_id"], ["raw_ok", "stage_ok", "ref_ok"], "hop", "agrees").withColumn("hop", F.regexp_replace("hop", "_ok", ""))
+    both = fates.join(checked, ["etl_batch_id", "hop"], "left").join(files, "etl_batch_id")
+    return both.groupBy("year", "r_type", "hop", "fate").agg(F.sum("rows").alias("n_rows"), F.bool_and("agrees").alias("agrees"))
 
 
 @query
@@ -539,6 +572,26 @@ def archive_moved(t):
         F.count("*").alias("n"), F.sum("pop").alias("pop"))
 
 
+@query
+def batches_moved_and_pruned(t):
+    """A store whose older batches go to the archive, half of them on to nowhere; a write that broke before it was named
+    and files that nothing names change nothing."""
+    store = BatchStore(t.spark, scratch(t.spark))
+    rows = t.stamped.select("etl_batch_id", "geo_type", "geo_id", "pop")
+    store.write("ref", rows)
+    batches = store.batches("ref")
+    old = batches.where("etl_batch_id % 10 = 1")
+    store.put("ref", rows.withColumn("geo_type", F.lit("broken")))
+    store.move(old.select("etl_batch_id", F.lit("ref").alias("dataset"), F.lit("archive_ref").alias("to")))
+    pruned = old.where("etl_batch_id % 20 = 1").select("etl_batch_id", F.lit("archive_ref").alias("dataset"))
+    store.drop(pruned)
+    store.write("ref", rows.where("etl_batch_id % 100 = 2 AND geo_type = 'blk'"))
+    store.vacuum()
+    parts = [store.read(dataset).withColumn("dataset", F.lit(dataset)) for dataset in ("ref", "archive_ref")]
+    return parts[0].unionByName(parts[1]).groupBy("dataset", "etl_batch_id", "geo_type").agg(
+        F.count("*").alias("n"), F.count_distinct("geo_id").alias("n_geo"), F.sum("pop").alias("pop"))
+
+
 @query
 def replaced_batch_stamp(t):
     """The log row of the batch that the facts begin with, stamped as deleted from the raw table."""
@@ -590,6 +643,23 @@ def quality_against_previous(t):
     return qa_compare(qa_long(_quality_rows(t)), qa_long(_quality_rows(t, "0.97")), prior=True)
 
 
+@query
+def quality_run(t):
+    """The stored quality table over both reference tables."""
+    parts = route_by_scheme(_quality_rows(t), "ref")
+    return run_qa(scratch(t.spark), parts["ref"], parts["ref_77"])
+
+
+@query
+def quality_report(t):
+    """Both comparisons of the written report, read back."""
+    path = scratch(t.spark)
+    run_qa(f"{path}/sums", _quality_rows(t, "0.97"), raw=_quality_rows(t), report=f"{path}/report")
+    kinds = ("geo_type string, geo_scope string, geo_year string, r_type smallint, year string, col string, val smallint, "
+             "raw_pop double, ref_pop double, diff double, perc double, comparison string")
+    return t.spark.read.schema(kinds).option("header", "true").csv(f"{path}/report")
+
+
 @query
 def resume(t):
     return resume_points(t.versions, t.facts)

@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalog.shapes import shape
+from tallyfold.sources.landing import land_files, landed_rows
+from tallyfold.sources.manifest import list_files
+from tallyfold.sources.raw import file_of
 from tallyfold.sources.store import shared_folder
 
 # Column titles by race scheme: the two kinds of file differ in column order and spelling.
@@ -63,21 +66,33 @@ def by_folder(rows: DataFrame) -> DataFrame:
     return rows.withColumn("file", F.regexp_extract("file", "src=([^/]+)/", 1))
 
 
+#: Parts of each file, told apart by the last digit of the geography id.
+PARTS = 4
+
+
 def write_named_files(spark: SparkSession, sf_dir: str) -> str:
     """Gzip files under their full names, in one batch folder per part of a file; each has its header."""
     rows, path = _named(spark, sf_dir), scratch(spark)
+    rows = rows.withColumn("part", F.right("geo_id", F.lit(1)).cast("int") % PARTS).repartition("src", "part")
     for scheme, order in LAYOUTS.items():
-        part = rows.where(F.col("r_type") == scheme).select("src", *[F.col(c).alias(TITLES[c]) for c in order])
-        (part.hint("rebalance", F.col("src")).write.partitionBy("src").option("compression", "gzip")
+        part = rows.where(F.col("r_type") == scheme).select("src", "part", *[F.col(c).alias(TITLES[c]) for c in order])
+        (part.write.partitionBy("src", "part").option("compression", "gzip")
          .option("header", "true").mode("append").csv(f"{path}/parts"))
     jvm = spark.sparkContext._jvm
     path_of = jvm.org.apache.hadoop.fs.Path
     files = path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    seen: dict[str, int] = {}
-    for status in files.globStatus(path_of(f"{path}/parts/src=*/part-*.csv.gz")):
-        name = status.getPath().getParent().getName().split("=")[1]
-        seen[name] = seen.get(name, 0) + 1
-        folder = path_of(f"{path}/in/2020{seen[name] % 12 + 1:02d}01part{seen[name]}/csv")
+    for status in files.globStatus(path_of(f"{path}/parts/src=*/part=*/part-*.csv.gz")):
+        at = status.getPath().getParent()
+        number, name = int(at.getName().split("=")[1]), at.getParent().getName().split("=")[1]
+        folder = path_of(f"{path}/in/2020{number + 1:02d}01part{number}/csv")
         files.mkdirs(folder)
         files.rename(status.getPath(), path_of(folder, f"{name}.csv.gz"))
     return f"{path}/in"
+
+
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of the raw lines, inflated once; the folder of a part file is its logical file."""
+    folder, landing = write_raw_lines(spark, sf_dir), scratch(spark)
+    files = list_files(spark, folder, "part-*").select(file_of("file_path").alias("file"))
+    land_files(spark, files, landing, per_wave=32)
+    return by_folder(landed_rows(spark, landing, files))

@@ -61,16 +61,20 @@ def strip_cells(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: strip_cell(c) for c in RAW_CELLS})
 
 
-def project_roles(rows: DataFrame, roles: DataFrame) -> DataFrame:
+def project_roles(rows: DataFrame, roles: DataFrame, *, unreadable: str | None = None) -> DataFrame:
     """Turn cells into named columns, file by file; text that is not a number gives a null headcount.
 
-    Roles are one small row per file. When a role occurs twice in a header the last column has it.
+    Roles are one small row per file. When a role occurs twice in a header the last column has it. A column
+    named by ``unreadable`` keeps the text that is no number.
     """
     places = roles.groupBy("file").agg(
         *[F.max(F.when(F.col("role") == role, F.col("position"))).alias(f"_{role}") for role in ROLES])
     cells = F.array(*RAW_CELLS)
     found = {role: F.get(cells, F.col(f"_{role}") - 1) for role in ROLES}
-    found["pop"] = found["pop"].try_cast("double")
+    text = found["pop"]
+    found["pop"] = text.try_cast("double")
+    if unreadable is not None:
+        found[unreadable] = F.when(found["pop"].isNull() & (F.trim(text) != ""), text)
     rest = [c for c in rows.columns if c not in RAW_CELLS]
     joined = rows.join(small_side(places), "file")
     return joined.select(*rest, *[value.alias(role) for role, value in found.items()])

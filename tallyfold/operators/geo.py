@@ -1,11 +1,12 @@
 """Geography tables: direct, by code prefix, by hierarchy and by proportional allocation."""
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from tallyfold.functions.codes import block_group_code, county_code, county_fips, scope_filter, tract_code
 from tallyfold.operators.recode import CodeBook, code_book, fill_defaults, recode_facts
 from tallyfold.operators.sizing import small_side
-from tallyfold.schema import DIMENSIONS, GEO_COLUMNS, RAW_CODES
+from tallyfold.schema import COUNTIES, DIMENSIONS, GEO_COLUMNS, RAW_CODES
 
 _FILE = ["etl_batch_id", "geo_scope", "geo_year", "census_year", "year", "r_type"]
 _SUMMED = ["etl_batch_id", "census_year", "year", "r_type"]
@@ -115,6 +116,61 @@ def block_codes(facts: DataFrame, chosen: DataFrame) -> DataFrame:
     return scope_filter(select_facts(facts, chosen, "blk")).withColumn("fips_co", _block_fips())
 
 
+def block_table(facts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Block facts of the chosen batches summed per block and raw codes: what every rollup of blocks reads."""
+    rows = select_facts(facts, chosen, "blk")
+    return _total(rows, [c for c in rows.columns if c != "pop"])
+
+
+def block_crosswalk(areas: DataFrame, weights: DataFrame, targets=None) -> DataFrame:
+    """(geo_id, areas, targets): one row for each block with all small areas and weighted targets that it belongs to."""
+    if targets is not None:
+        weights = weights.where(F.col("target_type").isin(*targets))
+    small = areas.groupBy(F.col("blk_geo_id").alias("geo_id")).agg(
+        F.collect_list(F.struct("blk_census_year", "hra_census_year", "hra_geo_id")).alias("areas"))
+    shares = weights.groupBy("geo_id").agg(
+        F.collect_list(F.struct("census_year", "geo_year", "target_type", "target_id", "proportion")).alias("targets"))
+    return small.join(shares, "geo_id", "full")
+
+
+def rollup_blocks(blocks: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """Sums by raw code of counties, small areas and targets, told apart by ``geo_type``, in one pass over the blocks.
+
+    ``blocks`` is a ``block_table`` and ``crosswalk`` a ``block_crosswalk``. Where both are bucketed by ``geo_id`` their
+    join needs no shuffle; the sum is the only one. Counties take all blocks, the others those of the three counties.
+    """
+    joined = blocks.join(crosswalk, "geo_id", "left")
+    inside = county_fips("geo_id").isin(*COUNTIES)
+    no_share = F.lit(None).cast(crosswalk.schema["targets"].dataType.elementType["proportion"].dataType)
+
+    def entry(geo_type, geo_id, geo_year, scope, share, fips):
+        return F.struct(geo_type.alias("geo_type"), geo_id.alias("geo_id"), geo_year.alias("geo_year"), scope.alias("geo_scope"),
+                        share.alias("share"), fips.alias("fips_co"))
+
+    county = F.array(entry(F.lit("cou"), county_code("geo_id"), F.col("geo_year"), F.lit("wa"), no_share, F.lit(None).cast("string")))
+    small = F.transform(
+        F.filter("areas", lambda a: inside & (a["blk_census_year"] == F.col("census_year"))),
+        lambda a: entry(F.lit("hra"), a["hra_geo_id"], a["hra_census_year"], F.lit("kc"), no_share, _block_fips()))
+    shared = F.transform(
+        F.filter("targets", lambda t: inside & (t["census_year"] == F.col("census_year")) & (t["geo_year"] == F.col("geo_year"))),
+        lambda t: entry(t["target_type"], t["target_id"], t["geo_year"], F.lit("kc"), t["proportion"], _block_fips()))
+    nothing = F.array().cast(T.ArrayType(blocks.select(county[0]).schema[0].dataType))
+    every = F.concat(county, F.coalesce(small, nothing), F.coalesce(shared, nothing))
+    rows = joined.select(*_SUMMED, *RAW_CODES, "pop", F.explode(every).alias("at")).select(*_SUMMED, *RAW_CODES, "pop", "at.*")
+    part = F.when(F.col("share").isNull(), F.col("pop")).otherwise(F.col("pop") * F.col("share"))
+    rows = rows.withColumn("pop", part).drop("share")
+    return _total(rows, [c for c in rows.columns if c != "pop"])
+
+
+def recode_counties(sums: DataFrame, rules: DataFrame | CodeBook) -> DataFrame:
+    """County rows from sums by raw code; groups follow the rule values before defaults, see ``rollup_prefix``."""
+    book = rules if isinstance(rules, CodeBook) else code_book(rules)
+    rows = recode_facts(sums, book, defaults=False)
+    if book.fans_out:
+        rows = _total(rows, [c for c in rows.columns if c != "pop"])
+    return fill_defaults(rows).select(*GEO_COLUMNS)
+
+
 CODE_DIMENSIONS = ("fips_co", *RAW_CODES)
 
 

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.operators.geo import (
-    CODE_DIMENSIONS, allocate, block_codes, geo_direct, recode_rollup, rollup_hierarchy, rollup_prefix,
+    CODE_DIMENSIONS, allocate, block_codes, block_crosswalk, block_table, geo_direct, recode_counties, recode_rollup,
+    rollup_blocks, rollup_hierarchy,
 )
 from tallyfold.operators.log import latest_batches
 from tallyfold.operators.recode import code_book
 from tallyfold.schema import GEO_COLUMNS, TARGET_TYPES
-from tallyfold.sources.store import use_checkpoints, write_table
+from tallyfold.sources.store import Buckets, copy_and_verify, use_checkpoints, write_table
 
+BUCKETS = 64  # of the block table and the crosswalk; more for larger blocks tables
 _DIRECT = ("blk", "lgd", "scd", "zip")
 
 
@@ -37,24 +39,45 @@ def target_tables(facts: DataFrame, chosen: DataFrame, rules, weights: DataFrame
 
 def run_geographies(spark: SparkSession, out: str, *, facts: DataFrame, log: DataFrame, rules: DataFrame,
                     areas: DataFrame, regions: DataFrame, weights: DataFrame, census_year: str = "2020",
-                    geo_year: str = "2020") -> dict[str, DataFrame]:
+                    geo_year: str = "2020", copy_to: str | None = None, buckets: int = BUCKETS) -> dict[str, DataFrame]:
     """Write all geography tables below ``out`` and return them by name.
 
-    The choice of batches and the code book are made once. Facts partitioned by batch are read once per
-    direct table, each reading only its own batches, and once per rollup family.
+    The choice of batches and the code book are made once. Facts partitioned by batch are read once per direct table,
+    each reading only its own batches, and once for all rollups of blocks: those sum a slim block table that is bucketed
+    like the crosswalk of its blocks, so they meet without a shuffle.
+
+    With ``copy_to`` all thirteen tables are copied there and compared with what was read; ``copied`` below it holds a
+    PASS or FAIL row for each. A copy that differs raises after all are done.
     """
     use_checkpoints(spark)
     chosen = latest_batches(log, census_year=census_year, geo_year=geo_year).checkpoint()
     book = code_book(rules)
     for geo_type in _DIRECT:
         write_table(geo_direct(facts, chosen, book, geo_type), f"{out}/pop_geo_{geo_type}")
-    write_table(rollup_prefix(facts, chosen, book), f"{out}/pop_geo_cou")
-    hra, _ = area_tables(facts, chosen, book, areas, regions)
-    write_table(hra, f"{out}/pop_geo_hra")
+    with Buckets(spark, f"{out}/buckets", "geo_id", buckets) as kept:
+        blocks = kept.keep(block_table(facts, chosen), "blocks")
+        crosswalk = kept.keep(block_crosswalk(areas, weights, TARGET_TYPES), "crosswalk")
+        write_table(rollup_blocks(blocks, crosswalk), f"{out}/sums", partition_by=["geo_type"])
+    sums = spark.read.parquet(f"{out}/sums")
+    write_table(recode_counties(sums.where("geo_type = 'cou'"), book), f"{out}/pop_geo_cou")
+    write_table(recode_rollup(sums.where("geo_type = 'hra'"), book), f"{out}/pop_geo_hra")
     write_table(region_table(spark.read.parquet(f"{out}/pop_geo_hra"), regions), f"{out}/pop_geo_reg")
-    write_table(target_tables(facts, chosen, book, weights, TARGET_TYPES), f"{out}/targets", partition_by=["geo_type"])
+    shares = recode_rollup(sums.where(F.col("geo_type").isin(*TARGET_TYPES)), book)
+    write_table(shares, f"{out}/targets", partition_by=["geo_type"])
 
     tables = {f"pop_geo_{t}": spark.read.parquet(f"{out}/pop_geo_{t}") for t in (*_DIRECT, "cou", "hra", "reg")}
-    targets = spark.read.parquet(f"{out}/targets")
+    targets = spark.read.schema(shares.schema).parquet(f"{out}/targets")
     tables |= {f"pop_geo_{t}": targets.where(F.col("geo_type") == t).select(*GEO_COLUMNS) for t in TARGET_TYPES}
+    if copy_to is not None:
+        copy_geographies(spark, tables, copy_to)
     return tables
+
+
+def copy_geographies(spark: SparkSession, tables: dict[str, DataFrame], copy_to: str) -> DataFrame:
+    """Copy the tables below ``copy_to`` and return, and keep in ``copied`` there, how each one went. A bad copy raises."""
+    write_table(copy_and_verify(spark, tables, copy_to), f"{copy_to}/copied")
+    told = spark.read.parquet(f"{copy_to}/copied")
+    bad = told.where("status <> 'PASS'").select("table_name").collect()
+    if bad:
+        raise RuntimeError(f"copies differ: {sorted(r.table_name for r in bad)}")
+    return told

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tallyfold.functions.names import batch_date, remove_first
+from tallyfold.operators.qa import exact_sum
 from tallyfold.schema import GEO_SCOPES, GEO_TYPE_CODES
 from tallyfold.sources.raw import CSV_NAMES
 
@@ -72,7 +74,6 @@ def locate_files(manifest: DataFrame, *, batch_name: str | None = None, base_url
 
 def profile_files(rows: DataFrame, file: str = "file") -> DataFrame:
     """Rows and headcount of each file; a missing headcount counts as 0."""
-    return rows.groupBy(file).agg(
-        F.count("*").alias("rows_file"),
-        F.sum(F.coalesce(F.col("pop"), F.lit(0).cast(rows.schema["pop"].dataType))).alias("pop_file"),
-    )
+    kind = rows.schema["pop"].dataType
+    total = F.coalesce(exact_sum(rows), F.lit(0).cast("double" if isinstance(kind, T.DoubleType) else "decimal(38,8)"))
+    return rows.groupBy(file).agg(F.count("*").alias("rows_file"), total.alias("pop_file"))

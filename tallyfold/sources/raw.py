@@ -11,7 +11,7 @@ from tallyfold.functions.codes import county_fips
 from tallyfold.operators.sizing import small_side
 from tallyfold.schema import RAW_CELLS, RAW_SCHEMA
 
-_BAD = "_bad_record"
+BAD = "_bad_record"
 
 
 #: Names of raw text files, in any case.
@@ -51,14 +51,14 @@ def read_raw(spark: SparkSession, paths, *, fmt: str = "csv", sep: str = ",", qu
             raise ValueError(f"{len(rows.columns)} columns where {len(RAW_CELLS)} are expected: {rows.columns}")
         cells = [F.col(old).cast("string").alias(new) for old, new in zip(rows.columns, RAW_CELLS)]
         return rows.select(*cells, scanned_file().alias("file"))
-    reader = spark.read.schema(T.StructType([*RAW_SCHEMA.fields, T.StructField(_BAD, T.StringType())]))
+    reader = spark.read.schema(T.StructType([*RAW_SCHEMA.fields, T.StructField(BAD, T.StringType())]))
     reader = reader.options(sep=sep, quote=quote, header=first_row == 2, mode="PERMISSIVE", enforceSchema=True,
-                            columnNameOfCorruptRecord=_BAD, recursiveFileLookup=recursive)
+                            columnNameOfCorruptRecord=BAD, recursiveFileLookup=recursive)
     if recursive:
         reader = reader.option("pathGlobFilter", CSV_NAMES)
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
-    rows = reader.csv(paths).select(*RAW_CELLS, _BAD, scanned_file().alias("file"))
+    rows = reader.csv(paths).select(*RAW_CELLS, BAD, scanned_file().alias("file"))
     if max_errors is None:
         return rows
     check_errors(survey_files(rows), max_errors)
@@ -67,11 +67,11 @@ def read_raw(spark: SparkSession, paths, *, fmt: str = "csv", sep: str = ",", qu
 
 def good_records(rows: DataFrame) -> DataFrame:
     """Rows whose record had the right number of fields."""
-    if _BAD not in rows.columns:
+    if BAD not in rows.columns:
         return rows
     # The marker is only right when all cells are read, also by a count that needs none of them. The second
     # test always holds and keeps the cells in the scan.
-    return rows.where(F.col(_BAD).isNull() & (F.length(F.concat_ws("", *RAW_CELLS)) >= 0)).drop(_BAD)
+    return rows.where(F.col(BAD).isNull() & (F.length(F.concat_ws("", *RAW_CELLS)) >= 0)).drop(BAD)
 
 
 def _text(rows) -> Column:
@@ -83,9 +83,15 @@ def is_header() -> Column:
     return _text(None).contains("code") | _text(None).contains("year")
 
 
+def first_header() -> Column:
+    """The cells of a header row behind its rank: the smallest one of a file is its header."""
+    both = _text(None).contains("code") & _text(None).contains("year")
+    return F.struct((~both).alias("rank"), *RAW_CELLS)
+
+
 def marked_bad(rows: DataFrame) -> Column:
     """Whether a row is a bad record. The length keeps all cells in the scan, without which the mark is not right."""
-    return F.col(_BAD).isNotNull() & (F.length(_text(rows)) >= 0) if _BAD in rows.columns else F.lit(False)
+    return F.col(BAD).isNotNull() & (F.length(_text(rows)) >= 0) if BAD in rows.columns else F.lit(False)
 
 
 def survey_files(rows: DataFrame) -> DataFrame:
@@ -94,11 +100,11 @@ def survey_files(rows: DataFrame) -> DataFrame:
     A header is a row that has "code" or "year" somewhere in its text; rows with both words go first, and
     the smallest one in text order is taken when several remain. Only such rows and bad ones leave the scan.
     """
-    bad = F.col(_BAD).isNotNull() if _BAD in rows.columns else F.lit(False)
+    bad = F.col(BAD).isNotNull() if BAD in rows.columns else F.lit(False)
     text = _text(rows)
     code, year = text.contains("code"), text.contains("year")
-    picked = rows.where(code | year | bad).withColumns({"_is_bad": bad, "_both": code & year, "_any": code | year})
-    header = F.when(F.col("_any") & ~F.col("_is_bad"), F.struct((~F.col("_both")).alias("rank"), *RAW_CELLS))
+    picked = rows.where(code | year | bad).withColumns({"_is_bad": bad, "_any": code | year})
+    header = F.when(F.col("_any") & ~F.col("_is_bad"), first_header())
     per_file = picked.groupBy("file").agg(F.min(header).alias("_header"), F.count_if("_is_bad").alias("bad_records"))
     return per_file.select("file", *[F.col(f"_header.{c}").alias(c) for c in RAW_CELLS], "bad_records")
 

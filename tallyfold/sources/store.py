@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,21 +28,40 @@ def write_table(rows: DataFrame, path: str, *, fmt: str = "parquet", partition_b
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def replace_batch(rows: DataFrame, path: str, *, partition_by=("etl_batch_id",), ids: DataFrame | None = None) -> None:
-    """Write batches so that each one present in ``rows`` replaces its earlier content; others stay.
+class Buckets:
+    """Tables of one run that are bucketed alike, so that joins on their key need no shuffle. Left as a context, their names
+    go from the catalog; the files stay."""
 
-    A batch of ``ids`` (column ``etl_batch_id``) without rows loses what it had.
+    def __init__(self, spark: SparkSession, path: str, key: str, count: int):
+        self.spark, self.path, self.key, self.count = spark, path, key, count
+        self.names: list[str] = []
+
+    def __enter__(self) -> Buckets:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def keep(self, rows: DataFrame, name: str) -> DataFrame:
+        """Write ``rows`` with one sorted file for each bucket and return the table."""
+        table = f"tallyfold_{name}_{uuid.uuid4().hex[:12]}"
+        (rows.repartition(self.count, self.key).write.bucketBy(self.count, self.key).sortBy(self.key)
+         .option("path", f"{self.path}/{name}").mode("overwrite").saveAsTable(table))
+        self.names.append(table)
+        return self.spark.table(table)
+
+
+def replace_batch(rows: DataFrame, path: str, *, partition_by=("etl_batch_id",)) -> int:
+    """Write batches so that each one present in ``rows`` replaces its earlier content; others stay. Returns the rows written.
 
     The rebalance hint gathers each batch into few files; adaptive execution splits a batch that is much
-    larger than the others and merges small ones.
+    larger than the others and merges small ones. Rows are counted behind that shuffle, while they are written.
     """
-    balanced = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+    balanced, told = observed(rows.hint("rebalance", *[F.col(c) for c in partition_by]))
     (balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
-    if ids is not None:
-        written = rows.sparkSession.read.schema(rows.schema).parquet(path).select("etl_batch_id").distinct()
-        full = written.join(rows.select("etl_batch_id").distinct(), "etl_batch_id", "left_semi")
-        drop_batches(rows.sparkSession, path, ids.select("etl_batch_id").join(full, "etl_batch_id", "left_anti"))
+    return told.get["rows"]
 
 
 def drop_batches(spark: SparkSession, path: str, ids: DataFrame, *, partition: str = "etl_batch_id") -> int:
@@ -86,18 +105,52 @@ def write_current(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/version={versions[-1] + 1 if versions else 1}")
 
 
+def clear_versions(spark: SparkSession, path: str) -> int:
+    """Delete all but the newest completely written version of a small table; how many went."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = _versions(spark, path)
+    names = [f.getPath().getName().split("=")[1] for f in files.globStatus(folder) or []]
+    # Later ones are being written.
+    return sum(delete_folder(spark, f"{path}/version={n}") for n in names if done and int(n) < done[-1])
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def observed(rows: DataFrame, *, digest: bool = False) -> tuple[DataFrame, Observation]:
+    """``rows`` and what the action that runs them will tell: ``rows``, and with ``digest`` a sum over the rows' hashes.
+
+    Counting rides on the write, so nothing is evaluated twice. It has to be the last step before the write: a task that
+    runs again in an earlier stage, after an executor is lost, would be counted again.
+    """
+    told = Observation()
+    measures = [F.count(F.lit(1)).alias("rows")]
+    if digest:
+        measures.append(row_digest(rows).alias("digest"))
+    return rows.observe(told, *measures), told
+
+
+def row_digest(rows: DataFrame) -> Column:
+    """A sum over the hashes of all rows: the same for the same rows in any order."""
+    cells = [F.col(f"`{c}`") for c in sorted(rows.columns)]
+    return F.coalesce(F.sum(F.xxhash64(*cells).cast("decimal(38,0)")), F.lit(0)).cast("string")
+
+
 def copy_and_verify(spark: SparkSession, tables: dict[str, DataFrame], to_path: str, *,
                     fmt: str = "parquet") -> DataFrame:
-    """Copy each table below ``to_path`` and compare row counts: one PASS or FAIL row per table."""
-    for name, rows in tables.items():
-        write_table(rows, f"{to_path}/{name}", fmt=fmt)
-
-    def counts(frames, column):
-        parts = [rows.agg(F.count("*").alias(column)).withColumn("table_name", F.lit(name))
-                 for name, rows in frames.items()]
-        return reduce(DataFrame.unionByName, parts)
+    """Copy each table below ``to_path`` and compare rows and row hashes: one PASS or FAIL row per table.
 
-    copied = {name: spark.read.format(fmt).load(f"{to_path}/{name}") for name in tables}
-    both = counts(tables, "rows_from").join(counts(copied, "rows_to"), "table_name")
-    passed = F.when(F.col("rows_from") == F.col("rows_to"), F.lit("PASS")).otherwise(F.lit("FAIL"))
-    return both.select("table_name", "rows_from", "rows_to", passed.alias("status"))
+    The source is evaluated once: it is counted while it is written. The copy is read back.
+    """
+    out = []
+    for name, rows in tables.items():
+        counted, told = observed(rows, digest=True)
+        write_table(counted, f"{to_path}/{name}", fmt=fmt)
+        back = spark.read.format(fmt).schema(rows.schema).load(f"{to_path}/{name}")
+        back = back.agg(F.count(F.lit(1)).alias("rows"), row_digest(back).alias("digest")).first()
+        same = (told.get["rows"], told.get["digest"]) == (back["rows"], back["digest"])
+        out.append((name, told.get["rows"], back["rows"], "PASS" if same else "FAIL"))
+    return spark.createDataFrame(out, "table_name string, rows_from long, rows_to long, status string")

@@ -35,8 +35,8 @@ def load_arrivals(spark: SparkSession, folder: str, root: str, rules: DataFrame,
         now = clock()
         known = exists(spark, f"{root}/log")
         log = read_current(spark, f"{root}/log") if known else spark.createDataFrame([], LOG_SCHEMA)
-        write_current(run_intake(spark, folder, log, files=files, now=now, census_year=census_year, **options),
-                      f"{root}/log")
+        write_current(run_intake(spark, folder, log, files=files, now=now, census_year=census_year,
+                                 landing=f"{root}/landing", **options), f"{root}/log")
         run_load(spark, root, rules, now=now, census_year=census_year)
 
     stream = arrived_files(spark, folder).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)

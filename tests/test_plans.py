@@ -1,6 +1,7 @@
 """Files on disk through intake, load, archive, quality sums and cleaning."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from tallyfold.plans.load import run_archive, run_load
 from tallyfold.plans.quality import run_qa
 from tallyfold.schema import LOG_SCHEMA, STAGE_SCHEMA
 from tallyfold.streaming.arrivals import load_arrivals
+from tallyfold.sources import landing
+from tallyfold.sources.batches import BatchStore
 from tallyfold.sources.store import read_current, write_current
 from test_raw import LINES_97, write_gz
 
@@ -43,7 +46,8 @@ def test_two_deliveries(spark, store):
     log = run_load(spark, root, rules(spark, False), now=MARCH)
     columns = ["id", "r_type", "qa_rows_file", "qa_rows_raw", "qa_rows_stage", "qa_rows_ref", "qa_pop_ref", "load_ref_datetime"]
     assert rows_of(log, *columns) == [(1, 77, 1, 1, 1, 1, 4.0, MARCH), (2, 97, 6, 2, 2, 2, 2.0, MARCH)]
-    ref = spark.read.parquet(f"{root}/ref")
+    store = BatchStore(spark, root)
+    ref = store.read("ref")
     assert set(ref.columns) == {f.name for f in STAGE_SCHEMA.fields}
     assert rows_of(ref, "age", "age_20", "gender", "rcode", "r2r4", "race_wht", "race_hisp", "pop") == [
         (34, 2, 1, 1, 1, 1, 0, 1.5), (105, 4, 2, 2, 6, 0, 1, 0.25)]
@@ -55,14 +59,14 @@ def test_two_deliveries(spark, store):
     log = run_load(spark, root, rules(spark, False), now=APRIL)
     assert rows_of(log, "id", "load_archive_datetime", "delete_ref_datetime") == [
         (1, APRIL, APRIL), (2, APRIL, APRIL), (3, None, None), (4, None, None)]
-    assert rows_of(spark.read.parquet(f"{root}/ref").select("etl_batch_id").distinct()) == [(4,)]
-    assert rows_of(spark.read.parquet(f"{root}/archive_ref").select("etl_batch_id").distinct()) == [(2,)]
-    assert rows_of(spark.read.parquet(f"{root}/archive_ref_77").select("etl_batch_id").distinct()) == [(1,)]
+    assert rows_of(store.read("ref").select("etl_batch_id").distinct()) == [(4,)]
+    assert rows_of(store.read("archive_ref").select("etl_batch_id").distinct()) == [(2,)]
+    assert rows_of(store.read("archive_ref_77").select("etl_batch_id").distinct()) == [(1,)]
 
     deliver(spark, folder, root, "20240501final", MAY)
     log = run_load(spark, root, rules(spark, False), now=MAY, max_archive=1)
     assert rows_of(log.where("delete_archive_datetime IS NOT NULL"), "id") == [(1,), (2,)]
-    assert rows_of(spark.read.parquet(f"{root}/archive_ref").select("etl_batch_id").distinct()) == [(4,)]
+    assert rows_of(store.read("archive_ref").select("etl_batch_id").distinct()) == [(4,)]
     assert rows_of(run_archive(spark, root, now=MAY, max_archive=1)) == rows_of(log)
 
 
@@ -92,7 +96,7 @@ def test_stage_only(spark, store):
     log = run_load(spark, root, rules(spark, False), now=MARCH, full=False, geo_types=["blk"], r_type=97)
     assert rows_of(log, "id", "load_raw_datetime", "load_stage_datetime", "load_ref_datetime") == [
         (1, None, None, None), (2, MARCH, MARCH, None)]
-    stage = spark.read.parquet(f"{root}/stage")
+    stage = BatchStore(spark, root).read("stage")
     assert rows_of(stage, "raw_agestr", "age", "fips_co", "pop") == [("034", None, 33, 1.5), ("105", None, 33, 0.25)]
 
 
@@ -100,11 +104,12 @@ def test_quality_run(spark, store):
     folder, root = store
     deliver(spark, folder, root, "20240301final", MARCH)
     run_load(spark, root, rules(spark, False), now=MARCH)
-    ref, old = spark.read.parquet(f"{root}/ref"), spark.read.parquet(f"{root}/ref_77")
+    store = BatchStore(spark, root)
+    ref, old = store.read("ref"), store.read("ref_77")
     sums = run_qa(f"{root}/qa", ref, old, raw=ref, report=f"{root}/report")
     assert rows_of(sums.where("col = 'age'"), "r_type", "val", "pop") == [(77, 30, 4.0), (97, 34, 1.5), (97, 105, 0.25)]
     assert rows_of(sums) == rows_of(qa_long(ref.unionByName(old)))
-    report = spark.read.option("header", "true").csv(f"{root}/report/raw_vs_current_year")
+    report = spark.read.option("header", "true").csv(f"{root}/report/comparison=raw_vs_current_year")
     assert report.count() == qa_long(ref).count() and {r[0] for r in report.select("diff").collect()} == {"0.0"}
 
 
@@ -155,7 +160,8 @@ def test_batch_without_valid_rows_is_stamped_and_replaced(spark, store):
     log = run_load(spark, root, rules(spark, False), now=APRIL)
     assert rows_of(log, "qa_rows_raw", "qa_rows_stage", "qa_rows_ref", "qa_pop_ref", "load_ref_datetime") == [
         (0, 0, 0, 0.0, APRIL)]
-    assert not list((folder.parent / "root").glob("[sr][te][af]*/etl_batch_id=1"))
+    store = BatchStore(spark, root)
+    assert [store.read(x).count() for x in ("raw", "stage", "ref", "ref_77")] == [2, 0, 0, 0]
 
 
 def test_table_batches_are_loaded_beside_files(spark, store):
@@ -174,5 +180,126 @@ def test_table_batches_are_loaded_beside_files(spark, store):
     log = run_load(spark, root, rules(spark, False), now=MARCH, tables={"heads": heads})
     assert rows_of(log, "id", "qa_rows_raw", "qa_rows_ref", "qa_pop_ref", "load_ref_datetime") == [
         (1, 2, 2, 2.0, MARCH), (9, 1, 1, 2.0, MARCH), (10, 0, 0, 0.0, MARCH), (11, None, None, None, None)]
-    ref = spark.read.parquet(f"{root}/ref").where("etl_batch_id = 9")
+    ref = BatchStore(spark, root).read("ref").where("etl_batch_id = 9")
     assert rows_of(ref, "year", "age", "gender", "fips_co", "pop") == [("2019", 34, 1, 33, 2.0)]
+
+
+LOSSY = ["YEAR,BLOCKCODE,AGESTR,GENDER,RACE,HISPANIC,POP", "2020,530330001001000,030,1,10000,1,4", "2020,530330001001000,030,1,10000,1,",
+         "2020,530330001001000,030,1,10000,1,many", "2020,530330001001000,030,1,10000,1, 1x ", ",530330001001000,030,1,10000,1,3", "2020,short"]
+
+
+def test_every_row_of_a_file_is_accounted_for(spark, store):
+    folder, root = store
+    write_gz(folder / "20240301final" / "BlockCode2020RaceMars972020.csv.gz", LOSSY)
+    log = intake(spark, str(folder), root)
+    assert rows_of(log, "qa_rows_file") == [(6,)]
+    run_load(spark, root, rules(spark, False), now=MARCH)
+    hops = rows_of(read_current(spark, f"{root}/hops"), "hop", "fate", "rows")
+    assert hops == sorted([
+        ("file", "kept", 4), ("file", "bad_record", 1), ("file", "no_first_cell", 1), ("file", "header", 1), ("raw", "kept", 1),
+        ("raw", "no_headcount", 1), ("raw", "unreadable_headcount", 2), ("stage", "kept", 1), ("ref", "kept", 1)])
+    assert rows_of(BatchStore(spark, root).read("raw"), "pop_unreadable") == [(None,), (None,), (" 1x",), ("many",)]
+    assert rows_of(read_current(spark, f"{root}/reconciled"), "rows_file", "rows_raw", "raw_ok") == [(6, 1, False)]
+
+
+def test_lost_rows_raise(spark, store, monkeypatch):
+    folder, root = store
+    write_gz(folder / "20240301final" / "BlockCode2020RaceMars972020.csv.gz", LINES_97)
+    intake(spark, str(folder), root)
+    from tallyfold.plans import load
+    whole = load.stage_rows
+    monkeypatch.setattr(load, "stage_rows", lambda raw, rules: whole(raw, rules).where("age < 100"))
+    with pytest.raises(RuntimeError, match="2 sent to stage, 1 there"):
+        run_load(spark, root, rules(spark, False), now=MARCH)
+    assert rows_of(read_current(spark, f"{root}/log"), "load_raw_datetime") == [(None,)]
+
+
+def test_files_are_inflated_once_and_in_waves(spark, store, monkeypatch):
+    folder, root = store
+    for year in range(2015, 2021):
+        write_gz(folder / "20240301final" / f"BlockCode2020RaceMars97{year}.csv.gz", LINES_97)
+    read, whole = [], landing.read_raw
+    monkeypatch.setattr(landing, "read_raw", lambda spark, paths, **more: read.append(len(paths)) or whole(spark, paths, **more))
+    log = run_intake(spark, str(folder), spark.createDataFrame([], LOG_SCHEMA), now=MARCH, census_year="2020", base_path=str(folder),
+                     final_folder=str(folder), landing=f"{root}/landing", per_wave=4)
+    write_current(log, f"{root}/log")
+    assert read == [4, 2]
+    log = run_load(spark, root, rules(spark, False), now=MARCH, per_wave=4)
+    assert read == [4, 2] and rows_of(log, "qa_rows_file", "qa_rows_raw", "qa_rows_ref") == [(6, 2, 2)] * 6
+    # A changed file is read again, alone, and stands in for its earlier version.
+    changed = folder / "20240301final" / "BlockCode2020RaceMars972020.csv.gz"
+    write_gz(changed, LINES_97[:3])
+    os.utime(changed, (2e9, 2e9))
+    files = spark.createDataFrame([(str(f),) for f in sorted(folder.rglob("*.gz"))], "file string")
+    assert landing.land_files(spark, files, f"{root}/landing") == 1 and read == [4, 2, 1]
+    assert landing.landed_rows(spark, f"{root}/landing", files).count() == 5 * 8 + 3
+    assert landing.drop_stale_waves(spark, f"{root}/landing") == 0
+    write_gz(changed, LINES_97[:2])
+    os.utime(changed, (2.1e9, 2.1e9))
+    assert landing.land_files(spark, files, f"{root}/landing") == 1
+    assert landing.drop_stale_waves(spark, f"{root}/landing") == 1
+    assert landing.landed_rows(spark, f"{root}/landing", files).count() == 5 * 8 + 2
+
+
+def test_a_wave_that_broke_is_not_read(spark, store, monkeypatch):
+    folder, root = store
+    path = write_gz(folder / "20240301final" / "BlockCode2020RaceMars972020.csv.gz", LINES_97)
+    files = spark.createDataFrame([(path,)], "file string")
+    with monkeypatch.context() as broken:
+        broken.setattr(landing, "write_current", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            landing.land_files(spark, files, f"{root}/landing")
+    assert landing.landed_rows(spark, f"{root}/landing", files).count() == 0
+    landing.land_files(spark, files, f"{root}/landing")
+    assert landing.landed_rows(spark, f"{root}/landing", files).count() == 8
+    assert landing.drop_stale_waves(spark, f"{root}/landing") == 1
+
+
+def test_a_change_of_batches_that_broke_changes_nothing(spark, store, monkeypatch):
+    root = store[1]
+    held = BatchStore(spark, root)
+    kind = "etl_batch_id long, x int"
+    held.write("ref", spark.createDataFrame([(1, 1), (2, 2), (3, 3)], kind))
+    move = spark.createDataFrame([(1, "ref", "archive_ref")], "etl_batch_id long, dataset string, to string")
+    with monkeypatch.context() as broken:
+        broken.setattr(BatchStore, "_swap", lambda *_: 1 / 0)
+        for change in (lambda: held.write("ref", spark.createDataFrame([(1, 9)], kind)), lambda: held.move(move),
+                       lambda: held.drop(move)):
+            with pytest.raises(ZeroDivisionError):
+                change()
+    assert rows_of(held.read("ref"), "etl_batch_id", "x") == [(1, 1), (2, 2), (3, 3)]
+    assert held.vacuum() == 1
+    assert held.move(move) == 1 and held.move(move) == 0
+    # A batch that the archive has already is replaced by a later one; a write may have more columns.
+    held.write("ref", spark.createDataFrame([(1, 7, "new")], f"{kind}, y string"))
+    assert held.move(move) == 1 and held.vacuum() == 1
+    assert rows_of(held.read("archive_ref"), "etl_batch_id", "x", "y") == [(1, 7, "new")]
+    assert rows_of(held.read("ref"), "etl_batch_id", "x", "y") == [(2, 2, None), (3, 3, None)]
+    ids = spark.createDataFrame([(2,), (3,)], "etl_batch_id long")
+    assert held.write("ref", spark.createDataFrame([(3, 4)], kind), ids) == 1
+    assert rows_of(held.read("ref", ids), "etl_batch_id", "x") == [(3, 4)]
+    assert held.drop(spark.createDataFrame([(3, "ref")], "etl_batch_id long, dataset string")) == 1
+    assert held.read("ref").count() == 0 and held.vacuum() == 3
+    with pytest.raises(FileNotFoundError):
+        held.read("never")
+
+
+def test_copies_are_compared_and_the_source_is_read_once(spark, tmp_path):
+    from tallyfold.plans.geographies import copy_geographies
+    from tallyfold.sources import store as files
+    seen = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda x: seen.add(1) or x, "long").asNondeterministic()
+    rows = spark.range(50).select(counted("id").alias("id"))
+    assert rows_of(copy_geographies(spark, {"a": rows}, str(tmp_path / "one"))) == [("a", 50, 50, "PASS")]
+    assert seen.value == 50
+    kept = files.write_table
+    def spoiled(rows, path, **more):
+        kept(rows, path, **more)
+        if path.endswith("/a"):
+            spark.range(1, 51).write.mode("overwrite").parquet(path)
+    files.write_table = spoiled
+    try:
+        with pytest.raises(RuntimeError, match="copies differ"):
+            copy_geographies(spark, {"a": spark.range(50)}, str(tmp_path / "two"))
+    finally:
+        files.write_table = kept
