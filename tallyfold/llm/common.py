@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyfold.sources.store import shared_folder
@@ -52,6 +53,7 @@ BLANK[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+_LONG = 512  # bytes of a word beyond which it is hashed by itself
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
@@ -123,6 +125,27 @@ class Words:
         np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
         return mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
 
+    def keys(self, seed: int) -> np.ndarray:
+        """A hash of the bytes of each word, eight bytes at a time; other seeds give other hashes of all words."""
+        size = self.ends - self.starts
+        held = np.concatenate([self.raw, np.zeros(8, dtype=np.uint8)])
+        # Eight bytes from every place of the buffer, without a copy.
+        lanes = np.ndarray(len(self.raw) + 1, dtype="<u8", buffer=held, strides=(1,))
+        out = mixed(np.uint64(seed) + size.astype(np.uint64) * _BASE)
+        many = size > _LONG
+        at = np.flatnonzero(~many)
+        done = 0
+        while len(at):
+            left = size[at] - done
+            lane = lanes[self.starts[at] + done]
+            short = left < 8
+            lane[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+            out[at] = mixed((out[at] ^ lane) * _BASE + np.uint64(seed))
+            at, done = at[left > 8], done + 8
+        for word in np.flatnonzero(many).tolist():
+            out[word] = xxhash.xxh3_64_intdigest(held[self.starts[word]:self.ends[word]].tobytes(), seed)
+        return out
+
     def text_of(self) -> np.ndarray:
         """Number of the text that holds each word."""
         return np.repeat(np.arange(len(self.counts)), self.counts)

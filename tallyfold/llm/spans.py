@@ -1,33 +1,31 @@
-"""Substring dedup over the De Bruijn graph of word runs.
+"""Substring dedup by compaction of the De Bruijn graph of word runs.
 
 Nodes are runs of width - 1 words, edges runs of ``width`` words. An edge in several documents is repeated; its source
-is a place in a text of the smallest of them. Paths of repeated edges without branches, whose sources follow each other, are
-compacted: a node of one edge in and one out joins the two. Only the edges that begin a path are marked; no table of
-paths is built, and the marks decide where spans are cut, not which words go. What a document repeats is then cut along the paths, so
-that copies ask for the same pieces of the same source, and those are compared word by word through digests.
+is a place in a text of the smallest of them. Repeated edges that follow each other without a branch, also at their source,
+are compacted into a path: a row (source, start, length). An edge then is an offset on a path, and what a document repeats
+is a list of stretches of paths. A stretch is compared word by word, through digests, with the source that its path names.
 
 Most windows occur once. They are set aside first: each window has a least hash among its short word runs, two equal
-windows have the same one, and only windows whose least hash occurs again are looked at as edges.
+windows have the same one, and only windows whose least hash occurs again are looked at as edges. Of documents with the same
+text only the smallest is looked at; the others repeat it from the first word to the last.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyfold.llm.common import Scratch, Words, in_chunks, rolled, text_bytes
 
 WIDTH = 13
 SHORT = 3  # words whose least hash stands for a window
-ROUNDS = 2  # shares of the edges that are looked up one after the other, so that the disk holds the shuffle of one
+TRIES = 4  # seeds that are tried when different words share a hash
 PIECE = 256  # windows of a block of a text; spans are compared in pieces that lie in one block on both sides
 _LOW = (1 << 31) - 1
-_HEAD = 1 << 31  # bit of a spot that places leave free
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -53,7 +51,7 @@ def seeds(keyed: DataFrame, width: int, seed: int) -> DataFrame:
         for batch in batches:
             for lo, texts in in_chunks(map(text_bytes, batch["text"])):
                 words = Words(texts)
-                grams = rolled(words.hashes() ^ np.uint64(seed), short)
+                grams = rolled(words.keys(seed), short)
                 if len(grams) < width - short + 1:
                     continue
                 least = _sliding_min(grams, width - short + 1)
@@ -82,7 +80,7 @@ def walks(flagged: DataFrame, width: int, seed: int) -> DataFrame:
         for batch in batches:
             for lo, texts in in_chunks(map(text_bytes, batch["text"])):
                 words = Words(texts)
-                nodes = rolled(words.hashes() ^ np.uint64(seed), width - 1).view(np.int64)
+                nodes = rolled(words.keys(seed), width - 1).view(np.int64)
                 out = []
                 for k in range(len(texts)):
                     row = batch.iloc[lo + k]
@@ -119,11 +117,8 @@ def repeated_edges(walked: DataFrame) -> DataFrame:
     return found.where("source < last").drop("last")
 
 
-def compacted(edges: DataFrame) -> DataFrame:
-    """``edges`` with ``head``: 1 where a path begins, 0 where the edge continues the one before it at its source.
-
-    A node joins its only edge in and its only edge out if their sources are neighbouring places of one text.
-    """
+def joined(edges: DataFrame) -> DataFrame:
+    """Nodes that join their only edge in and their only edge out, if the sources of the two follow each other in one text."""
     out = edges.select(F.col("u").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"), "source", "place")
     into = edges.select(F.col("v").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"), "source", "place")
 
@@ -134,52 +129,63 @@ def compacted(edges: DataFrame) -> DataFrame:
         F.sum("o").alias("outs"), F.sum("i").alias("ins"),
         only("o", "source").alias("to"), only("o", "place").alias("to_place"),
         only("i", "source").alias("origin"), only("i", "place").alias("from_place"))
-    joints = nodes.where("outs = 1 AND ins = 1 AND to = origin AND from_place + 1 = to_place").select(
-        F.col("node").alias("joint"))
-    return edges.join(joints, edges["u"] == joints["joint"], "left").select(
-        "u", "v", "source", "place", F.when(F.col("joint").isNull(), 1).otherwise(0).alias("head"))
+    return nodes.where("outs = 1 AND ins = 1 AND to = origin AND from_place + 1 = to_place").select("node")
 
 
-def repeats(walked: DataFrame, edges: DataFrame, share: int) -> DataFrame:
-    """(doc_id, body, places, sources, origins): the edges of a share that a document repeats from a smaller doc_id.
+def compacted(edges: DataFrame) -> DataFrame:
+    """``edges`` with ``start``, the spot at which the path of the edge begins.
 
-    origins packs the spot at the source and whether a path begins there.
+    An edge whose first node joins it to another one belongs to the path of that one, so along a source text a path goes on
+    up to the next edge that is not joined. A group holds the edges whose source is one text, at most as many as its words.
     """
-    def in_share(rows):
-        return rows.where(F.pmod("u", F.lit(ROUNDS)) == share)
+    nodes = joined(edges).select(F.col("node").alias("joint"))
+    rows = edges.join(nodes, edges["u"] == nodes["joint"], "left")
+    along = Window.partitionBy("source", F.shiftright("place", 32)).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    begins = F.when(F.col("joint").isNull(), F.col("place"))
+    return rows.select("u", "v", "source", "place", F.last(begins, ignorenulls=True).over(along).alias("start"))
 
-    met = in_share(occurrences(walked)).join(in_share(edges), ["u", "v"]).where("doc_id > source")
-    return met.groupBy("doc_id", F.shiftright("spot", 32).alias("body")).agg(
-        F.collect_list(F.col("spot").bitwiseAND(F.lit((1 << 32) - 1))).alias("places"),
-        F.collect_list("source").alias("sources"),
-        F.collect_list(F.col("place") + F.col("head") * F.lit(_HEAD)).alias("origins"))
 
+def path_table(compact: DataFrame) -> DataFrame:
+    """(source, start, length): every path once; length counts its edges."""
+    return compact.groupBy("source", "start").agg(F.count("*").alias("length"))
 
-def gathered(parts: list[DataFrame]) -> DataFrame:
-    """The repeats of all shares, one row per text."""
-    return reduce(DataFrame.unionByName, parts).groupBy("doc_id", "body").agg(
-        *[F.flatten(F.collect_list(c)).alias(c) for c in ("places", "sources", "origins")])
+
+def repeats(walked: DataFrame, compact: DataFrame) -> DataFrame:
+    """(doc_id, body, places, sources, starts, offsets): the edges that a document repeats from a smaller doc_id, each as a
+    path and the offset on it."""
+    met = occurrences(walked).join(compact, ["u", "v"]).where("doc_id > source")
+    return met.groupBy("doc_id", F.shiftright("spot", 32).alias("body")).agg(
+        F.collect_list(F.col("spot").bitwiseAND(F.lit((1 << 32) - 1))).alias("places"),
+        F.collect_list("source").alias("sources"), F.collect_list("start").alias("starts"),
+        F.collect_list((F.col("place") - F.col("start")).cast("int")).alias("offsets"))
 
 
-def spans_of(found: DataFrame) -> DataFrame:
-    """(doc_id, body, at, n, source, place): stretches of n windows that run along one path; place is a spot."""
+def stretches(found: DataFrame) -> DataFrame:
+    """(doc_id, body, at, n, source, start, offset): stretches of n windows that run along one path."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, body, places, sources, origins in batch.itertuples(index=False):
+            for doc_id, body, places, *origin in batch.itertuples(index=False):
                 at, order = np.unique(places, return_index=True)
-                source, origin = np.asarray(sources)[order], np.asarray(origins)[order]
-                place, head = origin & ~_HEAD, origin & _HEAD
+                source, start, offset = (np.asarray(x)[order] for x in origin)
                 new = np.ones(len(at), dtype=bool)
-                new[1:] = ((at[1:] != at[:-1] + 1) | (source[1:] != source[:-1])
-                           | (place[1:] != place[:-1] + 1) | (head[1:] != 0))
+                new[1:] = ((at[1:] != at[:-1] + 1) | (source[1:] != source[:-1]) | (start[1:] != start[:-1])
+                           | (offset[1:] != offset[:-1] + 1))
                 first = np.flatnonzero(new)
                 n = np.diff(np.append(first, len(at)))
-                out.append(pd.DataFrame({"doc_id": doc_id, "body": body, "at": at[first], "n": n,
-                                         "source": source[first], "place": place[first]}))
-            yield pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "body", "at", "n", "source", "place"])
+                out.append(pd.DataFrame({"doc_id": doc_id, "body": body, "at": at[first], "n": n, "source": source[first],
+                                         "start": start[first], "offset": offset[first]}))
+            yield pd.concat(out) if out else pd.DataFrame(
+                columns=["doc_id", "body", "at", "n", "source", "start", "offset"])
+
+    return found.mapInPandas(run, "doc_id long, body long, at long, n long, source long, start long, offset long")
 
-    return found.mapInPandas(run, "doc_id long, body long, at long, n long, source long, place long")
+
+def spans_of(stretched: DataFrame, paths: DataFrame) -> DataFrame:
+    """(doc_id, body, at, n, source, place): the part of each stretch that its path covers, place being its spot there."""
+    n = F.least("n", F.col("length") - F.col("offset"))
+    return stretched.join(paths, ["source", "start"]).select(
+        "doc_id", "body", "at", n.alias("n"), "source", (F.col("start") + F.col("offset")).alias("place")).where("n > 0")
 
 
 def pieces(spans: DataFrame, size: int) -> DataFrame:
@@ -240,13 +246,15 @@ def digests(keyed: DataFrame, asked: DataFrame, width: int, size: int) -> DataFr
                         out.append((doc_id, body, at, n, xxhash.xxh3_128_digest(b" ".join(words[first:end]))))
             yield pd.DataFrame(out, columns=["doc_id", "body", "at", "n", "digest"])
 
-    rows = text_blocks(keyed, width, size).join(asked, ["doc_id", "body", "block"])
+    wanted = asked.select("doc_id", "body").distinct().hint("shuffle_hash")
+    texts = keyed.join(wanted, ["doc_id", "body"], "left_semi")
+    rows = text_blocks(texts, width, size).join(asked, ["doc_id", "body", "block"])
     return rows.select("doc_id", "body", "block", "words", "runs").mapInPandas(
         run, "doc_id long, body long, at long, n long, digest binary").distinct()
 
 
-def verify(keyed: DataFrame, spans: DataFrame, width: int, scratch: Scratch) -> None:
-    """Compare the words of all spans with those at their source; a difference stops the job: two edges share hashes.
+def verified(keyed: DataFrame, spans: DataFrame, width: int, scratch: Scratch) -> bool:
+    """Whether the words of all spans are those at their source. If not, two edges share hashes.
 
     Spans are cut at the blocks of both texts, and pieces that say the same of one source are counted together before
     the two sides meet.
@@ -256,9 +264,9 @@ def verify(keyed: DataFrame, spans: DataFrame, width: int, scratch: Scratch) ->
     own = cut.join(told, ["doc_id", "body", "at", "n"], "left").groupBy("source", "place", "n", "digest").count()
     spot = F.shiftleft("body", 32) + F.col("at")
     origin = told.select(F.col("doc_id").alias("source"), spot.alias("place"), "n", "digest").distinct()
-    if own.join(origin, ["source", "place", "n", "digest"], "left_anti").limit(1).count():
-        raise RuntimeError("different runs of words share a hash; choose another seed")
+    wrong = own.join(origin, ["source", "place", "n", "digest"], "left_anti").limit(1).count()
     scratch.drop("digests")
+    return not wrong
 
 
 def removed(keyed: DataFrame, spans: DataFrame, width: int) -> DataFrame:
@@ -271,7 +279,7 @@ def removed(keyed: DataFrame, spans: DataFrame, width: int) -> DataFrame:
             for text, runs in zip(batch["text"], batch["runs"]):
                 words = text_bytes(text).split()
                 n = len(words)
-                if runs is not None:
+                if runs is not None and n >= width:
                     keep = np.ones(n, dtype=bool)
                     for packed in np.asarray(runs).tolist():
                         keep[packed >> 31:(packed >> 31) + (packed & _LOW) + width - 1] = False
@@ -281,35 +289,59 @@ def removed(keyed: DataFrame, spans: DataFrame, width: int) -> DataFrame:
             told.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield told
 
-    rows = keyed.join(lists, ["doc_id", "body"], "left").select("doc_id", "text", "runs")
+    rows = keyed.join(lists.hint("shuffle_hash"), ["doc_id", "body"], "left").select("doc_id", "text", "runs")
     return rows.mapInPandas(run, "doc_id long, n_words long, n_removed long, kept string")
 
 
+def later_copies(known: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, body) of the documents whose text a smaller doc_id has too."""
+    texts = scratch.keep(known.select("doc_id", "body", F.unhex(F.sha2("text", 256)).alias("same")), "texts")
+    least = texts.groupBy("same").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    least = scratch.keep(least.where("first < last").select("same", "first"), "least")
+    return scratch.keep(texts.join(least, "same").where("doc_id > first").select("doc_id", "body").distinct(), "copies")
+
+
+def repeated_spans(known: DataFrame, copies: DataFrame, width: int, seed: int, scratch: Scratch) -> DataFrame:
+    """(doc_id, body, at, n, source, place): stretches of windows of a document that are also at a place of a smaller one."""
+    every = scratch.keep(seeds(known, width, seed), "seeds")
+    met = every.groupBy("least").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    again = scratch.keep(met.where("first < last").select("least"), "again")
+    flags = every.join(again, "least").groupBy("doc_id", "body").agg(F.collect_list("run").alias("runs"))
+    flags = scratch.keep(flags.join(copies, ["doc_id", "body"], "left_anti"), "flags")
+    scratch.drop("seeds", "again")
+    flagged = known.join(flags.hint("shuffle_hash"), ["doc_id", "body"]).select("doc_id", "body", "text", "runs")
+    walked = scratch.keep(walks(flagged, width, seed), "walks")
+    scratch.drop("flags")
+    edges = scratch.keep(repeated_edges(walked), "edges")
+    compact = scratch.keep(compacted(edges), "compact")
+    scratch.drop("edges")
+    paths = scratch.keep(path_table(compact), "paths")
+    stretched = scratch.keep(stretches(repeats(walked, compact)), "stretches")
+    scratch.drop("walks", "compact")
+    spans = scratch.keep(spans_of(stretched, paths), "spans")
+    scratch.drop("stretches", "paths")
+    return spans
+
+
 def deduplicate(docs: DataFrame, *, width: int = WIDTH, seed: int = 0) -> DataFrame:
     """doc_id, n_words, n_removed, kept: each text without the words of windows that a smaller doc_id also has.
 
     One row per input row. Words are what ASCII white space parts, unchanged; null and empty texts have none. Windows
     are judged on the input. Rows that share a doc_id never remove from each other. Rows without doc_id keep all words
-    and remove none. Columns other than doc_id and text are not read.
+    and remove none. Columns other than doc_id and text are not read. Where different words turn out to share a hash, the
+    work is done again with the next seed.
     """
     if width < 2:
         raise ValueError("width must be at least 2")
     scratch = Scratch(docs.sparkSession, "spans")
     keyed = _keyed(docs)
     known = keyed.where("doc_id IS NOT NULL")
-    every = scratch.keep(seeds(known, width, seed), "seeds")
-    met = every.groupBy("least").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    again = scratch.keep(met.where("first < last").select("least"), "again")
-    flags = every.join(again, "least").groupBy("doc_id", "body").agg(F.collect_list("run").alias("runs"))
-    flagged = known.join(flags, ["doc_id", "body"]).select("doc_id", "body", "text", "runs")
-    walked = scratch.keep(walks(flagged, width, seed), "walks")
-    scratch.drop("seeds", "again")
-    edges = scratch.keep(repeated_edges(walked), "edges")
-    paths = scratch.keep(compacted(edges), "paths")
-    scratch.drop("edges")
-    found = [scratch.keep(repeats(walked, paths, k), f"repeats-{k}") for k in range(ROUNDS)]
-    scratch.drop("walks", "paths")
-    spans = scratch.keep(spans_of(gathered(found)), "spans")
-    scratch.drop(*[f"repeats-{k}" for k in range(ROUNDS)])
-    verify(known, spans, width, scratch)
-    return removed(keyed, spans, width)
+    copies = later_copies(known, scratch)
+    for number in range(seed, seed + TRIES):
+        spans = repeated_spans(known, copies, width, number, scratch)
+        if verified(known, spans, width, scratch):
+            break
+    else:
+        raise RuntimeError(f"different runs of words share a hash under each of {TRIES} seeds")
+    whole = copies.select("doc_id", "body", F.lit(0).cast("long").alias("at"), F.lit(_LOW).cast("long").alias("n"))
+    return removed(keyed, spans.select("doc_id", "body", "at", "n").unionByName(whole), width)

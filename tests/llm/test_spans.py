@@ -69,9 +69,8 @@ def test_a_span_is_compared_with_its_own_source_text(spark, docs_of):
     body = {r.text: r.body for r in keyed.collect()}
     kind = "doc_id long, body long, at long, n long, source long, place long"
     right, wrong = (spark.createDataFrame([(2, body["a b c d"], 0, 1, 1, body[t] << 32)], kind) for t in ("a b c d", "a b x d"))
-    spans.verify(keyed, right, 3, Scratch(spark, "test"))
-    with pytest.raises(RuntimeError):
-        spans.verify(keyed, wrong, 3, Scratch(spark, "test"))
+    assert spans.verified(keyed, right, 3, Scratch(spark, "test"))
+    assert not spans.verified(keyed, wrong, 3, Scratch(spark, "test"))
 
 
 def test_a_block_is_asked_for_few_pieces(spark, docs_of, monkeypatch):
@@ -104,12 +103,38 @@ def test_empty_table_and_other_columns(spark, docs_of):
     check(frame, rows, 3)
 
 
-def test_a_wrong_span_stops_the_job(spark, docs_of):
-    keyed = spans._keyed(docs_of((1, "a b c d"), (2, "a b x d")))
-    body = {r.doc_id: r.body for r in keyed.collect()}
-    wrong = spark.createDataFrame([(2, body[2], 0, 1, 1, 0)], "doc_id long, body long, at long, n long, source long, place long")
-    with pytest.raises(RuntimeError):
-        spans.verify(keyed, wrong, 3, Scratch(spark, "test"))
+def test_words_that_share_a_hash_are_told_apart_by_the_next_seed(docs_of, monkeypatch):
+    whole = spans.Words.keys
+    monkeypatch.setattr(spans.Words, "keys", lambda self, seed: whole(self, seed) if seed else whole(self, seed) * 0)
+    rows = [(1, " ".join(f"a{k}" for k in range(30))), (2, " ".join(f"a{k if k != 9 else 'x'}" for k in range(30)))]
+    check(docs_of(*rows), rows, 5)
+
+
+@pytest.mark.parametrize("size", [500, 1024])
+def test_long_words_that_differ_in_a_pattern(docs_of, size):
+    """Words of two letters in the Thue-Morse order, and its complement: polynomials modulo a power of two confuse them."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(size))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(k, " ".join(f"w{j}" if j != 15 else middle for j in range(30))) for k, middle in enumerate((word, other))]
+    check(docs_of(*rows), rows)
+
+
+def test_keys_of_words():
+    texts = [b"a ab abcdefgh abcdefghi  \xff" + b"z" * 600, b"", b"ab abcdefgh " + b"z" * 600 + b" h\x00 h"]
+    words = spans.Words(texts)
+    keys = words.keys(3).tolist()
+    by_word = {}
+    for key, start, end in zip(keys, words.starts, words.ends):
+        assert by_word.setdefault(bytes(words.raw[start:end]), key) == key
+    assert len(set(by_word.values())) == len(by_word) == 8 and not set(keys) & set(words.keys(4).tolist())
+
+
+def graph_of(spark, frame, width):
+    scratch, keyed = Scratch(spark, "test"), spans._keyed(frame)
+    flags = spans.seeds(keyed, width, 0).groupBy("doc_id", "body").agg({"run": "collect_list"}).toDF("doc_id", "body", "runs")
+    walked = scratch.keep(spans.walks(keyed.join(flags, ["doc_id", "body"]).select("doc_id", "body", "text", "runs"), width, 0), "w")
+    compact = scratch.keep(spans.compacted(scratch.keep(spans.repeated_edges(walked), "e")), "c")
+    return walked, compact, spans.path_table(compact)
 
 
 def test_paths_are_compacted(spark, docs_of):
@@ -118,9 +143,26 @@ def test_paths_are_compacted(spark, docs_of):
     plain = docs_of((1, " ".join(passage)), (2, "x " + " ".join(passage)), (3, "y " + " ".join(passage)))
     branch = docs_of((1, " ".join(passage)), (2, " ".join(passage)), (3, " ".join(passage[:20]) + " q r s"),
                      (4, " ".join(passage[:20]) + " q r s"))
-    for frame, heads in ((plain, 1), (branch, 3)):
-        scratch, keyed = Scratch(spark, "test"), spans._keyed(frame)
-        flags = spans.seeds(keyed, 4, 0).groupBy("doc_id", "body").agg({"run": "collect_list"}).toDF("doc_id", "body", "runs")
-        walked = scratch.keep(spans.walks(keyed.join(flags, ["doc_id", "body"]).select("doc_id", "body", "text", "runs"), 4, 0), "w")
-        paths = spans.compacted(scratch.keep(spans.repeated_edges(walked), "e"))
-        assert paths.where("head = 1").count() == heads
+    for frame, lengths in ((plain, [37]), (branch, [3, 17, 20])):
+        paths = graph_of(spark, frame, 4)[2]
+        assert sorted(r.length for r in paths.collect()) == lengths
+
+
+def test_spans_are_parts_of_paths(spark, docs_of):
+    """A stretch that begins inside a path has its place by the path; without paths nothing is repeated."""
+    passage = [f"p{k}" for k in range(40)]
+    frame = docs_of((1, "a b " + " ".join(passage)), (2, " ".join(passage)), (3, "c " + " ".join(passage[10:30]) + " d"))
+    walked, compact, paths = graph_of(spark, frame, 4)
+    stretched = spans.stretches(spans.repeats(walked, compact))
+    found = spans.spans_of(stretched, paths).collect()
+    assert sorted((r.doc_id, r["at"], r.n, r.source, r.place & 0xffffffff) for r in found) == [(2, 0, 37, 1, 2), (3, 1, 17, 1, 12)]
+    assert spans.spans_of(stretched, paths.limit(0)).count() == 0
+
+
+def test_no_paths_no_removal(spark, docs_of, monkeypatch):
+    """What goes is what paths cover: emptied, nothing goes but whole copies."""
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(1, passage), (2, "x " + passage), (3, passage)]
+    whole = spans.path_table
+    monkeypatch.setattr(spans, "path_table", lambda compact: whole(compact).limit(0))
+    assert sorted((r.doc_id, r.n_removed) for r in spans.deduplicate(docs_of(*rows)).collect()) == [(1, 0), (2, 0), (3, 40)]
