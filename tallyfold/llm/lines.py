@@ -75,7 +75,8 @@ def keep_bitmaps(docs: DataFrame, *, least_chars: int = LEAST_CHARS, least_docs:
     scratch = Scratch(docs.sparkSession, "lines")
     found = scratch.keep(occurrences(line_hashes(docs, least_chars)), "lines")
     held = found.where("first").groupBy("hash").agg(F.count("*").alias("held"), F.max("doc_id").alias("last"))
-    common = held.where(F.col("held") >= least_docs).select("hash", "last")
+    # Stored, so that a hash of very many lines can be split in the join.
+    common = scratch.keep(held.where(F.col("held") >= least_docs).select("hash", "last"), "common")
     gone = found.join(common, "hash").where("doc_id < last")
     words = gone.groupBy("doc_id", "body", F.shiftright("pos", 6).alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, pos & 63))").alias("gone"))
