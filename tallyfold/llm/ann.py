@@ -158,9 +158,10 @@ def nearest(table: DataFrame, *, every: int = 20, k: int = 20, vector: str = "em
     """The k nearest rows, by inner product, of each row whose vec_id is divisible by ``every``.
 
     Rows without vec_id, vectors that are null, zero or hold a null or non-finite component, and vectors of another
-    length than most of the sample take no part. A row is no candidate of its own vec_id. Other columns are not read.
+    length than most of the sample take no part. A row is no candidate of its own vec_id; of rows that repeat a vec_id the
+    smallest vector is the query. Other columns are not read.
     """
     scratch = Scratch(table.sparkSession, "ann")
     rows = scratch.keep(usable(table, vector, nonzero=True), "rows")
-    asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vec").alias("vec"))
     return search(rows, asked, k, model=learn(rows, k), scratch=scratch)

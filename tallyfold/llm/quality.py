@@ -148,7 +148,11 @@ def fold(doc_id="doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Machine:
-    """Fit on at most ``sample_rows`` labelled rows, those of the smallest hash of doc_id; fold 1 is left out."""
+    """Fit on at most ``sample_rows`` labelled rows, those of the smallest hash of doc_id; fold 1 is left out.
+
+    Null and empty texts are learnt from like any other; a label given twice counts as its largest. Rows that share a
+    labelled doc_id all have its label and count one by one, also against the bound. Without rows every score is one half.
+    """
     chosen = (labels.where(F.col(label).isNotNull() & (fold() != 1)).groupBy("doc_id")
               .agg(F.max(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
@@ -167,6 +171,8 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample_
                     "stats": list(stats)})
 
     found = picked.mapInPandas(run, "doc_id long, label int, seen double, buckets array<int>, stats array<double>")
+    # A doc_id that many rows share has as many texts, so the bound holds for what is learnt from, too.
+    found = found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("buckets", "stats"), "seen").limit(sample_rows)
     told = sorted(found.collect(), key=lambda r: (r["doc_id"], r["buckets"]))
     return fit([(r["buckets"], r["stats"], r["seen"]) for r in told], np.array([r["label"] for r in told]))
 
@@ -199,7 +205,9 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame, *, learn_from: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that the model predicts as good, with the columns they had.
 
-    The model learns from the labelled rows of ``learn_from``, by default of ``docs``.
+    The model learns from the labelled rows of ``learn_from``, by default of ``docs``. Rows without doc_id, null and empty
+    texts and repeated rows are judged by their score like any other; rows with the same text and n_chars stay or go
+    together. Columns of any name are kept.
     """
     model = train(docs if learn_from is None else learn_from, labels)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -147,22 +147,69 @@ def candidates(postings: DataFrame, rules) -> DataFrame:
     return held.select(F.col("doc_id").alias("of"), kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
+_RUN = 256  # elements whose running totals are worked out together
+_PIECE = 1024  # code points of a piece that a text is cut into
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out once and not again for each element that looks at it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, op) -> Column:
+    """What ``op`` makes of all elements before each element, and last of all of them; 0 before the first.
+
+    Elements are taken in runs, so that the work grows with their number: an array that grows by one element at a time is
+    copied each time.
+    """
+    zero = F.lit(0).cast("long")
+    def grown(xs, start):
+        return F.aggregate(xs, F.array(start), lambda done, x: F.concat(done, F.array(op(F.element_at(done, -1), x))))
+
+    def whole(xs):
+        starts = F.when(F.size(xs) > 0, F.sequence(F.lit(1), F.size(xs), F.lit(_RUN))).otherwise(F.array().cast("array<int>"))
+        runs = F.transform(starts, lambda at: grown(F.slice(xs, at, F.lit(_RUN)), zero))
+
+        def totalled(runs):
+            before = grown(F.transform(runs, lambda r: F.element_at(r, -1)), zero)
+            return _bound(F.struct(runs.alias("runs"), before.alias("before")), shifted)
+
+        def shifted(s):
+            def moved(r, before):
+                # One struct for a run, so that the total before it is looked up once.
+                return _bound(F.struct(r.alias("run"), before.alias("before")), lambda m: F.transform(
+                    F.slice(m["run"], F.lit(1), F.size(m["run"]) - 1), lambda x: op(m["before"], x)))
+
+            parts = F.transform(s["runs"], lambda r, i: moved(r, F.get(s["before"], i)))
+            return F.concat(F.flatten(parts), F.array(F.element_at(s["before"], -1)))
+
+        return _bound(runs, totalled)
+
+    return _bound(values, whole)
+
+
 def _spans(rule: Rule, number: int, text: Column) -> Column:
     """(start, number, end) of each match, from the lengths of the matches and of what lies between them."""
     pattern = F.lit(rule.pattern)
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     checked = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else matches
     steps = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), matches.alias("hit"), checked.alias("part"))
-    empty = F.expr("named_struct('at', 0L, 'found', cast(array() as array<struct<start:bigint,kind:int,end:bigint>>))")
+    steps = F.transform(steps, lambda x: F.struct(
+        F.length(x["gap"]).cast("long").alias("gap"), F.coalesce(F.length(x["hit"]), F.lit(0)).cast("long").alias("hit"),
+        (F.coalesce(F.length(x["part"]), F.lit(-1)) >= rule.least).alias("fine")))
+
+    def found(steps):
+        def placed(both):
+            at = F.transform(both["steps"], lambda x, i: F.struct(
+                (F.get(both["before"], i) + x["gap"]).alias("start"), F.lit(number).alias("kind"),
+                F.get(both["before"], i + 1).alias("end"), x["fine"].alias("fine")))
+            return F.transform(F.filter(at, lambda x: x["fine"]), lambda x: F.struct(
+                x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
 
-    def step(state, x):
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        one = F.struct(start.cast("long").alias("start"), F.lit(number).alias("kind"), end.cast("long").alias("end"))
-        found = F.when(F.length(x["part"]) >= rule.least, F.concat(state["found"], F.array(one))).otherwise(state["found"])
-        return F.struct(end.cast("long").alias("at"), found.alias("found"))
+        sums = running(F.transform(steps, lambda x: x["gap"] + x["hit"]), lambda a, b: a + b)
+        return _bound(F.struct(steps.alias("steps"), sums.alias("before")), placed)
 
-    return F.aggregate(steps, empty, step, lambda state: state["found"])
+    return _bound(steps, found)
 
 
 _NONE = "cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)"
@@ -198,7 +245,11 @@ def told(spans: Column, rules=RULES) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per document: counts of the base kinds, a digest of the base spans, and all spans."""
+    """Per document: counts of the base kinds, a digest of the base spans, and all spans.
+
+    One row per row, also for repeated and missing ids. Null and empty texts have no spans. Columns beyond doc_id and text
+    are not read.
+    """
     rows = with_spans(docs.select("doc_id", "text"))
 
     def count(number):
@@ -209,22 +260,44 @@ def report(docs: DataFrame) -> DataFrame:
                        F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
 
 
-def redacted(docs: DataFrame, *, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with each run of overlapping spans replaced by ``mark``, and n_chars of changed texts counted anew."""
-    spans, clean = free("spans", docs), free("clean", docs)
-    rows = with_spans(docs, spans=spans)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+def masked(text: Column, spans: Column, mark: str) -> Column:
+    """``text`` with each run of overlapping spans replaced by ``mark``; spans are in the order of their starts.
+
+    The text is cut into pieces first, so that a part of it is found without counting from its begin.
+    """
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
 
-    def step(state, s):
-        piece = F.substring(F.col("text"), (state["at"] + 1).cast("int"), (s["start"] - state["at"]).cast("int"))
-        out = F.when(s["start"] >= state["at"], F.concat(state["out"], piece, F.lit(mark))).otherwise(state["out"])
-        return F.struct(out.alias("out"), F.greatest(state["at"], s["end"]).alias("at"))
+    def part(pieces, start, end):
+        first, last = F.floor(start / _PIECE).cast("int"), F.floor((end - 1) / _PIECE).cast("int")
+        at = (start % _PIECE).cast("int") + 1
+        head = F.substring(F.get(pieces, first), at, F.lit(_PIECE))
+        inner = F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        tail = F.substring(F.get(pieces, last), F.lit(1), (end - last.cast("long") * _PIECE).cast("int"))
+        return F.when(end <= start, F.lit("")).when(
+            first == last, F.substring(F.get(pieces, first), at, (end - start).cast("int"))).otherwise(F.concat(head, inner, tail))
 
-    def end(state):
-        return F.concat(state["out"], F.substring(F.col("text"), (state["at"] + 1).cast("int"), F.length("text")))
+    def joined(s):
+        heads = F.filter(F.transform(s["spans"], lambda x, i: F.struct(F.get(s["before"], i).alias("before"), x["start"].alias("start"))),
+                         lambda x: x["start"] >= x["before"])
+        parts = F.transform(heads, lambda x: F.concat(part(s["pieces"], x["before"], x["start"]), F.lit(mark)))
+        rest = part(s["pieces"], F.element_at(s["before"], -1), s["size"])
+        return F.array_join(F.concat(parts, F.array(rest)), "")
 
+    before = running(F.transform(spans, lambda x: x["end"]), F.greatest)
+    return _bound(F.struct(spans.alias("spans"), before.alias("before"), pieces.alias("pieces"),
+                           F.length(text).cast("long").alias("size")), joined)
+
+
+def redacted(docs: DataFrame, *, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with each run of overlapping spans replaced by ``mark``, and n_chars of changed texts counted anew.
+
+    One row per row, with the columns that it had, whatever their names. Null and empty texts, and texts without a span,
+    stay as they are, and so does their n_chars.
+    """
+    spans, clean = free("spans", docs), free("clean", docs)
+    rows = with_spans(docs, spans=spans)
     hit = F.size(spans) > 0
-    out = rows.withColumn(clean, F.when(hit, F.aggregate(spans, start, step, end)).otherwise(F.col("text")))
+    out = rows.withColumn(clean, F.when(hit, masked(F.col("text"), F.col(spans), mark)).otherwise(F.col("text")))
     kind = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
     cells = {"text": F.col(clean)}
     if kind is not None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyfold.llm.common import Scratch
+from tallyfold.llm.common import Scratch, free
 
 SHARDS = 40
 LEVEL = 4  # bits of each quantised dimension
@@ -116,19 +116,21 @@ def write_shards(docs: DataFrame, path: str, *, shards: int = SHARDS, file_bytes
     """Write ``docs`` as Parquet below ``path``, a folder per shard, rows of a file in the order of their slots.
 
     Tasks take ranges of (shard, slot), as many as the bytes ask for, so a large shard is several files, each a run of
-    slots.
+    slots. All columns are written as they are; the new ones are named shard and slot, behind underscores where those
+    names are taken.
     """
-    if {"shard", "slot"} & set(docs.columns):
-        raise ValueError("columns shard and slot exist already")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    placed = assign(docs, shards=shards)
+    shard, slot = free("shard", docs), free("slot", docs)
+    names = docs.columns
+    placed = assign(docs.select("doc_id", "text", "lang", "source"), shards=shards)
     parts = max(shards, -(-(placed.agg(F.sum("size")).first()[0] or 0) // file_bytes))
-    found = placed.select(F.col("doc_id").alias("of"), F.col("text_crc32").alias("crc"), "shard", "slot")
     # Repeated rows are paired with their slots one to one.
-    again = Window.partitionBy("of", "crc").orderBy("shard", "slot")
-    found = found.withColumn("time", F.row_number().over(again))
-    rows = docs.withColumn("crc", F.crc32(text.cast("binary")))
-    rows = rows.withColumn("time", F.row_number().over(Window.partitionBy("doc_id", "crc").orderBy("crc")))
-    same = (rows["doc_id"].eqNullSafe(found["of"]) & (rows["crc"] == found["crc"]) & (rows["time"] == found["time"]))
-    out = rows.join(found, same).select(*[rows[c] for c in docs.columns], "shard", "slot")
-    out.repartitionByRange(parts, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    found = placed.select(F.col("doc_id").alias("of"), F.col("text_crc32").alias("sum"), F.col("shard").alias("to"), F.col("slot").alias("at"))
+    again = Window.partitionBy("of", "sum").orderBy("to", "at")
+    found = found.withColumn("turn", F.row_number().over(again))
+    text = F.coalesce(docs["text"], F.lit(""))
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), docs["doc_id"].alias("own"),
+                       F.crc32(text.cast("binary")).alias("crc"))
+    rows = rows.withColumn("time", F.row_number().over(Window.partitionBy("own", "crc").orderBy("crc")))
+    same = rows["own"].eqNullSafe(found["of"]) & (rows["crc"] == found["sum"]) & (rows["time"] == found["turn"])
+    out = rows.join(found, same).select("row.*", F.col("to").alias(shard), F.col("at").alias(slot))
+    out.repartitionByRange(parts, shard, slot).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)

@@ -7,6 +7,7 @@ then picked from the most significant slice downward, and rows that tie at the b
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +29,14 @@ def quantised(vectors, dims: int | None = None) -> np.ndarray:
     for row, vector in zip(out, vectors):
         n = min(width, len(vector))
         row[:n] = vector[:n]
-    out = np.floor(out * SCALE)
-    if out.size and np.abs(out).max() >= 1 << 28:
-        raise ValueError("components of 2**20 and more are not quantised")
-    return out.astype(np.int64)
+    with np.errstate(over="ignore"):
+        scaled = np.floor(out * SCALE)
+    if not scaled.size or np.abs(scaled).max() < 1 << 28:
+        return scaled.astype(np.int64)
+    # Python's integers, for components whose products may not fit 64 bits. Beyond 2 ** 60 a double is a whole number.
+    wide = np.empty(out.shape, dtype=object)
+    wide.flat = [math.floor(x * SCALE) if abs(x) < 1 << 60 else int(x) * int(SCALE) for x in out.ravel().tolist()]
+    return wide
 
 
 def signed_digits(weight: int) -> list[tuple[int, int]]:
@@ -119,7 +124,9 @@ class BitSlices:
                     open_rows[:] = 0
                     break
         rows = np.concatenate([self._rows(sure), self._rows(open_rows)[:k - held]])
-        exact = self.values[rows][:, :len(query)] @ query[:self.values.shape[1]]
+        # A few rows, so that Python's integers hold any product.
+        exact = self.values[rows][:, :len(query)].astype(object) @ query[:self.values.shape[1]].astype(object)
+        exact = np.array([min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in exact], dtype=np.int64)
         return self.ids[rows], exact
 
 
@@ -166,9 +173,6 @@ def search(rows: DataFrame, queries: DataFrame, k: int, scratch: Scratch) -> Dat
 def _index(frames: list[pd.DataFrame]) -> BitSlices:
     rows = pd.concat(frames)
     values = quantised(rows["vec"].tolist())
-    bound = np.abs(values).max(initial=0)
-    if int(bound) ** 2 * max(1, values.shape[1]) >= 1 << 62:
-        raise ValueError("scores beyond 62 bits")
     return BitSlices(rows["vec_id"].to_numpy(), values)
 
 
@@ -176,12 +180,13 @@ def highest(table: DataFrame, *, every: int = 50, k: int = 5, vector: str = "emb
     """The k rows of the highest integer inner product for each row whose vec_id is divisible by ``every``.
 
     Rows without vec_id and vectors that are null or hold a null or non-finite component take no part. Vectors of
-    different lengths meet as if the shorter one ended in zeros. A row is no candidate of its own vec_id. Components of
-    2**20 and more raise an error. Other columns are not read.
+    different lengths meet as if the shorter one ended in zeros. A row is no candidate of its own vec_id; rows that repeat a
+    vec_id are candidates one by one, and the smallest vector of them is the query. Scores beyond 64 bits are ranked by their
+    value and told as the nearest 64-bit integer. Other columns are not read.
     """
     scratch = Scratch(table.sparkSession, "topk")
     rows = scratch.keep(usable(table, vector, nonzero=False), "rows")
-    asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vec").alias("vec"))
     # Small bitmaps cost as much as large ones: input partitions are joined up to the rows of one index.
     few = max(1, -(-rows.count() // BLOCK_ROWS))
     return search(rows.coalesce(few), asked, k, scratch)

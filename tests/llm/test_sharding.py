@@ -64,3 +64,14 @@ def test_a_large_shard_is_several_files(spark, docs_of, tmp_path):
     files = back.agg(F.min("slot").alias("low"), F.max("slot").alias("high"), F.count("*").alias("n")).collect()
     assert all(r.high - r.low + 1 == r.n for r in files) and sum(r.n for r in files) == 600
     assert all(sum(r.shard == k for r in files) >= 3 for k in (0, 1))
+
+
+def test_written_columns_keep_their_names_and_values(spark, docs_of, tmp_path):
+    rows = [(k // 2, f"text {k // 3}") for k in range(40)] + [(None, None), (None, None)]
+    frame = docs_of(*rows).selectExpr("*", "'2020' AS time", "7 AS crc", "8 AS turn", "9 AS of", "10 AS row", "11 AS Shard", "12 AS slot")
+    sharding.write_shards(frame, f"{tmp_path}/s", shards=3)
+    back = spark.read.parquet(f"{tmp_path}/s")
+    assert sorted(map(str, back.select(*frame.columns).collect())) == sorted(map(str, frame.collect()))
+    assert {"_shard", "_slot"} <= set(back.columns)
+    slots = sorted((r["_shard"], r["_slot"]) for r in back.collect())
+    assert len(set(slots)) == 42 and {s for s, _ in slots} == {0, 1, 2}

@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyfold.llm import bpe, quality, secrets, simhash
@@ -139,6 +141,17 @@ def test_quality_edges(spark, docs_of):
     assert set(quality.accepted(wide, labels).columns) == set(wide.columns)
 
 
+def test_the_bound_of_the_sample_holds_for_repeated_ids(spark, docs_of, monkeypatch):
+    """A labelled doc_id that many rows share does not bring more texts than the bound to the driver."""
+    docs = docs_of(*[(k % 2, f"text number {k}") for k in range(300)])
+    labels = spark.createDataFrame([(k, k, 0) for k in range(2)], "doc_id long, quality int, toxic int")
+    seen = []
+    whole = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda texts, told, **more: seen.append(len(texts)) or whole(texts, told, **more))
+    quality.train(docs, labels, sample_rows=40)
+    assert seen == [40]
+
+
 ASSIGN = re.compile(r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
@@ -192,3 +205,42 @@ def test_redaction(docs_of):
     assert out.columns == wide.columns and {(r["spans"], r["clean"], r["kinds"]) for r in out.collect()} == {(1, 2, 3)}
     assert {(r.doc_id, r.text, r.n_chars) for r in out.collect()} == {
         (1, "é [SECRET] end", 14), (2, "clean", 5), (3, None, None), (None, "x [SECRET]", 10)}
+
+
+def brute_masked(text, mark="[SECRET]"):
+    spans = sorted((m.start(), m.end()) for rule in secrets.RULES for m in re.finditer(rule.pattern, text)
+                   if len(m[rule.group]) >= rule.least)
+    out, at = "", 0
+    for start, end in spans:
+        if start >= at:
+            out += text[at:start] + mark
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_redaction_against_brute_force(docs_of):
+    pick = random.Random(6)
+    bits = ["token=", "secret: ", "abcdefabcdef0123", "AKIA", "ABC0123456789XYZ", "x", "é😀", " ", "\n", "://a:", "b@"]
+    rows = [(k, "".join(pick.choices(bits, k=60))) for k in range(150)] + [(200 + k, "é" * (1010 + k) + " " + "0" * 16 + "y" * 3000)
+                                                                         for k in range(20)]
+    found = secrets.redacted(docs_of(*rows)).collect()
+    assert {(r.doc_id, r.text) for r in found} == {(k, brute_masked(t)) for k, t in rows}
+    assert all(r.n_chars == len(r.text) for r in found if r.text != dict(rows)[r.doc_id])
+
+
+def test_many_spans_in_one_text(spark, docs_of):
+    """100,000 spans in one text: the work grows with their number."""
+    text = " ".join(f"{k:016x}" for k in range(100_000))
+    start = time.perf_counter()
+    report = secrets.report(docs_of((1, text), (2, "x"))).where("doc_id = 1").first()
+    out = secrets.redacted(docs_of((1, text))).first()
+    assert report.n_hex == 100_000 and report.spans.endswith(f",hex:{17 * 99_999}:{17 * 100_000 - 1}")
+    assert out.text == " ".join(["[SECRET]"] * 100_000) and time.perf_counter() - start < 90
+
+
+def test_running_totals(spark):
+    for n in (0, 1, 2, 255, 256, 257, 1000):
+        values = list(range(1, n + 1))
+        row = spark.createDataFrame([(values,)], "v array<long>").select(
+            secrets.running(F.col("v"), lambda a, b: a + b).alias("sums"), secrets.running(F.col("v"), F.greatest).alias("most")).first()
+        assert row.sums == [sum(values[:k]) for k in range(n + 1)] and row.most == [0, *values]

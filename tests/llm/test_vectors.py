@@ -58,8 +58,25 @@ def test_topk_edges(spark):
     assert topk.highest(spark.createDataFrame(ODD, KIND)).count() == 0
     twice = [(0, [1.0], 0), (0, [1.0], 0), (1, [1.0], 0)]
     assert told(topk.highest(spark.createDataFrame(twice, KIND))) == {0: [(1, 65536)]}
-    with pytest.raises(Exception, match="not quantised"):
-        topk.highest(spark.createDataFrame([(0, [1e30], 0), (1, [1.0], 0)], KIND)).count()
+    large = [(0, [1e30], 0), (1, [1.0], 0), (2, [-1e30], 0), (50, [2.0 ** 25], 0)]
+    assert told(topk.highest(spark.createDataFrame(large, KIND)))[0] == [(50, 2 ** 63 - 1), (1, 2 ** 63 - 1), (2, -2 ** 63)]
+
+
+def test_topk_of_wide_components(spark):
+    """Components beyond 2 ** 20 and products beyond 32 bits."""
+    rng = np.random.default_rng(4)
+    rows = [(k, [float(np.float32(v)) for v in row], 0) for k, row in enumerate(rng.normal(size=(200, 5)) * 2.0 ** 21)]
+    rows += [(200 + k, [float(k), 1e6, -2.5e6, 0.5, 1.0], 0) for k in range(20)]
+    assert told(topk.highest(spark.createDataFrame(rows, KIND))) == brute(rows, 50, 5, whole)
+    many = [(k, [2.0 ** 19 + k] * 200, 0) for k in range(60)]
+    assert told(topk.highest(spark.createDataFrame(many, KIND))) == brute(many, 50, 5, whole)
+
+
+def test_a_repeated_query_id_is_one_query(spark):
+    rows = [(0, [2.0, 1.0], 0), (0, [1.0, 5.0], 0), (1, [1.0, 0.0], 0), (2, [0.0, 1.0], 0)]
+    for frame in (spark.createDataFrame(rows, KIND), spark.createDataFrame(rows[::-1], KIND)):
+        assert told(topk.highest(frame)) == {0: [(2, 5 * 65536), (1, 65536)]}
+        assert told(ann.nearest(frame)) == {0: [(2, 5.0), (1, 1.0)]}
 
 
 def test_signed_digits():
