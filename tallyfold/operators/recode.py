@@ -8,12 +8,12 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tallyfold.functions.codes import parse_age, top_code
 from tallyfold.operators import sizing
-from tallyfold.operators.sizing import local_frame, small_side
+from tallyfold.operators.sizing import local_frame, local_rows, small_side
 from tallyfold.schema import AGE_BANDS, RACE_FLAGS, RECODED
 
 _SPAN = 64  # bands that the widest rule may cover in a range join
@@ -107,7 +107,7 @@ def code_book(rules: DataFrame) -> CodeBook:
                  if r.old_value_num_min is not None and r.old_value_num_max is not None]
         book, side, width, fans_out = local_frame(rules, rows), F.broadcast, _band_width(max(spans, default=0)), _overlaps(rows)
     else:
-        book, side, width, fans_out = rules, small_side, None, True
+        book, side, width, fans_out = rules, small_side, None, bool(overlapping(rules).take(1))
     book = book.withColumn("value", F.expr("CAST(new_value_num AS SMALLINT)"))
 
     def in_range(codes, column, scheme=(), extra=""):
@@ -172,6 +172,27 @@ def _overlaps(rows) -> bool:
                for earlier, later in zip(sorted(spans), sorted(spans)[1:]))
 
 
+def overlapping(rules: DataFrame) -> DataFrame:
+    """Rules that match a code that an earlier rule of the same recode (and scheme, where it counts) matches too.
+
+    One sweep over the rules: texts by their value, ranges by their lower bounds, each beside the furthest end before it.
+    """
+    def listed(recodes):
+        return F.array(*[F.concat_ws("\x00", F.lit(old), F.lit(new)) for old, new in recodes])
+
+    recode = F.concat_ws("\x00", "old_column", "new_column")
+    scoped = F.array_contains(listed(_SCOPED), recode)
+    known = rules.where(scoped | F.array_contains(listed(_UNSCOPED), recode))
+    known = known.withColumn("_scheme", F.when(scoped, F.col("r_type")))
+    group = ["old_column", "new_column", "_scheme"]
+    again = Window.partitionBy(*group, "old_value_txt").orderBy(F.lit(0))
+    texts = known.where("old_value_txt IS NOT NULL").withColumn("_n", F.row_number().over(again)).where("_n > 1")
+    before = Window.partitionBy(*group).orderBy("old_value_num_min").rowsBetween(Window.unboundedPreceding, -1)
+    spans = known.where("old_value_txt IS NULL AND old_value_num_min <= old_value_num_max")
+    spans = spans.withColumn("_end", F.max("old_value_num_max").over(before)).where("old_value_num_min <= _end")
+    return texts.select(*rules.columns).unionByName(spans.select(*rules.columns))
+
+
 def recode_facts(rows: DataFrame, rules: DataFrame | CodeBook, *, defaults: bool = True) -> DataFrame:
     """Add all analysis columns to rows with raw codes and ``r_type``; unmatched required codes drop rows.
 
@@ -209,8 +230,9 @@ def recode_cascade(rows: DataFrame, rules: DataFrame, *, policy: str = "first",
     text value is an inclusive range rule, and a rule without ``r_type`` applies to both schemes. Rules run by new and
     old column descending, so that a column can depend on one built before it (rcode before r2r4).
 
-    Which rule wins is found on the rule side, per old value. Rows meet one lookup per old column and form of rule, by
-    equality and with at most one match, whatever the number of rules. Only column names are read when the plan is built.
+    Which rule wins is found on the rule side, per old value, for all columns in one grouped pass. Rows meet one lookup per
+    old column, by equality and with at most one match. While the winners are few they are held as local relations, read once
+    when the plan is built; more of them, wide ranges and ranges on fractions are looked up in tables that stay distributed.
     """
     if policy not in ("first", "last"):
         raise ValueError("policy must be 'first' or 'last'")
@@ -218,14 +240,17 @@ def recode_cascade(rows: DataFrame, rules: DataFrame, *, policy: str = "first",
         "_at", F.monotonically_increasing_id())
     groups = _rule_groups(rows, rules, policy, set(override_columns))
     order = sorted(groups, reverse=True)
-    names, ready = rows.columns, {}
+    names, ready, held = rows.columns, {}, _held_winners(rows, rules, groups)
     for at, new_column in enumerate(order):
         present = [g for g in groups[new_column] if g.old_column in rows.columns]
         for old in dict.fromkeys(g.old_column for g in present):
             if old not in ready:
                 until = order.index(old) + 1 if old in order[at:] else len(order)
                 users = [g for later in order[at:until] for g in groups[later] if g.old_column == old]
-                rows, ready[old] = _attach_winners(rows, rules, old, users, f"_{at}_{len(ready)}")
+                if old in held:
+                    rows, ready[old] = _attach_held(rows, held[old], old, users, f"_{at}_{len(ready)}")
+                else:
+                    rows, ready[old] = _attach_winners(rows, rules, old, users, f"_{at}_{len(ready)}")
         won = [(g, ready[g.old_column][new_column]) for g in present]
         rows = rows.withColumn(new_column, _decided(rows, new_column, won, groups[new_column][0].kind))
         ready.pop(new_column, None)
@@ -287,6 +312,79 @@ def _rule_groups(rows, rules, policy, override_columns) -> dict[str, list[_Group
     return groups
 
 
+def _held_winners(rows, rules, groups) -> dict[str, dict[str, dict[tuple, str | None]]]:
+    """By old column and old value: the new value of the rule that wins, by new column and scheme (None: any other one).
+
+    Only for old columns whose rules are all met by equality: rules on a text, and narrow ranges of a whole number. Nothing
+    if there are too many winners to hold.
+    """
+    by_old: dict[str, list[_Group]] = defaultdict(list)
+    for group in groups.values():
+        for g in group:
+            by_old[g.old_column].append(g)
+
+    def whole(old):
+        kind = rows.schema[old].dataType if old in rows.columns else None
+        return isinstance(kind, T.IntegralType) if kind else old in groups and groups[old][0].kind == "smallint"
+
+    fit = {old: own for old, own in by_old.items()
+           if all(g.widest is None or (g.widest <= _SPAN and whole(old)) for g in own)}
+    if not fit:
+        return {}
+    flat = [g for own in fit.values() for g in own]
+
+    def by_group(what, otherwise="NULL"):
+        cases = " ".join(f"WHEN old_column = {_literal(g.old_column)} AND new_column = {_literal(g.new_column)} THEN {what(k, g)}"
+                         for k, g in enumerate(flat))
+        return f"CASE {cases} ELSE {otherwise} END"
+
+    def listed_schemes(_, g):
+        return f"CAST(array({', '.join(map(str, g.schemes))}) AS ARRAY<SMALLINT>)"
+
+    # A rule for any scheme also stands against the rules of each scheme.
+    schemes = by_group(listed_schemes, "CAST(array() AS ARRAY<SMALLINT>)")
+    listed = rules.selectExpr(
+        f"{by_group(lambda k, _: k)} AS number", f"{by_group(lambda _, g: str(g.fills).upper(), 'FALSE')} AS fills",
+        f"{by_group(lambda _, g: f'CAST({g.value} AS STRING)')} AS value", f"struct({', '.join(flat[0].order)}) AS place",
+        f"CASE WHEN r_type IS NULL THEN concat(array(CAST(NULL AS SMALLINT)), {schemes}) ELSE array(r_type) END AS schemes",
+        "CASE WHEN old_value_txt IS NOT NULL THEN array(old_value_txt) WHEN old_value_num_min <= old_value_num_max "
+        "THEN CAST(sequence(old_value_num_min, old_value_num_max) AS ARRAY<STRING>) END AS keys")
+    listed = listed.where("number IS NOT NULL AND (value IS NOT NULL OR NOT fills)")
+    listed = listed.selectExpr("number", "fills", "struct(place, value) AS win", "keys", "explode(schemes) AS scheme")
+    listed = listed.selectExpr("number", "fills", "win", "scheme", "explode(keys) AS key")
+    won = listed.groupBy("number", "fills", "scheme", "key").agg(F.min("win").alias("first"), F.max("win").alias("last"))
+    won = won.selectExpr("number", "scheme", "key", "IF(fills, first.value, last.value) AS value")
+    found = won.take(sizing.PINNED_ROWS + 1)
+    if len(found) > sizing.PINNED_ROWS:
+        return {}
+    out: dict[str, dict[str, dict[tuple, str | None]]] = {old: defaultdict(dict) for old in fit}
+    for r in found:
+        g = flat[r.number]
+        out[g.old_column][r.key][g.new_column, r.scheme] = r.value
+    return out
+
+
+def _attach_held(rows, winners, old, users, tag) -> tuple[DataFrame, dict[str, Column]]:
+    """Join the held winners of one old column; the winner of each user's rules by new column."""
+    key = f"{tag}_key"
+    fields, shown, picks, asked = [T.StructField(key, T.StringType())], [key], {}, []
+    for n, g in enumerate(users):
+        names = {s: f"{tag}_{n}_{'any' if s is None else s}".replace("-", "m") for s in (None, *g.schemes)}
+        for scheme, name in names.items():
+            fields += [T.StructField(f"{name}_v", T.StringType()), T.StructField(f"{name}_m", T.BooleanType())]
+            shown.append(f"CASE WHEN {name}_m THEN named_struct('value', CAST({name}_v AS {g.kind})) END AS {name}")
+            asked.append((g.new_column, scheme))
+        cases = " ".join(f"WHEN r_type = {s} THEN {names[s]}" for s in g.schemes)
+        picks[g.new_column] = F.expr(f"CASE {cases} ELSE {names[None]} END" if cases else names[None])
+    # What no rule of a scheme names is decided by the rules for any scheme.
+    filled = [(value, *[x for new, scheme in asked for cell in [(new, scheme) if (new, scheme) in won else (new, None)]
+                        for x in (won.get(cell), cell in won)]) for value, won in winners.items()]
+    lookup = F.broadcast(local_rows(rows.sparkSession, T.StructType(fields), filled).selectExpr(*shown))
+    column = F.col(_quoted(old))
+    is_text = isinstance(rows.schema[old].dataType, T.StringType)
+    return rows.join(lookup, (column if is_text else column.cast("string")) == F.col(key), "left"), picks
+
+
 def _attach_winners(rows, rules, old, users, tag) -> tuple[DataFrame, dict[str, Column]]:
     """Join the lookups of one old column; the winner of each user's rules by new column."""
     column, kind = F.col(_quoted(old)), rows.schema[old].dataType

@@ -1,7 +1,7 @@
 """Size checks in front of broadcasts."""
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -28,7 +28,12 @@ def small_side(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def local_frame(like: DataFrame, rows) -> DataFrame:
     """Rows with the schema of ``like`` as a local relation (exact size statistics for the optimizer)."""
-    columns = list(zip(*rows)) or [[] for _ in like.columns]
-    schema = to_arrow_schema(like.schema)
+    return local_rows(like.sparkSession, like.schema, rows)
+
+
+def local_rows(spark: SparkSession, kinds: T.StructType, rows) -> DataFrame:
+    """Rows of the given schema as a local relation."""
+    columns = list(zip(*rows)) or [[] for _ in kinds]
+    schema = to_arrow_schema(kinds)
     arrow = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-    return like.sparkSession.createDataFrame(arrow, schema=like.schema)
+    return spark.createDataFrame(arrow, schema=kinds)

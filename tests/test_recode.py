@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog.shapes import rules
 from frames import rows_of
 from tallyfold.operators.recode import (
-    attach_area, code_book, fill_defaults, recode_cascade, recode_facts, recode_join, recode_override,
+    attach_area, code_book, fill_defaults, overlapping, recode_cascade, recode_facts, recode_join, recode_override,
 )
 from tallyfold.schema import AGE_BANDS, RACE_FLAGS, RULE_SCHEMA
 
@@ -96,10 +96,33 @@ def test_large_rule_table_stays_distributed(spark, monkeypatch):
     monkeypatch.setattr(sizing, "CONTROL_ROWS", 5)
     book, rows = rules(spark, False), facts(spark, 100)
     expected = all_by_brute_force(book, rows)
-    assert code_book(book).fans_out
+    assert not code_book(book).fans_out and code_book(rules(spark, True)).fans_out
     assert rows_of(recode_facts(rows, book), "id", *RECODED) == expected
 
 
+def test_overlaps_are_found_by_a_sweep(spark):
+    def n(*rows):
+        return overlapping(spark.createDataFrame([(*r, 1, None, s) for *r, s in rows], "old_column string, old_value_txt string, "
+                           "old_value_num_min int, old_value_num_max int, new_column string, new_value_num int, "
+                           "new_value_txt string, r_type smallint")).count()
+    assert n(("age", None, 0, 9, "age_5", None), ("age", None, 10, 12, "age_5", None), ("age", None, 5, 7, "age_11", None)) == 0
+    # The second range ends before the third begins, the first does not.
+    assert n(("age", None, 0, 90, "age_5", None), ("age", None, 91, 92, "age_5", 77), ("age", None, 3, 4, "age_5", 97)) == 1
+    assert n(("raw_gender", "1", None, None, "gender", 77), ("raw_gender", "1", None, None, "gender", 97)) == 1
+    assert n(("raw_racemars", "1", None, None, "rcode", 77), ("raw_racemars", "1", None, None, "rcode", 97)) == 0
+    assert n(("other", "1", None, None, "x", 77), ("other", "1", None, None, "x", 77)) == 0
+    assert overlapping(rules(spark, True)).count() == 5 and overlapping(rules(spark, False)).count() == 0
+
+
+@pytest.mark.parametrize("policy", ["first", "last"])
+def test_cascade_without_held_winners_gives_the_same(spark, policy, monkeypatch):
+    from tallyfold.operators import recode
+    rows = facts(spark).withColumn("age", F.substring("raw_agestr", 1, 3).try_cast("smallint"))
+    held = rows_of(recode_cascade(rows, rules(spark, True), policy=policy), "id", *NEW)
+    monkeypatch.setattr(recode, "_held_winners", lambda *_: {})
+    assert rows_of(recode_cascade(rows, rules(spark, True), policy=policy), "id", *NEW) == held
+
+
 def test_plain_values_are_kept_apart(spark):
     row = spark.createDataFrame([(1, "030", "1", "10000", "1", 97, 1.0)], FACTS)
     plain = recode_facts(row, rules(spark, False), defaults=False)
