@@ -537,6 +537,9 @@ SQL["quality_against_previous"] = _with(
               "CASE WHEN geo_type = 'zip' THEN CAST(CAST(geo_year AS INTEGER) + 1 AS VARCHAR) ELSE geo_year END"),
     "stamped", "rules", **_QA, a=_long("pop"), b=_long(_SHARED_POP))
 SQL["quality_run"] = SQL["quality_long"]
+SQL["quality_refreshed"] = _with(
+    f"""SELECT * REPLACE (CAST(pop AS DOUBLE) AS pop) FROM ({_long(f"CASE WHEN etl_batch_id % 10 = 2 THEN {_SHARED_POP} ELSE pop END")})""",
+    "stamped", "rules", **{**_QA, "qa": f"SELECT * FROM ({_QA_ROWS}) WHERE etl_batch_id % 20 <> 1"})
 SQL["quality_report"] = _with(
     f"""SELECT 'raw_vs_current_year' AS comparison, * FROM ({_compared("year", "geo_year")})
 UNION ALL SELECT 'raw_vs_previous_year', * FROM ({_compared("CAST(CAST(year AS INTEGER) + 1 AS VARCHAR)",

@@ -34,7 +34,7 @@ from tallyfold.plans.cleaning import clean_frame
 from tallyfold.plans.geographies import area_tables, run_geographies, target_tables
 from tallyfold.plans.intake import run_intake, typed_rows
 from tallyfold.plans.load import run_load
-from tallyfold.plans.quality import run_qa
+from tallyfold.plans.quality import refresh_quality, run_qa
 from tallyfold.schema import AGE_BANDS, GEO_TABLES, QA_COLUMNS, STAGE_SCHEMA
 from tallyfold.sources.batches import BatchStore
 from tallyfold.sources.manifest import file_manifest, locate_files, profile_files
@@ -650,6 +650,20 @@ def quality_run(t):
     return run_qa(scratch(t.spark), parts["ref"], parts["ref_77"])
 
 
+@query
+def quality_refreshed(t):
+    """The quality table after some batches were replaced and others left: stored sums of batches are merged."""
+    store, rows = BatchStore(t.spark, scratch(t.spark)), _quality_rows(t, "1.00")
+    for dataset, part in route_by_scheme(rows, "ref").items():
+        store.write(dataset, part)
+    refresh_quality(store)
+    for dataset, part in route_by_scheme(_quality_rows(t, "0.97").where("etl_batch_id % 10 = 2"), "ref").items():
+        store.write(dataset, part)
+    batches = store.live().where("dataset LIKE 'ref%' AND etl_batch_id % 20 = 1")
+    store.drop(batches.select("etl_batch_id", "dataset"))
+    return refresh_quality(store)
+
+
 @query
 def quality_report(t):
     """Both comparisons of the written report, read back."""

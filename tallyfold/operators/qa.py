@@ -62,6 +62,11 @@ def reconcile_hops(log: DataFrame, hops: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def qa_cells(rows: DataFrame, columns=tuple(QA_COLUMNS)) -> DataFrame:
+    """Headcount of each batch by file keys and all columns together. ``qa_long`` of cells is that of their rows."""
+    return rows.groupBy("etl_batch_id", *QA_KEYS, *columns).agg(F.sum("pop").alias("pop"))
+
+
 def qa_long(rows: DataFrame, columns=tuple(QA_COLUMNS), pop: str = "pop") -> DataFrame:
     """Headcount by file keys and each value of each column, null values left out.
 

@@ -12,7 +12,7 @@ from tallyfold.operators.qa import qa_long
 from tallyfold.plans.cleaning import clean_frame
 from tallyfold.plans.intake import run_intake
 from tallyfold.plans.load import run_archive, run_load
-from tallyfold.plans.quality import run_qa
+from tallyfold.plans.quality import refresh_quality, run_qa
 from tallyfold.schema import LOG_SCHEMA, STAGE_SCHEMA
 from tallyfold.streaming.arrivals import load_arrivals
 from tallyfold.sources import landing
@@ -113,6 +113,34 @@ def test_quality_run(spark, store):
     assert report.count() == qa_long(ref).count() and {r[0] for r in report.select("diff").collect()} == {"0.0"}
 
 
+def test_refreshed_quality_reads_changed_batches_only(spark, store, monkeypatch):
+    folder, root = store
+    deliver(spark, folder, root, "20240301final", MARCH)
+    run_load(spark, root, rules(spark, False), now=MARCH)
+    held = BatchStore(spark, root)
+    read, whole = [], BatchStore.read
+
+    def seen(self, dataset, ids=None):
+        if dataset.startswith("ref"):
+            read.append((dataset, rows_of(ids)))
+        return whole(self, dataset, ids)
+
+    monkeypatch.setattr(BatchStore, "read", seen)
+    both = whole(held, "ref").unionByName(whole(held, "ref_77"))
+    assert rows_of(refresh_quality(held)) == rows_of(qa_long(both))
+    assert read == [("ref", [(1,), (2,)]), ("ref_77", [(1,), (2,)])]
+    refresh_quality(held)
+    assert len(read) == 2
+    old = whole(held, "ref_77").withColumn("pop", F.lit(40.0))
+    held.write("ref_77", spark.createDataFrame(old.collect(), old.schema))
+    del read[:]
+    sums = refresh_quality(held)
+    assert read == [("ref", [(1,)]), ("ref_77", [(1,)])]
+    assert rows_of(sums.where("col = 'age'"), "r_type", "val", "pop") == [(77, 30, 40.0), (97, 34, 1.5), (97, 105, 0.25)]
+    held.drop(spark.createDataFrame([(1, "ref_77")], "etl_batch_id long, dataset string"))
+    assert rows_of(refresh_quality(held)) == rows_of(qa_long(whole(held, "ref")))
+
+
 def test_clean_frame(spark):
     rows = spark.createDataFrame(
         [("2020", "530330001001000", "034 x", "1", "1000", "1", 2.0), ("2020", "530770001001000", "034", "1", "1000", "1", 2.0)],
