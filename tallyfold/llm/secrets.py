@@ -226,7 +226,8 @@ def with_spans(docs: DataFrame, rules=RULES, *, spans: str = "spans") -> DataFra
     asked = [r for r in rules if trigram_query(r.pattern)]
     rows = docs
     if asked:
-        found = candidates(build_index(docs, grams_of(asked)), asked)
+        # The kinds are hashed, so that texts are not sorted for the join.
+        found = candidates(build_index(docs, grams_of(asked)), asked).hint("shuffle_hash")
         rows = docs.join(found, docs["doc_id"].eqNullSafe(found["of"]), "left")
     parts = []
     for number, rule in enumerate(rules):

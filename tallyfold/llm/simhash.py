@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallyfold.llm.common import Scratch, text_bytes
 
 
+#: Whole texts that a worker holds at once.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
     """64 bits; one is set if set in over half the hashes of the shingles. No word gives 0, few words one shingle."""
@@ -97,7 +100,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, seed: int = 42, max_bits
     than doc_id and text are not read.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = scratch.keep(with_fingerprints(docs, width=width, seed=seed), "rows")
+    rows = scratch.keep(with_fingerprints(docs, width=width, seed=seed), "rows", conf=SMALL_BATCHES)
     known = rows.where("doc_id IS NOT NULL")
     prints = known.groupBy("fp").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     prints = scratch.keep(prints, "prints")
@@ -119,4 +122,6 @@ def one_of_each(docs: DataFrame, *, width: int = 3, seed: int = 42, max_bits: in
     """``docs`` without documents that have a smaller doc_id in their component. Rows without doc_id stay."""
     found = near_duplicates(docs, width=width, seed=seed, max_bits=max_bits)
     goes = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    # Ids are hashed, so that texts are not sorted for the join.
+    goes = goes.hint("shuffle_hash")
     return docs.join(goes, docs["doc_id"] == goes["gone"], "left_anti")
