@@ -183,7 +183,11 @@ def decode(rows: DataFrame, spec: str, *, ids: str = "ids", text: str = "text")
 
 
 def digests(rows: DataFrame, spec: str) -> DataFrame:
-    """Encode, decode, and give for each document the token count and SHA-256 of ids and of decoded text."""
+    """Encode, decode, and give for each document the token count and SHA-256 of ids and of decoded text.
+
+    One row per row, also for repeated and missing ids. A null text counts as empty, which has no tokens. Columns beyond
+    doc_id and text are not read.
+    """
     both = encode(rows.select("doc_id", "text"), spec, decoded="decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),

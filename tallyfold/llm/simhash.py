@@ -45,7 +45,10 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
 
 
 def with_fingerprints(docs: DataFrame, *, width: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and the fingerprint as a signed long ``fp``, one row per document."""
+    """doc_id and the fingerprint as a signed long ``fp``, one row per row, also for repeated and missing ids.
+
+    Null and empty texts have fingerprint zero. Columns beyond doc_id and text are not read.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             prints = np.fromiter((fingerprint(t, width, seed) for t in batch["text"]), np.uint64, len(batch))
