@@ -181,8 +181,8 @@ def highest(table: DataFrame, *, every: int = 50, k: int = 5, vector: str = "emb
 
     Rows without vec_id and vectors that are null or hold a null or non-finite component take no part. Vectors of
     different lengths meet as if the shorter one ended in zeros. A row is no candidate of its own vec_id; rows that repeat a
-    vec_id are candidates one by one, and the smallest vector of them is the query. Scores beyond 64 bits are ranked by their
-    value and told as the nearest 64-bit integer. Other columns are not read.
+    vec_id are candidates one by one, and the smallest vector of them is the query. Scores beyond 64 bits are
+    told, and ranked, as the nearest 64-bit integer. Other columns are not read.
     """
     scratch = Scratch(table.sparkSession, "topk")
     rows = scratch.keep(usable(table, vector, nonzero=False), "rows")
