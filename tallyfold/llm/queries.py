@@ -108,6 +108,23 @@ def op13_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"), changed)
 
 
+SQL["op1_substring_dedup"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+g AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM s),
+f AS (SELECT k, min(doc_id) AS first FROM g GROUP BY k),
+c AS (SELECT DISTINCT g.r, unnest(range(g.i, g.i + 13)) AS i FROM g JOIN f ON g.k = f.k WHERE f.first < g.doc_id),
+x AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+t AS (
+    SELECT x.r, count(*) AS n_words, count(c.i) AS n_removed,
+        string_agg(x.word, ' ' ORDER BY x.i) FILTER (c.i IS NULL) AS kept
+    FROM x LEFT JOIN c ON x.r = c.r AND x.i = c.i GROUP BY x.r)
+SELECT d.doc_id, coalesce(t.n_words, 0) AS n_words, coalesce(t.n_removed, 0) AS n_removed,
+    sha256(coalesce(t.kept, '')) AS kept_sha256
+FROM d LEFT JOIN t ON d.r = t.r
+"""
+
 SQL["op7_bit_sliced_topk"] = """
 WITH v AS (
     SELECT row_number() OVER () AS r, vec_id, [CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT) FOR x IN embedding] AS e
