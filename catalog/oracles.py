@@ -420,18 +420,25 @@ FROM incoming i LEFT JOIN kept k ON (k.geo_type, k.geo_scope, k.geo_year, k.year
 FROM versions WHERE load_archive_datetime IS NOT NULL AND delete_archive_datetime IS NULL AND geo_scope IS NOT NULL GROUP BY ALL""")
 _ENTRY = ["id", "batch_name", "CAST(batch_date AS VARCHAR) AS batch_date", "file_name", "file_loc", "geo_type", "geo_scope",
           "geo_year", "census_year", "year", "r_type", "qa_rows_file", "qa_pop_file", "touched AS last_update_datetime"]
-SQL["upserted_log"] = _with(
-    f"""SELECT {', '.join(_ENTRY)} FROM (
-SELECT v.id, v.batch_name, COALESCE(i.batch_date, v.batch_date) AS batch_date, v.file_name,
+
+def _upserted(files):
+    return f"""SELECT v.id, v.batch_name, COALESCE(i.batch_date, v.batch_date) AS batch_date, v.file_name,
        COALESCE(i.file_loc, v.file_loc) AS file_loc, v.geo_type, v.geo_scope, v.geo_year, v.census_year, v.year, v.r_type,
        COALESCE(i.rows_file, v.qa_rows_file) AS qa_rows_file, COALESCE(i.pop_file, v.qa_pop_file) AS qa_pop_file,
        CASE WHEN i.batch_name IS NULL THEN CAST(v.last_update_datetime AS VARCHAR) ELSE '2024-01-02 00:00:00' END AS touched
-FROM versions v LEFT JOIN incoming i ON {_SAME_FILE}
+FROM versions v LEFT JOIN {files} i ON {_SAME_FILE}
 UNION ALL
 SELECT (SELECT MAX(id) FROM versions) + row_number() OVER (ORDER BY {', '.join(f'i.{c} NULLS FIRST' for c in _FILE_KEY)}),
        i.batch_name, i.batch_date, i.file_name, i.file_loc, i.geo_type, i.geo_scope, i.geo_year, i.census_year, i.year,
        i.r_type, i.rows_file, round(i.pop_file, 0), '2024-01-02 00:00:00'
-FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM versions v WHERE {_SAME_FILE}))""", "versions", "incoming")
+FROM {files} i WHERE NOT EXISTS (SELECT 1 FROM versions v WHERE {_SAME_FILE})"""
+
+
+SQL["upserted_log"] = _with(f"SELECT {', '.join(_ENTRY)} FROM ({_upserted('incoming')})", "versions", "incoming")
+SQL["upserted_log_blocks"] = _with(
+    f"""SELECT {', '.join(_ENTRY)}, (id - 1) // 1000 IN (SELECT (id - 1) // 1000 FROM after WHERE touched = '2024-01-02 00:00:00')
+  AS rewritten FROM after""", "versions", "incoming",
+    delivery="SELECT * FROM incoming WHERE batch_date = (SELECT MAX(batch_date) FROM incoming)", after=_upserted("delivery"))
 
 _LAST = """MAX(l_shipdate) FILTER (l_linenumber {test})"""
 _DAY = "CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS DOUBLE)"
@@ -452,6 +459,16 @@ FROM log LEFT JOIN (SELECT l_orderkey, string_agg(note, '' ORDER BY l_linenumber
   FROM (SELECT *, l_returnflag || ' ' || l_linestatus || ' (' || CAST(l_shipdate AS VARCHAR) || ');' AS note FROM lineitem)
   GROUP BY l_orderkey) n ON n.l_orderkey = log.id""", "log")
 
+SQL["stamped_log_blocks"] = _with(
+    """SELECT id, CAST(COALESCE(touched, load_archive_datetime) AS VARCHAR) AS load_archive_datetime,
+CASE WHEN added IS NULL THEN etl_notes ELSE COALESCE(etl_notes, '') || added END AS etl_notes,
+CAST(COALESCE(touched, last_update_datetime) AS VARCHAR) AS last_update_datetime,
+(id - 1) // 1000 IN (SELECT (l_orderkey - 1) // 1000 FROM last) AS rewritten
+FROM log LEFT JOIN (SELECT l_orderkey, string_agg(note, '' ORDER BY l_linenumber, note) AS added, MAX(l_shipdate) AS touched
+  FROM last GROUP BY l_orderkey) n ON n.l_orderkey = log.id""", "log",
+    last="""SELECT *, l_returnflag || ' ' || l_linestatus || ' (' || CAST(l_shipdate AS VARCHAR) || ');' AS note
+  FROM lineitem WHERE l_shipdate = (SELECT MAX(l_shipdate) FROM lineitem)""")
+
 # --- archive --------------------------------------------------------------------------------------
 
 _IN_REF = "load_archive_datetime IS NULL AND load_ref_datetime IS NOT NULL"

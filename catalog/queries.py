@@ -37,9 +37,10 @@ from tallyfold.plans.load import run_load
 from tallyfold.plans.quality import refresh_quality, run_qa
 from tallyfold.schema import AGE_BANDS, GEO_TABLES, QA_COLUMNS, STAGE_SCHEMA
 from tallyfold.sources.batches import BatchStore
+from tallyfold.sources.logbook import LogBook
 from tallyfold.sources.manifest import file_manifest, locate_files, profile_files
 from tallyfold.sources.raw import check_errors, detect_header, read_raw, read_table_source, survey_files
-from tallyfold.sources.store import copy_and_verify, read_current, replace_batch, write_current, write_table
+from tallyfold.sources.store import copy_and_verify, read_current, replace_batch, write_table
 
 NOW = dt.datetime(2024, 11, 5, 12, 0)
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -414,10 +415,8 @@ def copied_tables(t):
 def _load_named_files(t):
     """Root and log of files on disk taken through intake, raw, stage and reference."""
     folder, root = write_named_files(t.spark, t.sf_dir), scratch(t.spark)
-    empty = t.spark.createDataFrame([], _log_schema())
-    log = run_intake(t.spark, folder, empty, now=NOW, census_year="2020", base_path=folder, final_folder=folder,
-                     landing=f"{root}/landing", per_wave=24)
-    write_current(log, f"{root}/log")
+    run_intake(t.spark, folder, LogBook(t.spark, f"{root}/log"), now=NOW, census_year="2020", base_path=folder,
+               final_folder=folder, landing=f"{root}/landing", per_wave=24)
     return root, run_load(t.spark, root, t.rules, now=NOW)
 
 
@@ -459,7 +458,7 @@ def loaded_table_batches(t):
               "geo_scope": F.lit("kps"), "geo_year": F.lit("2020"), "census_year": F.lit("2020"),
               "year": F.col("year"), "r_type": F.lit(97)}
     log = years.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in _log_schema().fields])
-    write_current(log, f"{root}/log")
+    LogBook(t.spark, f"{root}/log").replace(log)
     log = run_load(t.spark, root, t.rules, now=NOW, tables={"headcounts": t.spark.read.parquet(path)})
     hops = ("raw", "stage", "ref")
     return log.select("id", "year", *[f"qa_rows_{hop}" for hop in hops], *[f"qa_pop_{hop}" for hop in hops],
@@ -531,6 +530,39 @@ def log_notes(t):
     return append_notes(t.log, notes).select("id", "etl_notes", "last_update_datetime")
 
 
+def _marked(book, before, *columns):
+    """Columns of the log and whether the block of each row was written after ``before``."""
+    same = before.withColumn("old", F.lit(True))
+    blocks = book.blocks().join(same, ["block", "write"], "left").select("block", F.col("old").isNull().alias("rewritten"))
+    rows = book.read().select(*columns).withColumn("block", F.expr(f"(id - 1) div {book.block_ids}"))
+    return rows.join(blocks, "block").drop("block")
+
+
+@query
+def upserted_log_blocks(t):
+    """The delivery of the newest day, entered in a log of blocks: all rows, and which blocks that rewrote."""
+    book = LogBook(t.spark, scratch(t.spark), block_ids=1000)
+    book.replace(t.versions)
+    before, newest = book.blocks(), t.incoming.agg(F.max("batch_date").alias("batch_date"))
+    book.upsert(t.incoming.join(newest, "batch_date"), dt.datetime(2024, 1, 2))
+    return _marked(book, before, "id", "batch_name", "batch_date", "file_name", "file_loc", "geo_type", "geo_scope", "geo_year",
+                   "census_year", "year", "r_type", "qa_rows_file", "qa_pop_file", "last_update_datetime")
+
+
+@query
+def stamped_log_blocks(t):
+    """Stamps and notes of the newest shipping day in a log of blocks, and which blocks they rewrote."""
+    book = LogBook(t.spark, scratch(t.spark), block_ids=1000)
+    book.replace(t.log)
+    before, lines = book.blocks(), t.table("lineitem")
+    lines = lines.join(lines.agg(F.max("l_shipdate").alias("l_shipdate")), "l_shipdate")
+    book.apply(lines.select(F.col("l_orderkey").alias("id"), F.lit("load_archive_datetime").alias("field"),
+                            F.col("l_shipdate").alias("ts"), F.lit(None).cast("double").alias("value")))
+    book.note(lines.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("seq"),
+                           F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("note"), F.col("l_shipdate").alias("ts")))
+    return _marked(book, before, "id", "load_archive_datetime", "etl_notes", "last_update_datetime")
+
+
 # --- archive --------------------------------------------------------------------------------------
 
 @query

@@ -118,7 +118,15 @@ def upsert_log(log: DataFrame, files: DataFrame, now) -> DataFrame:
     batch, file name and the remaining key. The headcount is rounded for new rows only. A key that occurs
     more than once is taken from its last file location, as a later update would leave it.
     """
-    stamp = F.lit(now).cast("timestamp")
+    known = matched_files(log, files)
+    return updated_rows(log, known, now).unionByName(added_rows(log, known, now))
+
+
+_DETAILS = {"batch_date": "_batch_date", "file_loc": "_file_loc", "qa_rows_file": "_rows_file", "qa_pop_file": "_pop_file"}
+
+
+def matched_files(log: DataFrame, files: DataFrame) -> DataFrame:
+    """One row per key of ``files`` with its details and, as ``_id``, the newest log row of that key, null for none."""
     details = ["batch_date", "file_loc", "rows_file", "pop_file"]
     incoming = files.groupBy(*LOG_KEY).agg(
         F.max_by(F.struct(*details), F.struct("file_loc", "rows_file")).alias("_new"), F.count("*").alias("_seen"))
@@ -126,27 +134,31 @@ def upsert_log(log: DataFrame, files: DataFrame, now) -> DataFrame:
     ids = log.groupBy(*LOG_KEY).agg(F.max("id").alias("_id"))
     # Updates, new rows and their number all come from this join, so it is evaluated once.
     use_checkpoints(log.sparkSession)
-    known = _null_safe_left(incoming, ids, LOG_KEY).checkpoint()
+    return _null_safe_left(incoming, ids, LOG_KEY).checkpoint()
 
-    changed = known.where(F.col("_id").isNotNull()).select("_id", *[f"_{c}" for c in details])
+
+def updated_rows(log: DataFrame, known: DataFrame, now) -> DataFrame:
+    """All rows of ``log``, those that matched files name with the files' details."""
+    changed = known.where(F.col("_id").isNotNull()).select("_id", *_DETAILS.values())
     updated = log.join(changed, F.col("id") == F.col("_id"), "left")
     hit = F.col("_id").isNotNull()
-    targets = {"batch_date": "_batch_date", "file_loc": "_file_loc", "qa_rows_file": "_rows_file",
-               "qa_pop_file": "_pop_file"}
     kinds = {f.name: f.dataType for f in log.schema.fields}
-    updated = updated.withColumns({
-        **{name: F.when(hit, F.col(new).cast(kinds[name])).otherwise(F.col(name)) for name, new in targets.items()},
-        "last_update_datetime": F.when(hit, stamp).otherwise(F.col("last_update_datetime")),
+    return updated.withColumns({
+        **{name: F.when(hit, F.col(new).cast(kinds[name])).otherwise(F.col(name)) for name, new in _DETAILS.items()},
+        "last_update_datetime": F.when(hit, F.lit(now).cast("timestamp")).otherwise(F.col("last_update_datetime")),
     }).select(*log.columns)
 
+
+def added_rows(log: DataFrame, known: DataFrame, now) -> DataFrame:
+    """Log rows of the matched files that the log does not have, with ids that continue its highest one."""
+    kinds = {f.name: f.dataType for f in log.schema.fields}
     fresh = known.where(F.col("_id").isNull()).drop("_id")
     highest = log.agg(F.max("id")).first()[0] or 0
     fresh = continue_ids(fresh, LOG_KEY, highest)
     pop = F.when(F.col("_seen") == 1, F.round("_pop_file", 0)).otherwise(F.col("_pop_file"))
-    values = {**{name: F.col(new) for name, new in targets.items()}, "qa_pop_file": pop, "last_update_datetime": stamp,
-              "id": F.col("id"), **{c: F.col(c) for c in LOG_KEY}}
-    fresh = fresh.select(*[values.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in log.columns])
-    return updated.unionByName(fresh)
+    values = {**{name: F.col(new) for name, new in _DETAILS.items()}, "qa_pop_file": pop,
+              "last_update_datetime": F.lit(now).cast("timestamp"), "id": F.col("id"), **{c: F.col(c) for c in LOG_KEY}}
+    return fresh.select(*[values.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in log.columns])
 
 
 def continue_ids(rows: DataFrame, order, start: int, *, per_task: int = 1_000_000) -> DataFrame:

@@ -10,6 +10,7 @@ from tallyfold.operators.clean import column_roles, drop_header_rows, project_ro
 from tallyfold.operators.log import upsert_log
 from tallyfold.schema import RAW_CELLS
 from tallyfold.sources.landing import PER_WAVE, land_files, landed_files, landed_rows
+from tallyfold.sources.logbook import LogBook
 from tallyfold.sources.manifest import file_manifest, list_files, locate_files, profile_files
 from tallyfold.sources.raw import check_errors, file_of, folder_of, good_records, is_header, marked_bad
 from tallyfold.sources.store import shared_folder
@@ -29,12 +30,14 @@ def data_rows(raw: DataFrame, survey: DataFrame) -> DataFrame:
     return typed.select("file", F.when(~F.col("_is_bad"), F.col("pop")).alias("pop"))
 
 
-def run_intake(spark: SparkSession, folder: str, log: DataFrame, *, now, census_year: str,
+def run_intake(spark: SparkSession, folder: str, log: DataFrame | LogBook, *, now, census_year: str,
                batch_name: str | None = None, base_url: str = "", base_path: str = "", final_folder: str = "",
                max_errors: int = 100, files: DataFrame | None = None, landing: str | None = None,
                per_wave: int = PER_WAVE) -> DataFrame:
     """The log with one row per file below ``folder``: name facts, rows, headcount, batch and location.
 
+    A ``LogBook`` is changed where it lies, a frame is not.
+
     ``files`` (column ``file_path``) restricts the intake to some of the files. Files are inflated once, at most ``per_wave``
     at a time, into the table at ``landing``; a load that is given the same one does not open them again.
     """
@@ -50,4 +53,7 @@ def run_intake(spark: SparkSession, folder: str, log: DataFrame, *, now, census_
     profile = profile_files(data_rows(landed_rows(spark, landing, named), held))
     found = manifest.join(profile.withColumnRenamed("file", "file_path"), "file_path", "left")
     found = found.fillna(0, ["rows_file", "pop_file"]).withColumn("census_year", F.lit(census_year))
+    if isinstance(log, LogBook):
+        log.upsert(found, now)
+        return log.read()
     return upsert_log(log, found, now)

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyfold.functions.codes import parse_age, zero_fill
 from tallyfold.operators.clean import align_columns, route_by_scheme, scheme_table, stamp_manifest, valid_facts
 from tallyfold.operators.lifecycle import archive_candidates, prune_candidates, stamp_events
-from tallyfold.operators.log import apply_log_events, pending
+from tallyfold.operators.log import pending
 from tallyfold.operators.qa import exact_sum, fates, reconcile_hops, unbalanced
 from tallyfold.operators.recode import recode_cascade
 from tallyfold.plans.intake import typed_rows
 from tallyfold.schema import RACE_FLAGS, STAGE_SCHEMA
 from tallyfold.sources.batches import BatchStore
 from tallyfold.sources.landing import PER_WAVE, land_files, landed_files, landed_rows
+from tallyfold.sources.logbook import LogBook
 from tallyfold.sources.raw import check_errors, file_of, read_table_batches
 from tallyfold.sources.store import exists, read_current, use_checkpoints, write_current
 
@@ -79,7 +80,7 @@ def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types
     Batches with the location "ref" come from the table of ``tables`` that their file name names, each one the
     rows of its year; those whose table is not given stay pending.
 
-    ``root`` holds ``log``, ``hops`` and ``reconciled`` (versioned), the ``landing`` table of raw cells and the datasets
+    ``root`` holds ``log`` (a ``LogBook``), ``hops`` and ``reconciled`` (versioned), the ``landing`` table of raw cells and the datasets
     ``raw``, ``stage``, ``ref``, ``ref_77`` and their archives, to be read through ``BatchStore``. With ``full=False`` rows
     stop at the stage. Only hops that ran are stamped. A repeated run replaces the batches it writes.
 
@@ -87,7 +88,8 @@ def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types
     left behind for which reason; rows that are neither raise. ``reconciled`` has the totals of all hops beside the file's.
     """
     use_checkpoints(spark)
-    log = read_current(spark, f"{root}/log")
+    book = LogBook(spark, f"{root}/log")
+    log = book.read()
     work = pending(log, "files", geo_types=geo_types, census_year=census_year, min_year=min_year,
                    batch_name=batch_name, folders=folders, r_type=r_type)
     tables = tables or {}
@@ -128,11 +130,10 @@ def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types
         found.append(fates(counts["ref"], "ref", "rows"))
     events = [hop_events(sums, hop, now) for hop, sums in counts.items()]
     _keep_fates(spark, root, reduce(DataFrame.unionByName, found), ids)
-    log = apply_log_events(log, reduce(DataFrame.unionByName, events))
-    own = log.join(ids.withColumnRenamed("etl_batch_id", "id"), "id", "left_semi")
+    book.apply(reduce(DataFrame.unionByName, events))
+    own = book.read(ids.withColumnRenamed("etl_batch_id", "id"))
     write_current(reconcile_hops(own, counts), f"{root}/reconciled")
-    write_current(log, f"{root}/log")
-    return run_archive(spark, root, now=now, max_archive=max_archive) if full else read_current(spark, f"{root}/log")
+    return run_archive(spark, root, now=now, max_archive=max_archive) if full else book.read()
 
 
 def _keep_fates(spark: SparkSession, root: str, found: DataFrame, ids: DataFrame) -> None:
@@ -153,17 +154,17 @@ def run_archive(spark: SparkSession, root: str, *, now, max_archive: int = 2) ->
     ``BatchStore.vacuum``.
     """
     use_checkpoints(spark)
-    log, store = read_current(spark, f"{root}/log"), BatchStore(spark, root)
+    book, store = LogBook(spark, f"{root}/log"), BatchStore(spark, root)
     # Only batches that a reference table holds are moved and stamped.
     held = store.live().where(F.col("dataset").isin(*REFERENCE)).select(F.col("etl_batch_id").alias("archive_id")).distinct()
-    old = archive_candidates(log).join(held, "archive_id", "left_semi").checkpoint()
+    old = archive_candidates(book.read()).join(held, "archive_id", "left_semi").checkpoint()
     table = scheme_table("ref")
     store.move(old.select(F.col("archive_id").alias("etl_batch_id"), table.alias("dataset"), F.concat(F.lit("archive_"), table).alias("to")))
     moved = stamp_events(old, "archive_id", ["load_archive_datetime", "delete_ref_datetime"], now)
-    log = apply_log_events(log, moved).checkpoint()
+    book.apply(moved)
 
-    surplus = prune_candidates(log, max_archive).checkpoint()
+    surplus = prune_candidates(book.read(), max_archive).checkpoint()
     archives = F.explode(F.array(*[F.lit(f"archive_{table}") for table in REFERENCE]))
     store.drop(surplus.select(F.col("id").alias("etl_batch_id"), archives.alias("dataset")))
-    write_current(apply_log_events(log, stamp_events(surplus, "id", ["delete_archive_datetime"], now)), f"{root}/log")
-    return read_current(spark, f"{root}/log")
+    book.apply(stamp_events(surplus, "id", ["delete_archive_datetime"], now))
+    return book.read()

@@ -7,9 +7,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyfold.plans.intake import run_intake
 from tallyfold.plans.load import run_load
-from tallyfold.schema import LOG_SCHEMA
+from tallyfold.sources.logbook import LogBook
 from tallyfold.sources.raw import CSV_NAMES, file_of
-from tallyfold.sources.store import exists, read_current, write_current
 
 _FILE_FIELDS = "path string, modificationTime timestamp, length long, content binary"
 
@@ -33,10 +32,8 @@ def load_arrivals(spark: SparkSession, folder: str, root: str, rules: DataFrame,
         if not files.take(1):
             return
         now = clock()
-        known = exists(spark, f"{root}/log")
-        log = read_current(spark, f"{root}/log") if known else spark.createDataFrame([], LOG_SCHEMA)
-        write_current(run_intake(spark, folder, log, files=files, now=now, census_year=census_year,
-                                 landing=f"{root}/landing", **options), f"{root}/log")
+        run_intake(spark, folder, LogBook(spark, f"{root}/log"), files=files, now=now, census_year=census_year,
+                   landing=f"{root}/landing", **options)
         run_load(spark, root, rules, now=now, census_year=census_year)
 
     stream = arrived_files(spark, folder).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)

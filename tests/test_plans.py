@@ -17,7 +17,8 @@ from tallyfold.schema import LOG_SCHEMA, STAGE_SCHEMA
 from tallyfold.streaming.arrivals import load_arrivals
 from tallyfold.sources import landing
 from tallyfold.sources.batches import BatchStore
-from tallyfold.sources.store import read_current, write_current
+from tallyfold.sources.logbook import LogBook
+from tallyfold.sources.store import read_current
 from test_raw import LINES_97, write_gz
 
 MARCH, APRIL, MAY = (dt.datetime(2024, m, 1) for m in (3, 4, 5))
@@ -32,12 +33,8 @@ def store(spark, tmp_path):
 def deliver(spark, folder, root, batch, now):
     write_gz(folder / batch / "BlockCode2020RaceMars972020.csv.gz", LINES_97)
     write_gz(folder / batch / "BlockCode2020RaceMars772020.csv.gz", OLD)
-    try:
-        log = read_current(spark, f"{root}/log")
-    except FileNotFoundError:
-        log = spark.createDataFrame([], LOG_SCHEMA)
-    write_current(run_intake(spark, str(folder), log, now=now, census_year="2020", base_path=str(folder),
-                             final_folder=str(folder)), f"{root}/log")
+    run_intake(spark, str(folder), LogBook(spark, f"{root}/log"), now=now, census_year="2020", base_path=str(folder),
+               final_folder=str(folder))
 
 
 def test_two_deliveries(spark, store):
@@ -79,7 +76,7 @@ def test_arrivals(spark, store, tmp_path):
         query = load_arrivals(spark, str(folder), root, rules(spark, False), clock=lambda: next(times), census_year="2020",
                               checkpoint=str(tmp_path / "seen"), base_path=str(folder), final_folder=str(folder))
         query.awaitTermination()
-        return rows_of(read_current(spark, f"{root}/log"), "id", "r_type", "qa_rows_ref", "load_ref_datetime",
+        return rows_of(LogBook(spark, f"{root}/log").read(), "id", "r_type", "qa_rows_ref", "load_ref_datetime",
                        "load_archive_datetime")
 
     write_gz(folder / "20240301final" / "BlockCode2020RaceMars972020.csv.gz", LINES_97)
@@ -160,7 +157,7 @@ def test_clean_frame(spark):
 def intake(spark, folder, root):
     log = run_intake(spark, folder, spark.createDataFrame([], LOG_SCHEMA), now=MARCH, census_year="2020",
                      base_path=folder, final_folder=folder)
-    write_current(log, f"{root}/log")
+    LogBook(spark, f"{root}/log").replace(log)
     return log
 
 
@@ -201,7 +198,7 @@ def test_table_batches_are_loaded_beside_files(spark, store):
     fields = [f.name for f in LOG_SCHEMA.fields]
     more = [tuple({**row, **change}.get(name) for name in fields)
             for change in ({}, {"id": 10, "year": "2018"}, {"id": 11, "file_name": "absent"})]
-    write_current(log.unionByName(spark.createDataFrame(more, LOG_SCHEMA)), f"{root}/log")
+    LogBook(spark, f"{root}/log").replace(log.unionByName(spark.createDataFrame(more, LOG_SCHEMA)))
     heads = spark.createDataFrame(
         [("530330001001000", 2.0, "034", "1", 10000, "0", 2019), ("530330001001000", 5.0, "034", "1", 10000, "0", 2017)],
         "Block2020 string, Pop double, AgeGroup string, Gender string, RaceMars97 int, Hispanic string, Year int")
@@ -239,7 +236,7 @@ def test_lost_rows_raise(spark, store, monkeypatch):
     monkeypatch.setattr(load, "stage_rows", lambda raw, rules: whole(raw, rules).where("age < 100"))
     with pytest.raises(RuntimeError, match="2 sent to stage, 1 there"):
         run_load(spark, root, rules(spark, False), now=MARCH)
-    assert rows_of(read_current(spark, f"{root}/log"), "load_raw_datetime") == [(None,)]
+    assert rows_of(LogBook(spark, f"{root}/log").read(), "load_raw_datetime") == [(None,)]
 
 
 def test_files_are_inflated_once_and_in_waves(spark, store, monkeypatch):
@@ -250,7 +247,7 @@ def test_files_are_inflated_once_and_in_waves(spark, store, monkeypatch):
     monkeypatch.setattr(landing, "read_raw", lambda spark, paths, **more: read.append(len(paths)) or whole(spark, paths, **more))
     log = run_intake(spark, str(folder), spark.createDataFrame([], LOG_SCHEMA), now=MARCH, census_year="2020", base_path=str(folder),
                      final_folder=str(folder), landing=f"{root}/landing", per_wave=4)
-    write_current(log, f"{root}/log")
+    LogBook(spark, f"{root}/log").replace(log)
     assert read == [4, 2]
     log = run_load(spark, root, rules(spark, False), now=MARCH, per_wave=4)
     assert read == [4, 2] and rows_of(log, "qa_rows_file", "qa_rows_raw", "qa_rows_ref") == [(6, 2, 2)] * 6
