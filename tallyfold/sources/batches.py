@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tallyfold.operators.sizing import BROADCAST_ROWS
 from tallyfold.sources.store import clear_versions, delete_folder, exists, observed, read_current, write_current
 
 _ENTRY = "dataset string, etl_batch_id long, origin string, write string"
@@ -51,7 +52,10 @@ class BatchStore:
         for origin in sorted(origins):
             kinds = [*self._schema(origin).fields, T.StructField("write", T.StringType()), _ID]
             rows = self.spark.read.schema(T.StructType(kinds)).parquet(f"{self.root}/data/{origin}")
-            rows = rows.join(entries.where(F.col("origin") == origin).drop("origin"), ["write", "etl_batch_id"]).drop("write")
+            named = entries.where(F.col("origin") == origin).drop("origin")
+            # A broadcast that is planned, not found at run time, prunes the scan to the partitions named.
+            named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
+            rows = rows.join(named, ["write", "etl_batch_id"]).drop("write")
             out = out.unionByName(rows, allowMissingColumns=True)
         return out
 
