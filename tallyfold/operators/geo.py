@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from tallyfold.functions.codes import block_group_code, county_code, county_fips, scope_filter, tract_code
 from tallyfold.operators.recode import CodeBook, code_book, fill_defaults, recode_facts
-from tallyfold.operators.sizing import small_side
+from tallyfold.operators.sizing import narrowed, small_side
 from tallyfold.schema import COUNTIES, DIMENSIONS, GEO_COLUMNS, RAW_CODES
 
 _FILE = ["etl_batch_id", "geo_scope", "geo_year", "census_year", "year", "r_type"]
@@ -18,11 +18,15 @@ def select_facts(facts: DataFrame, chosen: DataFrame, geo_type: str) -> DataFram
     """Facts of the chosen log rows of one geography type, carrying the file constants of the log.
 
     Only the columns the rollups need are read. When few batches are chosen the log side is broadcast, and
-    on facts partitioned by batch the scan is pruned at run time to the partitions of those batches.
+    on facts partitioned by batch the scan is pruned at run time to the partitions of those batches. When many
+    are chosen the facts are narrowed to about those of their batches before they are shuffled.
     """
     log = chosen.where(F.col("geo_type") == geo_type).select(F.col("id").alias("etl_batch_id"), *_FILE[1:])
     narrow = facts.select("etl_batch_id", "geo_id", "pop", *RAW_CODES)
-    return narrow.join(small_side(log), "etl_batch_id")
+    side = small_side(log)
+    if side is log:
+        narrow = narrowed(narrow, log, "etl_batch_id")
+    return narrow.join(side, "etl_batch_id")
 
 
 def geo_direct(facts: DataFrame, chosen: DataFrame, rules: DataFrame | CodeBook, geo_type: str) -> DataFrame:
@@ -75,7 +79,8 @@ def rollup_hierarchy(rows: DataFrame, parents: DataFrame, on: dict[str, str], pa
                      dimensions=tuple(DIMENSIONS)) -> DataFrame:
     """Sum rows into their parent areas.
 
-    ``on`` maps columns of ``rows`` to columns of ``parents``. ``parent_year`` names the parent column that
+    ``on`` maps columns of ``rows`` to columns of ``parents``; by the last one, the area, many parents are narrowed to those
+    of the rows. ``parent_year`` names the parent column that
     becomes ``geo_year`` and ``geo_scope`` a fixed scope; without them both are kept from the rows.
     """
     needed = dict.fromkeys([*on.values(), parent_id, *filter(None, [parent_year])])
@@ -83,7 +88,11 @@ def rollup_hierarchy(rows: DataFrame, parents: DataFrame, on: dict[str, str], pa
     match = [rows[left] == F.col(f"_{right}") for left, right in on.items()]
     year = F.col(f"_{parent_year}") if parent_year else F.col("geo_year")
     scope = [] if geo_scope else ["geo_scope"]
-    joined = rows.join(small_side(lookup), match)
+    side = small_side(lookup)
+    if side is lookup:
+        left, right = next(reversed(on.items()))
+        side = narrowed(lookup, rows.select(F.col(left).alias(f"_{right}")), f"_{right}")
+    joined = rows.join(side, match)
     joined = joined.select(*_SUMMED, year.alias("geo_year"), *scope, F.col(f"_{parent_id}").alias("geo_id"),
                            *dimensions, "pop")
     summed = _total(joined, [c for c in joined.columns if c != "pop"])
@@ -98,12 +107,17 @@ def allocate(rows: DataFrame, weights: DataFrame, targets=None, *, geo_scope: st
     """Share block headcounts out to target areas by the proportion of each block that lies in them.
 
     All target types are done in one join and one sum; ``geo_type`` is the target type. Proportions need not
-    add up to 1, and blocks without a target vanish.
+    add up to 1, and blocks without a target vanish. Many weights are narrowed to about those of the blocks in ``rows``
+    before they are shuffled.
     """
     if targets is not None:
         weights = weights.where(F.col("target_type").isin(*targets))
     keys = ["census_year", "geo_year", "geo_id"]
-    joined = rows.join(small_side(weights.select(*keys, "target_type", "target_id", "proportion")), keys)
+    weights = weights.select(*keys, "target_type", "target_id", "proportion")
+    side = small_side(weights)
+    if side is weights:
+        side = narrowed(weights, rows, "geo_id")
+    joined = rows.join(side, keys)
     joined = joined.select(*_SUMMED, "geo_year", F.col("target_type").alias("geo_type"),
                            F.col("target_id").alias("geo_id"), *dimensions,
                            (F.col("pop") * F.col("proportion")).alias("pop"))
@@ -122,11 +136,17 @@ def block_table(facts: DataFrame, chosen: DataFrame) -> DataFrame:
     return _total(rows, [c for c in rows.columns if c != "pop"])
 
 
-def block_crosswalk(areas: DataFrame, weights: DataFrame, targets=None) -> DataFrame:
-    """(geo_id, areas, targets): one row for each block with all small areas and weighted targets that it belongs to."""
+def block_crosswalk(areas: DataFrame, weights: DataFrame, targets=None, blocks: DataFrame | None = None) -> DataFrame:
+    """(geo_id, areas, targets): one row for each block with all small areas and weighted targets that it belongs to.
+
+    With ``blocks`` (column ``geo_id``) those of other blocks are left out before they are shuffled, but for a few.
+    """
     if targets is not None:
         weights = weights.where(F.col("target_type").isin(*targets))
-    small = areas.groupBy(F.col("blk_geo_id").alias("geo_id")).agg(
+    areas = areas.withColumnRenamed("blk_geo_id", "geo_id")
+    if blocks is not None:
+        areas, weights = narrowed(areas, blocks, "geo_id"), narrowed(weights, blocks, "geo_id")
+    small = areas.groupBy("geo_id").agg(
         F.collect_list(F.struct("blk_census_year", "hra_census_year", "hra_geo_id")).alias("areas"))
     shares = weights.groupBy("geo_id").agg(
         F.collect_list(F.struct("census_year", "geo_year", "target_type", "target_id", "proportion")).alias("targets"))

@@ -44,7 +44,8 @@ def run_geographies(spark: SparkSession, out: str, *, facts: DataFrame, log: Dat
 
     The choice of batches and the code book are made once. Facts partitioned by batch are read once per direct table,
     each reading only its own batches, and once for all rollups of blocks: those sum a slim block table that is bucketed
-    like the crosswalk of its blocks, so they meet without a shuffle.
+    like the crosswalk of its blocks, so they meet without a shuffle. Areas and weights of blocks that it does not have are
+    left out before they are shuffled.
 
     With ``copy_to`` all thirteen tables are copied there and compared with what was read; ``copied`` below it holds a
     PASS or FAIL row for each. A copy that differs raises after all are done.
@@ -56,7 +57,7 @@ def run_geographies(spark: SparkSession, out: str, *, facts: DataFrame, log: Dat
         write_table(geo_direct(facts, chosen, book, geo_type), f"{out}/pop_geo_{geo_type}")
     with Buckets(spark, f"{out}/buckets", "geo_id", buckets) as kept:
         blocks = kept.keep(block_table(facts, chosen), "blocks")
-        crosswalk = kept.keep(block_crosswalk(areas, weights, TARGET_TYPES), "crosswalk")
+        crosswalk = kept.keep(block_crosswalk(areas, weights, TARGET_TYPES, blocks), "crosswalk")
         write_table(rollup_blocks(blocks, crosswalk), f"{out}/sums", partition_by=["geo_type"])
     sums = spark.read.parquet(f"{out}/sums")
     write_table(recode_counties(sums.where("geo_type = 'cou'"), book), f"{out}/pop_geo_cou")
