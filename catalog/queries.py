@@ -40,7 +40,7 @@ from tallyfold.sources.batches import BatchStore
 from tallyfold.sources.logbook import LogBook
 from tallyfold.sources.manifest import file_manifest, locate_files, profile_files
 from tallyfold.sources.raw import check_errors, detect_header, read_raw, read_table_source, survey_files
-from tallyfold.sources.store import copy_and_verify, read_current, replace_batch, write_table
+from tallyfold.sources.store import copy_and_verify, read_current, replace_batch, use_checkpoints, write_table
 
 NOW = dt.datetime(2024, 11, 5, 12, 0)
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -344,21 +344,23 @@ def bad_records(t):
 
 
 def _typed_lines(t):
+    """Typed rows of the raw lines, and their files. The survey, a scan of all lines, is made once."""
     raw = landed_lines(t.spark, t.sf_dir)
-    survey = survey_files(raw)
+    use_checkpoints(t.spark)
+    survey = survey_files(raw).checkpoint()
     check_errors(survey, 100)
-    return typed_rows(raw, survey)
+    return typed_rows(raw, survey), survey.select("file")
 
 
 @query
 def raw_rows(t):
-    return _typed_lines(t)
+    return _typed_lines(t)[0]
 
 
 @query
 def stamped_rows(t):
-    rows = _typed_lines(t)
-    files = rows.select("file").distinct()
+    # A file without data rows is in the survey, too, and meets no row.
+    rows, files = _typed_lines(t)
     named = file_manifest(files.withColumn("file_path", F.concat(F.col("file"), F.lit(".csv"))))
     return stamp_manifest(rows, named.withColumn("census_year", F.lit("2020")))
 
