@@ -125,7 +125,8 @@ def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types
     found.append(fates(counts["stage"], "stage", "rows"))
 
     if full:
-        written = {table: store.write(table, rows, ids) for table, rows in route_by_scheme(stage, "ref").items()}
+        # The stage lies by batch, and a split by scheme moves no row.
+        written = {table: store.write(table, rows, ids, gathered=True) for table, rows in route_by_scheme(stage, "ref").items()}
         counts["ref"] = _read_back(store, "ref", written, ids)
         found.append(fates(counts["ref"], "ref", "rows"))
     events = [hop_events(sums, hop, now) for hop, sums in counts.items()]

@@ -70,15 +70,16 @@ class BatchStore:
         if more:
             write_current(self.spark.createDataFrame([], T.StructType([*known.fields, *more])), f"{self.root}/columns/{dataset}")
 
-    def put(self, dataset: str, rows: DataFrame) -> tuple[str, int]:
+    def put(self, dataset: str, rows: DataFrame, *, gathered: bool = False) -> tuple[str, int]:
         """Write the batches of ``rows`` without naming them: the name of the write and its number of rows.
 
         The rebalance hint gathers each batch into few files and splits a large one over tasks. Rows are counted
-        behind that shuffle, while they are written.
+        behind that shuffle, while they are written. ``gathered`` rows are read from a dataset of this store without a shuffle
+        of their own: they lie by batch already and are written as they come.
         """
         write = uuid.uuid4().hex
         self._remember(dataset, rows.schema)
-        counted, told = observed(rows.hint("rebalance", F.col("etl_batch_id")))
+        counted, told = observed(rows if gathered else rows.hint("rebalance", F.col("etl_batch_id")))
         counted.write.partitionBy("etl_batch_id").parquet(f"{self.root}/data/{dataset}/write={write}")
         return write, told.get["rows"]
 
@@ -96,9 +97,9 @@ class BatchStore:
         entries = fresh.select(F.lit(dataset).alias("dataset"), "etl_batch_id", F.lit(dataset).alias("origin"), F.lit(write).alias("write"))
         self._swap(kept.select(*live.columns).unionByName(entries))
 
-    def write(self, dataset: str, rows: DataFrame, ids: DataFrame | None = None) -> int:
-        """Replace batches of a dataset by those of ``rows`` and return the rows written. See ``name``."""
-        write, n = self.put(dataset, rows)
+    def write(self, dataset: str, rows: DataFrame, ids: DataFrame | None = None, *, gathered: bool = False) -> int:
+        """Replace batches of a dataset by those of ``rows`` and return the rows written. See ``name`` and ``put``."""
+        write, n = self.put(dataset, rows, gathered=gathered)
         self.name(dataset, write, ids)
         return n
 
