@@ -18,13 +18,22 @@ from tallyfold.sources.store import clear_versions, delete_folder, exists, obser
 _ENTRY = "dataset string, etl_batch_id long, origin string, write string"
 _ID = T.StructField("etl_batch_id", T.LongType())
 _KEY = ["origin", "write", "etl_batch_id"]
+_FOLDER = "batch_folder"
 
 
 class BatchStore:
     """The datasets below one folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, per_folder: int = 1):
+        """Each batch of a write has a folder of its own. Where batches are many and small, as many neighbouring ids as
+        ``per_folder`` says share one; a store has to be opened with the number that it was begun with."""
+        self.spark, self.root, self.per_folder = spark, root, per_folder
+        # Column that the files of a write are partitioned by.
+        self._part = _FOLDER if per_folder > 1 else "etl_batch_id"
+
+    def _placed(self, entries: DataFrame) -> DataFrame:
+        """Entries or rows with the number of the folder that their batch lies in."""
+        return entries.withColumn(_FOLDER, F.expr(f"etl_batch_id div {self.per_folder}")) if self.per_folder > 1 else entries
 
     def live(self) -> DataFrame:
         """(dataset, etl_batch_id, origin, write): the partitions that count; they lie in the folder of their origin."""
@@ -50,12 +59,14 @@ class BatchStore:
         origins = {r.origin for r in self.live().where(F.col("dataset") == dataset).select("origin").distinct().toLocalIterator()}
         out = self.spark.createDataFrame([], T.StructType([_ID, *columns.fields]))
         for origin in sorted(origins):
-            kinds = [*self._schema(origin).fields, T.StructField("write", T.StringType()), _ID]
+            kinds = [*self._schema(origin).fields, _ID, T.StructField("write", T.StringType())]
+            if self.per_folder > 1:
+                kinds.append(T.StructField(_FOLDER, T.LongType()))
             rows = self.spark.read.schema(T.StructType(kinds)).parquet(f"{self.root}/data/{origin}")
-            named = entries.where(F.col("origin") == origin).drop("origin")
+            named = self._placed(entries.where(F.col("origin") == origin).drop("origin"))
             # A broadcast that is planned, not found at run time, prunes the scan to the partitions named.
             named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
-            rows = rows.join(named, ["write", "etl_batch_id"]).drop("write")
+            rows = rows.join(named, named.columns).drop("write", _FOLDER)
             out = out.unionByName(rows, allowMissingColumns=True)
         return out
 
@@ -74,13 +85,14 @@ class BatchStore:
         """Write the batches of ``rows`` without naming them: the name of the write and its number of rows.
 
         The rebalance hint gathers each batch into few files and splits a large one over tasks. Rows are counted
-        behind that shuffle, while they are written. ``gathered`` rows are read from a dataset of this store without a shuffle
-        of their own: they lie by batch already and are written as they come.
+        behind that shuffle, while they are written. ``gathered`` rows lie by batch already, as those read from a dataset of
+        this store or from landed files without a shuffle of their own do: they are written as they come.
         """
         write = uuid.uuid4().hex
         self._remember(dataset, rows.schema)
-        counted, told = observed(rows if gathered else rows.hint("rebalance", F.col("etl_batch_id")))
-        counted.write.partitionBy("etl_batch_id").parquet(f"{self.root}/data/{dataset}/write={write}")
+        rows = self._placed(rows.withColumn("etl_batch_id", F.col("etl_batch_id").cast("long")))
+        counted, told = observed(rows if gathered else rows.hint("rebalance", F.col(self._part)))
+        counted.write.partitionBy(self._part).parquet(f"{self.root}/data/{dataset}/write={write}")
         return write, told.get["rows"]
 
     def name(self, dataset: str, write: str, ids: DataFrame | None = None) -> None:
@@ -88,9 +100,9 @@ class BatchStore:
 
         A batch of ``ids`` (column ``etl_batch_id``) that the write does not have leaves the dataset.
         """
-        # Files tell which batches the write has; their rows are not read.
+        # Files tell which batches the write has; of their rows only the ids are read, where a folder has several.
         folder = f"{self.root}/data/{dataset}/write={write}"
-        fresh = self.spark.read.schema("etl_batch_id long").parquet(folder).distinct()
+        fresh = self.spark.read.schema("etl_batch_id long").parquet(folder).select("etl_batch_id").distinct()
         gone = fresh if ids is None else fresh.unionByName(ids.select(F.col("etl_batch_id").cast("long")))
         live = self.live()
         kept = live.join(gone.distinct().withColumn("dataset", F.lit(dataset)), ["dataset", "etl_batch_id"], "left_anti")
@@ -136,14 +148,30 @@ class BatchStore:
         """
         if not exists(self.spark, f"{self.root}/data"):
             return 0
+        shared = self._parted() if self.per_folder > 1 else 0
         if exists(self.spark, f"{self.root}/live"):
             clear_versions(self.spark, f"{self.root}/live")
-        named, gone = self.live().select(*_KEY), 0
+        named, gone, part = self._placed(self.live().select(*_KEY)), 0, self._part
         for origin in self._origins():
-            there = self.spark.read.schema("write string, etl_batch_id long").parquet(f"{self.root}/data/{origin}").distinct()
-            stale = there.join(named.where(F.col("origin") == origin), ["write", "etl_batch_id"], "left_anti")
+            there = self.spark.read.schema(f"write string, {part} long").parquet(f"{self.root}/data/{origin}")
+            there = there.select("write", part).distinct()
+            stale = there.join(named.where(F.col("origin") == origin), ["write", part], "left_anti")
             for r in stale.toLocalIterator():
-                gone += delete_folder(self.spark, f"{self.root}/data/{origin}/write={r.write}/etl_batch_id={r.etl_batch_id}")
+                gone += delete_folder(self.spark, f"{self.root}/data/{origin}/write={r.write}/{part}={r[part]}")
+        return shared if self.per_folder > 1 else gone
+
+    def _parted(self) -> int:
+        """Write the named batches anew that share a folder with others that the list does not name; how many those are.
+        Then no folder has both."""
+        live, gone = self._placed(self.live()), 0
+        for origin in self._origins():
+            there = self.spark.read.schema(f"etl_batch_id long, write string, {_FOLDER} long").parquet(f"{self.root}/data/{origin}")
+            named = live.where(F.col("origin") == origin)
+            stale = there.distinct().join(named, ["write", "etl_batch_id"], "left_anti")
+            gone += stale.count()
+            mixed = named.join(stale.select("write", _FOLDER).distinct(), ["write", _FOLDER], "left_semi")
+            for r in mixed.select("dataset").distinct().collect():  # names of datasets
+                self.write(r.dataset, self.read(r.dataset, mixed.where(F.col("dataset") == r.dataset).select("etl_batch_id")))
         return gone
 
     def _origins(self) -> list[str]:

@@ -26,10 +26,18 @@ class LogBook:
     """The log below one folder. One writer at a time; readers keep the state that they began with."""
 
     def __init__(self, spark: SparkSession, root: str, block_ids: int = BLOCK_IDS):
-        """``block_ids`` is the number of ids of a block; a log that is there keeps the number it was begun with."""
-        self.spark, self.root, self.store = spark, root, BatchStore(spark, root)
+        """``block_ids`` is the number of ids of a block; a log that is there keeps the number it was begun with.
+
+        Blocks narrower than ``BLOCK_IDS`` share the folders of their files, so that no change opens more than one folder
+        for that many ids.
+        """
+        self.spark, self.root = spark, root
         self._begun = exists(spark, f"{root}/block_ids")
-        self.block_ids = read_current(spark, f"{root}/block_ids").first()[0] if self._begun else block_ids
+        kept = read_current(spark, f"{root}/block_ids").first().asDict() if self._begun else {
+            "block_ids": block_ids, "per_folder": max(1, BLOCK_IDS // block_ids)}
+        # A log that does not tell was begun with a folder for each block.
+        self.block_ids, per_folder = kept["block_ids"], kept.get("per_folder", 1)
+        self.store = BatchStore(spark, root, per_folder)
 
     def read(self, ids: DataFrame | None = None) -> DataFrame:
         """The log, or its rows with the given ids (column ``id``); then only their blocks are read."""
@@ -43,7 +51,8 @@ class LogBook:
     def replace(self, log: DataFrame) -> int:
         """Make ``log`` the whole log; how many rows it has. ``log`` may come from this log itself."""
         if not self._begun:
-            write_current(self.spark.createDataFrame([(self.block_ids,)], "block_ids long"), f"{self.root}/block_ids")
+            numbers = self.spark.createDataFrame([(self.block_ids, self.store.per_folder)], "block_ids long, per_folder long")
+            write_current(numbers, f"{self.root}/block_ids")
             self._begun = True
         return self.store.write(_LOG, log.withColumn(_BLOCK, self._block()), self.store.batches(_LOG))
 

@@ -7,6 +7,7 @@ from tallyfold.operators.log import append_notes, apply_log_events, upsert_log
 from tallyfold.schema import LOG_SCHEMA
 from tallyfold.sources.batches import BatchStore
 from tallyfold.sources.logbook import LogBook
+from tallyfold.sources.store import write_current
 from test_log import NOW, T1, entry, incoming, log_of
 
 EVENTS = "id long, field string, ts timestamp, value double"
@@ -84,3 +85,29 @@ def test_empty_absent_and_replaced_logs(spark, tmp_path):
     assert book.replace(book.read().where("id < 3").unionByName(log_of(spark, entry(None)))) == 3
     assert rows_of(book.blocks(), "block") == [(-1,), (0,)] and rows_of(book.read(), "id") == [(None,), (1,), (2,)]
     assert book.replace(spark.createDataFrame([], LOG_SCHEMA)) == 0 and book.read().count() == 0
+
+
+def test_narrow_blocks_share_folders(spark, book, tmp_path):
+    def folders():
+        return [f for f in (tmp_path / "log" / "data" / "log").glob("write=*/*") if f.is_dir()]
+
+    # Three blocks of four ids, one folder for each write; a change of one block leaves the others where they are.
+    assert len(folders()) == 1
+    event = spark.createDataFrame([(5, "load_raw_datetime", NOW, None)], EVENTS)
+    assert written_anew(book, lambda: book.apply(event)) == {1}
+    assert len(folders()) == 2
+    rows = rows_of(book.read())
+    # The old block 1 goes; 0 and 2 lay beside it and are written anew.
+    assert book.vacuum() == 1 and book.vacuum() == 0
+    assert len(folders()) == 2 and rows_of(book.read()) == rows
+
+
+def test_log_with_a_folder_for_each_block_is_read_on(spark, tmp_path):
+    root = str(tmp_path / "log")
+    write_current(spark.createDataFrame([(4,)], "block_ids long"), f"{root}/block_ids")
+    old = LogBook(spark, root)
+    old.replace(log_of(spark, *[entry(i, file_name=f"f{i}") for i in range(1, 9)]))
+    assert sorted(f.name for f in (tmp_path / "log" / "data" / "log").glob("write=*/*=*")) == ["etl_batch_id=0", "etl_batch_id=1"]
+    again = LogBook(spark, root)
+    assert written_anew(again, lambda: again.apply(spark.createDataFrame([(5, "load_raw_datetime", NOW, None)], EVENTS))) == {1}
+    assert again.vacuum() == 1 and rows_of(again.read(), "id") == [(i,) for i in range(1, 9)]
