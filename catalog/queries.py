@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from catalog.rawfiles import landed_lines, scratch, write_named_files
-from catalog.shapes import shape
+from catalog.shapes import shape, weights_of
 from tallyfold.functions import (
     batch_date, contains_any, geo_parts, pad_code, parse_age, scope_filter, strip_prefixes, top_code, zero_fill,
 )
@@ -61,9 +61,12 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name) -> DataFrame:
+        # Crosswalks are stored tables. Written once, their size is known and they are not derived again. The weights are
+        # twelve for each block: their blocks are stored.
+        if name == "weights":
+            return weights_of(self.blocks)
         rows = shape(self.spark, self.sf_dir, name)
-        # Crosswalks are stored tables. Written once, their size is known and they are not derived again.
-        if name in ("areas", "old_areas", "weights"):
+        if name in ("areas", "old_areas", "blocks"):
             path = scratch(self.spark)
             rows.write.parquet(path)
             return self.spark.read.parquet(path)

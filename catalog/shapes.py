@@ -250,7 +250,7 @@ def rules(spark: SparkSession, overlap: bool = True) -> DataFrame:
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 _SQL = {"log": LOG, "versions": VERSIONS, "facts": FACTS, "stamped": STAMPED, "areas": AREAS, "old_areas": OLD_AREAS,
-        "regions": REGIONS, "files": FILES}
+        "regions": REGIONS, "files": FILES, "blocks": BLOCKS}
 
 
 def shape_sql(name: str) -> str:
@@ -264,6 +264,11 @@ def shape_sql(name: str) -> str:
     return text.format(**names, versions=VERSIONS.format(**names))
 
 
+def weights_of(blocks: DataFrame) -> DataFrame:
+    """The shape ``weights``, derived from rows of the shape ``blocks``."""
+    return blocks.sparkSession.sql(_WEIGHTS_SPARK.replace(f"({BLOCKS})", "{blocks}"), blocks=blocks)
+
+
 def shape(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A shape as a DataFrame over the Parquet tables in ``sf_dir``."""
     if name in ("rules", "plain_rules"):

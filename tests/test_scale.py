@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import queries
+from catalog.shapes import shape
 from frames import rows_of
 from tallyfold.operators.lifecycle import split_archive
 from tallyfold.sources.batches import BatchStore
@@ -59,3 +60,21 @@ def test_gathered_rows_are_written_as_they_come(spark, tmp_path, monkeypatch):
     assert store.write("old", store.read("stage")) == 20
     assert "Rebalance" not in plans[0] and "Rebalance" in plans[1]
     assert rows_of(store.read("ref"), "n") == [(n,) for n in range(4, 20)]
+
+
+def _tables(spark, folder):
+    """Five lines on four blocks as the tables that the shapes need."""
+    lines = spark.createDataFrame(
+        [(1, 7, 3, 1, 5.0), (1, 7, 3, 2, 6.0), (2, 7, 4, 1, 7.0), (3, 8, 3, 1, 8.0), (4, 8, None, 7, 9.0)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double")
+    more = {"l_quantity": F.lit(20.0), "l_discount": F.lit(0.01), "l_returnflag": F.lit("A"), "l_linestatus": F.lit("F"),
+            "l_shipdate": F.expr("make_timestamp(1992 + l_orderkey, 3, 1, 0, 0, 0)")}
+    lines.withColumns(more).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_weights_are_stored_as_their_blocks(spark, tmp_path):
+    folder = _tables(spark, tmp_path)
+    weights = queries.Inputs(spark, folder).weights
+    assert rows_of(weights) == rows_of(shape(spark, folder, "weights")) and weights.count() == 4 * 12
+    assert spark.read.parquet(*weights.inputFiles()).count() == 4
