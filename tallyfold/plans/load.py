@@ -7,6 +7,7 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyfold.functions.codes import parse_age, zero_fill
+from tallyfold.operators import sizing
 from tallyfold.operators.clean import align_columns, route_by_scheme, scheme_table, stamp_manifest, valid_facts
 from tallyfold.operators.lifecycle import archive_candidates, prune_candidates, stamp_events
 from tallyfold.operators.log import pending
@@ -106,6 +107,8 @@ def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types
     store, found = BatchStore(spark, root), []
 
     parts = [read_table_batches(tables[name], work.where(in_table & (F.col("file_name") == name))) for name in sorted(named)]
+    # Landed rows lie by file and so by batch; those of a table are gathered here.
+    parts = [part.hint("rebalance", F.col("etl_batch_id")) for part in parts]
     if from_files:
         landing = f"{root}/landing"
         land_files(spark, files, landing, per_wave=per_wave)
@@ -115,11 +118,13 @@ def run_load(spark: SparkSession, root: str, rules: DataFrame, *, now, geo_types
         parts.append(stamp_manifest(typed, files).drop("file"))
         found.append(fates(held, "file", "records", bad_record="bad_records", no_first_cell="blanks", header="headers"))
     typed = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), parts)
-    written = {"raw": store.write("raw", typed, ids)}
+    written = {"raw": store.write("raw", typed, ids, gathered=True)}
     raw = store.read("raw", ids)
     counts = {"raw": _read_back(store, "raw", written, ids)}
     found.append(fates(counts["raw"], "raw", "row_cnt", unreadable_headcount="unreadable", no_headcount="empty"))
-    written = {"stage": store.write("stage", stage_rows(raw, rules if full else None), ids)}
+    # The raw rows lie by batch, and lookups that are broadcast leave them there.
+    few_rules = not full or rules.count() <= sizing.PINNED_ROWS
+    written = {"stage": store.write("stage", stage_rows(raw, rules if full else None), ids, gathered=few_rules)}
     stage = store.read("stage", ids)
     counts["stage"] = _read_back(store, "stage", written, ids)
     found.append(fates(counts["stage"], "stage", "rows"))

@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from tallyfold.operators.sizing import small_side
 from tallyfold.schema import RAW_CELLS, RAW_SCHEMA
 from tallyfold.sources.raw import BAD, file_of, first_header, is_header, read_raw
 from tallyfold.sources.store import clear_versions, delete_folder, exists, read_current, write_current
@@ -88,12 +89,14 @@ def land_files(spark: SparkSession, files: DataFrame, path: str, *, per_wave: in
 
 def landed_rows(spark: SparkSession, path: str, files: DataFrame) -> DataFrame:
     """Text cells of the landed version of each file of ``files`` (column ``file``), bad records marked, as ``read_raw``
-    gives them with ``max_errors=None``. Only the waves that hold the files are read."""
+    gives them with ``max_errors=None``. Only the waves that hold the files are read.
+
+    Rows lie by file: the list of files is broadcast, and one too long for that shuffles the rows by file."""
     at = landed_files(spark, path).join(files.select("file").distinct(), "file").select("file", "wave")
     if not exists(spark, f"{path}/waves"):
         return spark.createDataFrame([], _CELLS)
     rows = spark.read.schema(T.StructType([*_CELLS.fields, T.StructField("wave", T.StringType())])).parquet(f"{path}/waves")
-    return rows.join(at, ["file", "wave"]).select(*_CELLS.names)
+    return rows.join(small_side(at), ["file", "wave"]).select(*_CELLS.names)
 
 
 def drop_stale_waves(spark: SparkSession, path: str) -> int:

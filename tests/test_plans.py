@@ -328,3 +328,46 @@ def test_copies_are_compared_and_the_source_is_read_once(spark, tmp_path):
             copy_geographies(spark, {"a": spark.range(50)}, str(tmp_path / "two"))
     finally:
         files.write_table = kept
+
+
+def noted_writes(monkeypatch):
+    """Whether each write of headcounts is to be shuffled by batch."""
+    found, take = [], BatchStore.put.__globals__["observed"]
+
+    def noted(rows, **more):
+        if "raw_agestr" in rows.columns:
+            found.append("Rebalance" in rows._jdf.queryExecution().optimizedPlan().toString())
+        return take(rows, **more)
+
+    monkeypatch.setitem(BatchStore.put.__globals__, "observed", noted)
+    return found
+
+
+def test_rows_of_files_are_loaded_without_a_shuffle(spark, store, monkeypatch):
+    folder, root = store
+    write_gz(folder / "20240301final" / "BlockCode2020RaceMars972020.csv.gz", LINES_97)
+    run_intake(spark, str(folder), LogBook(spark, f"{root}/log"), now=MARCH, census_year="2020", base_path=str(folder),
+               final_folder=str(folder), landing=f"{root}/landing")
+    files = landing.landed_files(spark, f"{root}/landing").select("file")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = landing.landed_rows(spark, f"{root}/landing", files)
+        assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = noted_writes(monkeypatch)
+    run_load(spark, root, rules(spark, False), now=MARCH)
+    assert shuffled == [False] * 4
+    assert rows_of(BatchStore(spark, root).read("ref"), "age", "pop") == [(34, 1.5), (105, 0.25)]
+
+
+def test_many_rules_have_the_stage_gathered(spark, store, monkeypatch):
+    """Lookups that are too large for a broadcast may scatter rows."""
+    from tallyfold.operators import sizing
+    folder, root = store
+    write_gz(folder / "20240301final" / "BlockCode2020RaceMars972020.csv.gz", LINES_97)
+    intake(spark, str(folder), root)
+    monkeypatch.setattr(sizing, "PINNED_ROWS", 5)
+    shuffled = noted_writes(monkeypatch)
+    run_load(spark, root, rules(spark, False), now=MARCH)
+    assert shuffled == [False, True, False, False]
